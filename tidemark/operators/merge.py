@@ -23,14 +23,15 @@ Clause semantics (as in Delta Lake MERGE):
 
 Scale notes:
 
-* Rows with a NULL in any equi-key column can never match, so they bypass the
-  join (unioned back afterwards). Otherwise all of them hash to one reducer.
+* Rows with a NULL in any equi-key column can never match. A salt column joins
+  the shuffle keys: 0 for keyed rows, a row hash for NULL-key rows, so those
+  spread over all reducers instead of hashing to the one partition of NULL.
 * ``on_duplicate="latest"`` keeps one source row per key with a ``max_by``
   aggregate, which is combined map-side, so a hot key costs one small partial
   row per task instead of one giant group.
 * An insert-only merge needs no full outer join: it is a left-anti join of the
-  source against the target keys (``insert_only_rows``), and the table layer
-  appends it without rewriting anything.
+  source against the target, and the table layer appends it without
+  rewriting anything.
 """
 
 from __future__ import annotations
@@ -141,7 +142,7 @@ def clauses_from_options(options: dict[str, dict] | list[Clause]) -> list[Clause
     return [Clause(k, (v or {}).get("predicate"), (v or {}).get("updates")) for k, v in options.items()]
 
 
-_CONJ = re.compile(r"^\s*\(?\s*(\w+)\.`?(\w+)`?\s*(?:=|<=>)\s*(\w+)\.`?(\w+)`?\s*\)?\s*$")
+_CONJ = re.compile(r"^\s*\(?\s*(\w+)\.`?(\w+)`?\s*=\s*(\w+)\.`?(\w+)`?\s*\)?\s*$")
 
 
 def equi_keys(predicate: str, source_alias: str, target_alias: str) -> tuple[list[tuple[str, str]], bool]:
@@ -221,23 +222,34 @@ def _any_null(cols: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, [c.isNull() for c in cols])
 
 
+_SALT = "__tm_salt"
+SALT_BUCKETS = 4096
+
+
+def _salt(alias: str, key_cols: list[str], all_cols: list[str]) -> Column:
+    """0 for rows with a full key; 1..SALT_BUCKETS (a row hash) when a key is NULL."""
+    key_null = _any_null([F.col(f"{alias}.`{k}`") for k in key_cols])
+    spread = F.pmod(F.xxhash64(*[F.col(f"{alias}.`{c}`") for c in all_cols]), F.lit(SALT_BUCKETS)) + 1
+    return F.when(key_null, spread).otherwise(F.lit(0)).cast("int")
+
+
 def dedupe_latest(source: DataFrame, keys: list[str], order_by: list[str] | None = None) -> DataFrame:
     """One source row per non-NULL key: the one with the greatest ``order_by``.
 
-    Rows with a NULL key are kept as they are (they never match anyway). The
-    aggregate is ``max_by(struct(row), struct(order))``, combined map-side. Ties
-    on the order columns are broken by the whole row, so the pick is
-    deterministic.
+    Rows with a NULL key are all kept (they never match anyway): each gets its
+    own group through a row id that is NULL for keyed rows. The aggregate is
+    ``max_by(struct(row), struct(order))``, combined map-side, so a hot key is
+    one partial row per task. Ties on the order columns are broken by the whole
+    row, so the pick is deterministic. One scan of the source.
     """
     cols = source.columns
     order = order_by or []
     key_null = _any_null([F.col(k) for k in keys])
-    nulls = source.where(key_null)
-    rest = source.where(~key_null)
-    ordering = F.struct(*[F.col(c) for c in order], F.struct(*[F.col(c) for c in cols]))
-    picked = rest.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), ordering).alias("__r"))
-    picked = picked.select(*[F.col(f"__r.{c}").alias(c) for c in cols])
-    return picked.unionByName(nulls)
+    row = F.struct(*[F.col(f"`{c}`") for c in cols])
+    ordering = F.struct(*[F.col(f"`{c}`") for c in order], row)
+    solo = F.when(key_null, F.monotonically_increasing_id())
+    picked = source.groupBy(*keys, solo.alias("__tm_solo")).agg(F.max_by(row, ordering).alias("__r"))
+    return picked.select(*[F.col(f"__r.`{c}`").alias(c) for c in cols])
 
 
 def duplicate_matches(target: DataFrame, source: DataFrame, keys: list[tuple[str, str]]) -> DataFrame:
@@ -305,15 +317,11 @@ def merge_plan(
     only_inserts = all(c.method in _NOT_MATCHED for c in clauses)
 
     if keys:
-        t_null = _any_null([F.col(f"{T}.`{t}`") for t, _ in keys])
-        s_null = _any_null([F.col(f"{S}.`{s}`") for _, s in keys])
-        t_side_null = t_w.where(t_null).select(
-            F.col(T), F.lit(None).cast(s_struct_type).alias(S), F.col(_T_FLAG),
-            F.lit(None).cast("boolean").alias(_S_FLAG))
-        s_side_null = s_w.where(s_null).select(
-            F.lit(None).cast(t_struct_type).alias(T), F.col(S),
-            F.lit(None).cast("boolean").alias(_T_FLAG), F.col(_S_FLAG))
-        t_w, s_w = t_w.where(~t_null), s_w.where(~s_null)
+        # NULL-key rows never match; a salt in the join keys spreads them over
+        # the reducers instead of hashing them all to the partition of NULL.
+        t_w = t_w.withColumn(_SALT, _salt(T, [t for t, _ in keys], tcols))
+        s_w = s_w.withColumn(_SALT, _salt(S, [s for _, s in keys], scols))
+        cond = cond & (t_w[_SALT] == s_w[_SALT])
     if only_inserts:
         # No target row changes: target rows are copied, source rows that match
         # nothing are the candidates. An anti join instead of a full outer.
@@ -325,8 +333,8 @@ def merge_plan(
         joined = copied.unionByName(unmatched)
     else:
         joined = t_w.join(s_w, cond, "full_outer")
-    if keys:
-        joined = joined.unionByName(t_side_null).unionByName(s_side_null)
+        if keys:
+            joined = joined.drop(t_w[_SALT]).drop(s_w[_SALT])
 
     if on_duplicate == "error" and has_matched:
         if keys and whole:
@@ -334,7 +342,7 @@ def merge_plan(
         else:
             rid = "__tm_rid"
             t_id = target.withColumn(rid, F.monotonically_increasing_id())
-            probe = wrap(t_id, T, _T_FLAG).join(wrap(source, S, _S_FLAG), cond, "inner")
+            probe = wrap(t_id, T, _T_FLAG).join(wrap(source, S, _S_FLAG), F.expr(predicate), "inner")
             dup = probe.groupBy(F.col(f"{T}.{rid}")).count().where(F.col("count") > 1).limit(1).count()
         if dup:
             raise DataWriterError(
