@@ -17,7 +17,7 @@ _EPOCH = _dt.datetime(1970, 1, 1)
 
 def to_utc_ntz(ts: Column) -> Column:
     """A ``timestamp`` (instant) as its UTC wall clock, independent of session tz."""
-    return F.timestampadd("MICROSECOND", F.unix_micros(ts), F.lit(_EPOCH).cast("timestamp_ntz"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), F.lit(_EPOCH).cast("timestamp_ntz"))
 
 
 def _normalise(text: Column) -> Column:

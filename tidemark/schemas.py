@@ -7,8 +7,28 @@ not enforce NOT NULL.
 from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "string": T.StringType(), "double": T.DoubleType(), "bigint": T.LongType(), "int": T.IntegerType(),
+    "tinyint": T.ByteType(), "timestamp": T.TimestampType(), "timestamp_ntz": T.TimestampNTZType(),
+    "binary": T.BinaryType(),
+}
+
+
+def _schema(fields: str) -> T.StructType:
+    """``"name type, name type"`` with the plain type names above; all nullable."""
+    pairs = [f.split() for f in fields.split(",")]
+    return T.StructType([T.StructField(n, _TYPES[t], True) for n, t in pairs])
+
+
+def ddl(schema: T.StructType) -> str:
+    """The schema as a DDL string for ``from_json`` / ``readStream.schema``."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def with_ntz(schema: T.StructType) -> T.StructType:
+    """The same schema with ``timestamp`` fields as ``timestamp_ntz``."""
+    return T.StructType([T.StructField(f.name, T.TimestampNTZType() if isinstance(f.dataType, T.TimestampType)
+                                       else f.dataType, f.nullable) for f in schema.fields])
 
 
 BOOKING = _schema(
