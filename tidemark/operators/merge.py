@@ -179,6 +179,17 @@ class MergePlan:
     clauses: list[Clause]
     source: DataFrame
     keys: list[tuple[str, str]] = field(default_factory=list)
+    keep: Column | None = None
+    outputs: list[Column] = field(default_factory=list)
+    only_inserts: bool = False
+
+    def project(self, tagged: DataFrame) -> DataFrame:
+        """``tagged`` (possibly wrapped in an ``observe``) to the new table rows."""
+        return tagged.where(self.keep).select(*self.outputs)
+
+    def inserted_rows(self, tagged: DataFrame) -> DataFrame:
+        """Only the rows an insert clause produces (append path)."""
+        return tagged.where(F.col(ACTION).isin(_codes(self.clauses, _INSERTS))).select(*self.outputs)
 
     def metrics(self) -> DataFrame:
         """One row of merge statistics, computed in one pass over ``tagged``.
@@ -275,6 +286,7 @@ def merge_plan(
     target_alias: str = "target",
     on_duplicate: str = "error",
     latest_by: list[str] | None = None,
+    check_source: DataFrame | None = None,
 ) -> MergePlan:
     """Plan a merge; see the module docstring for the semantics.
 
@@ -283,7 +295,9 @@ def merge_plan(
     columns. ``on_duplicate``: ``"error"`` (a target row matched by several
     source rows fails the merge, as in Delta), ``"latest"`` (keep the source
     row with the greatest ``latest_by`` per key first) or ``"expand"`` (every
-    matching pair is a row, as a plain join gives).
+    matching pair is a row, as a plain join gives). ``check_source``: the same
+    rows as ``source`` for the duplicate check, when ``source`` carries an
+    observation that must only be fulfilled by the write.
     """
     clauses = clauses_from_options(clauses)
     if not clauses:
@@ -296,6 +310,7 @@ def merge_plan(
     if on_duplicate not in ("error", "latest", "expand"):
         raise DataWriterError(f"on_duplicate must be error, latest or expand, not {on_duplicate!r}")
 
+    check_source = source if check_source is None else check_source
     if on_duplicate == "latest":
         if not keys:
             raise DataWriterError("on_duplicate='latest' needs equality conjuncts in the predicate")
@@ -338,11 +353,11 @@ def merge_plan(
 
     if on_duplicate == "error" and has_matched:
         if keys and whole:
-            dup = duplicate_matches(target, source, keys).limit(1).count()
+            dup = duplicate_matches(target, check_source, keys).limit(1).count()
         else:
             rid = "__tm_rid"
             t_id = target.withColumn(rid, F.monotonically_increasing_id())
-            probe = wrap(t_id, T, _T_FLAG).join(wrap(source, S, _S_FLAG), F.expr(predicate), "inner")
+            probe = wrap(t_id, T, _T_FLAG).join(wrap(check_source, S, _S_FLAG), F.expr(predicate), "inner")
             dup = probe.groupBy(F.col(f"{T}.{rid}")).count().where(F.col("count") > 1).limit(1).count()
         if dup:
             raise DataWriterError(
@@ -389,7 +404,7 @@ def merge_plan(
 
     keep = ~F.col(ACTION).isin(_codes(clauses, _DELETES) + [SKIP])
     output = tagged.where(keep).select(*outputs)
-    return MergePlan(tagged, tcols, output, clauses, source, keys)
+    return MergePlan(tagged, tcols, output, clauses, source, keys, keep, outputs, only_inserts)
 
 
 def merge(target: DataFrame, source: DataFrame, clauses, **kwargs) -> DataFrame:

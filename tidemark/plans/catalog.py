@@ -1,6 +1,6 @@
 """Imports every query module so that the registry is complete."""
 
-from tidemark.plans import q_asof, q_ingest, q_merge, q_star_kpi  # noqa: F401
+from tidemark.plans import q_asof, q_ingest, q_merge, q_star_kpi, q_table  # noqa: F401
 from tidemark.plans.registry import REGISTRY
 
 

@@ -50,14 +50,17 @@ def q_update_insert_all(spark, sf):
                    predicate="source.event_id = target.event_id")
 
 
-@register("upsert_metrics", f"""
+METRICS_SQL = f"""
 SELECT (SELECT count(*) FROM {S_SQL} s) AS num_source_rows,
        CAST(count(*) FILTER (WHERE t._t IS NULL) AS BIGINT) AS num_target_rows_inserted,
        CAST(count(*) FILTER (WHERE t._t IS NOT NULL AND s._s IS NOT NULL) AS BIGINT) AS num_target_rows_updated,
        CAST(0 AS BIGINT) AS num_target_rows_deleted,
        CAST(count(*) FILTER (WHERE s._s IS NULL) AS BIGINT) AS num_target_rows_copied,
        CAST(count(*) AS BIGINT) AS num_output_rows
-FROM {T_SQL} t FULL JOIN {S_SQL} s ON s.event_id = t.event_id""", "A5")
+FROM {T_SQL} t FULL JOIN {S_SQL} s ON s.event_id = t.event_id"""
+
+
+@register("upsert_metrics", METRICS_SQL, "A5")
 def q_metrics(spark, sf):
     opts = M.merge_options(when_matched_update_all=True, when_not_matched_insert_all=True)
     return M.merge_plan(target_clicks(spark, sf), source_clicks(spark, sf), opts,

@@ -67,3 +67,10 @@ def is_local_path(path: str) -> bool:
 
 def local_exists(path: str) -> bool:
     return os.path.exists(path[len("file:"):] if path.startswith("file:") else path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its file system (local, HDFS or object store)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
