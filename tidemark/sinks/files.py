@@ -66,3 +66,14 @@ def write_text(data: DataFrame | Column | str, path: str, mode: str = "overwrite
 
 def append_text(data: DataFrame, path: str, sep: str = "\n") -> None:
     write_text(data, path, mode="append", sep=sep)
+
+
+def write_json_documents(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """One JSON array document per input partition (the reference's
+    ``json_to_disk(list)`` layout, split so that no task holds more than one
+    partition's rows). Read back with ``read_json`` (multiLine)."""
+    _suffix(path, ".json")
+    docs = (df.withColumn("__doc", F.spark_partition_id())
+            .groupBy("__doc").agg(F.to_json(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in df.columns])),
+                                            {"ignoreNullFields": "false"}).alias("value")))
+    docs.select("value").write.mode(mode).text(str(path))
