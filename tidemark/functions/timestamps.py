@@ -43,3 +43,15 @@ def parse_utc(text: str | Column, strict: bool = True) -> Column:
         naive = F.try_to_timestamp(t).cast("timestamp_ntz")
     return F.when(t.isNull(), F.lit(None).cast("timestamp_ntz")).when(
         _has_offset(t), with_offset).otherwise(naive)
+
+
+def utc_instant(ntz: Column) -> Column:
+    """A ``timestamp_ntz`` read as UTC wall clock, as a ``timestamp`` instant
+    (what ``withWatermark`` needs), independent of the session time zone."""
+    micros = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), ntz)
+    return F.timestamp_micros(micros)
+
+
+def micros_to_ntz(micros: Column) -> Column:
+    """Microseconds since the epoch to a UTC ``timestamp_ntz``."""
+    return F.timestamp_add("MICROSECOND", micros, F.lit(_EPOCH).cast("timestamp_ntz"))

@@ -209,12 +209,12 @@ def metric_columns(clauses: list[Clause]) -> list[Column]:
     a = F.col(ACTION)
 
     def count_in(codes):
-        return F.sum(F.when(a.isin(codes), 1).otherwise(0)).cast("bigint") if codes else F.lit(0).cast("bigint")
+        return F.count(F.when(a.isin(codes), 1)).cast("bigint") if codes else F.lit(0).cast("bigint")
 
     ins = count_in(_codes(clauses, _INSERTS))
     upd = count_in(_codes(clauses, _UPDATES))
     dele = count_in(_codes(clauses, _DELETES))
-    cop = F.sum(F.when(a == COPY, 1).otherwise(0)).cast("bigint")
+    cop = F.count(F.when(a == COPY, 1)).cast("bigint")
     return [ins.alias("num_target_rows_inserted"), upd.alias("num_target_rows_updated"),
             dele.alias("num_target_rows_deleted"), cop.alias("num_target_rows_copied")]
 

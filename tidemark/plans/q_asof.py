@@ -19,11 +19,14 @@ def q_cart_view(spark, sf):
                        tiebreak="event_id")
 
 
-@register("customer_journey", f"""
+JOURNEY_SQL = f"""
 SELECT b.event_id, b.user_id, cv.view_product_id, cv.view_product_name, cv.view_category, b.timestamp,
        cv.cart_product_id, cv.cart_product_name, cv.cart_quantity, b.price, b.order_id,
        b.purchase_product_id, b.purchase_product_name, b.purchase_quantity, b.total_amount, b.payment_method
-FROM {_B} b ASOF LEFT JOIN {_CV_SQL} cv ON b.user_id = cv.user_id AND b.timestamp >= cv.timestamp""", "J2")
+FROM {_B} b ASOF LEFT JOIN {_CV_SQL} cv ON b.user_id = cv.user_id AND b.timestamp >= cv.timestamp"""
+
+
+@register("customer_journey", JOURNEY_SQL, "J2")
 def q_journey(spark, sf):
     return A.customer_journey(E.product_views(spark, sf), E.carts(spark, sf), E.purchases(spark, sf))
 
