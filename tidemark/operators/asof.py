@@ -81,24 +81,31 @@ def asof_join(
         *[F.col(f"`{k}`").alias(f"__ao_k{i}") for i, k in enumerate(keys)],
         F.col(f"`{on}`").alias(_TS), F.lit(1).alias(_SIDE), F.lit(None).cast(r_type.fields[-1].dataType).alias(_TB),
         F.struct(*[F.col(f"`{c}`") for c in lcols]).alias(_L), F.lit(None).cast(r_type).alias(_R),
-        # NULL-key left rows can never match: spread them instead of one group.
+        # NULL-key left rows can never match: a row hash as their bucket spreads
+        # them over the tasks instead of one group.
         F.when(key_null_l, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in lcols]), F.lit(_SALT_BUCKETS)) + 1)
-        .otherwise(F.lit(0)).alias(_SALT))
+        .alias(_SALT))
     rrows = right.where(key_ok_r).select(
         *[F.col(f"`{k}`").alias(f"__ao_k{i}") for i, k in enumerate(keys)],
         F.col(f"`{right_on}`").alias(_TS), F.lit(0).alias(_SIDE), tb.alias(_TB),
-        F.lit(None).cast(l_type).alias(_L), r_payload.alias(_R), F.lit(0).alias(_SALT))
+        F.lit(None).cast(l_type).alias(_L), r_payload.alias(_R), F.lit(None).cast("bigint").alias(_SALT))
     kcols = [f"__ao_k{i}" for i in range(len(keys))]
-    u = lrows.unionByName(rrows).withColumn(_BUCKET, F.date_trunc(bucket, F.col(_TS)))
+    u = lrows.unionByName(rrows).withColumn(
+        _BUCKET, F.when(F.col(_SALT).isNull(), F.date_trunc(bucket, F.col(_TS)))
+        .otherwise(F.timestamp_micros(F.col(_SALT)))).drop(_SALT)
 
-    # 1. Matches inside the (key, bucket) group.
-    w_in = (Window.partitionBy(*kcols, _BUCKET, _SALT).orderBy(_TS, _SIDE, _TB)
+    # 1. Matches inside the (key, bucket) group. The final join is on the same
+    # (key, bucket), so this partitioning serves it too.
+    w_in = (Window.partitionBy(*kcols, _BUCKET).orderBy(_TS, _SIDE, _TB)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     within = u.withColumn("__ao_in", F.last(_R, ignorenulls=True).over(w_in)).where(F.col(_SIDE) == 1)
 
     # 2. Last right row of each earlier bucket, carried forward over summaries.
     is_right = F.col(_SIDE) == 0
-    summary = (u.where(F.col(_SALT) == 0)
+    keyed = F.lit(True)
+    for k in kcols:
+        keyed = keyed & F.col(k).isNotNull()
+    summary = (u.where(keyed)
                .groupBy(*kcols, _BUCKET)
                .agg(F.max_by(F.when(is_right, F.col(_R)), F.when(is_right, F.struct(_TS, _TB))).alias("__ao_last")))
     w_prev = (Window.partitionBy(*kcols).orderBy(_BUCKET)

@@ -92,7 +92,9 @@ def _journey_stream(spark, sf, mode):
     # past every real row (its own user is filtered from the output).
     flush = spark.createDataFrame([(J.FLUSH_USER, J.VIEW, 7_258_118_400_000_000)], "user_id string, side int, ts_us bigint")
     J._tag(flush, J.VIEW, F.col("ts_us")).write.parquet(f"{root}/in/chunk=99999")
-    stream = SRC.chunk_stream(spark, f"{root}/in", tagged.schema)
+    # Chunks are time-ordered; a micro-batch may take several files, and the
+    # 8-day watermark delay covers a week's chunk.
+    stream = SRC.chunk_stream(spark, f"{root}/in", tagged.schema, max_files=8)
     rows = J.journey_stream(stream.withColumn("event_time", F.timestamp_micros("ts_us")), mode=mode)
     q = (rows.writeStream.format("parquet").outputMode("append").option("path", f"{root}/out")
          .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())

@@ -146,8 +146,9 @@ class JourneyProcessor(StatefulProcessor):
         self.pending = handle.getListState("pending", INPUT_SCHEMA)
 
     # -- helpers -----------------------------------------------------------
-    def _load(self, state) -> list[tuple]:
-        return list(state.get()) if state.exists() else []
+    @staticmethod
+    def _load(state) -> list[tuple]:
+        return list(state.get())
 
     def _process(self, key, rows: list[tuple], watermark_us: int | None) -> pd.DataFrame:
         views = _Rights(self._load(self.views))
@@ -200,12 +201,20 @@ class JourneyProcessor(StatefulProcessor):
         later = [r for r in pend if r[ts_i] > wm]
         if ready:
             yield self._process(key, ready, wm)
+        timers = list(self.handle.listTimers())
         if later:
-            self.pending.put(later)
-            first = min(r[ts_i] for r in later)
-            self.handle.registerTimer(-(-first // 1000))  # ms, rounded up
+            if ready:
+                self.pending.put(later)
+            first = -(-min(r[ts_i] for r in later) // 1000)  # ms, rounded up
+            if timers != [first]:
+                for t in timers:
+                    self.handle.deleteTimer(t)
+                self.handle.registerTimer(first)
         else:
-            self.pending.clear()
+            if pend:
+                self.pending.clear()
+            for t in timers:
+                self.handle.deleteTimer(t)
 
     # -- callbacks ---------------------------------------------------------
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -218,8 +227,6 @@ class JourneyProcessor(StatefulProcessor):
         if self.mode == "on_arrival":
             yield self._process(key, tuples, self._watermark_us(timerValues))
             return
-        for t in self.handle.listTimers():
-            self.handle.deleteTimer(t)
         if tuples:
             self.pending.appendList(tuples)
         yield from self._release(key, timerValues)
