@@ -74,3 +74,37 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def write_new_file(spark: SparkSession, path: str, text: str) -> None:
+    """Create ``path`` with ``text`` (ASCII); fails if it exists (first writer wins)."""
+    p, fs = _fs(spark, path)
+    out = fs.create(p, False)
+    try:
+        out.writeBytes(text)
+    finally:
+        out.close()
+
+
+def list_files(spark: SparkSession, folder: str) -> list[str]:
+    p, fs = _fs(spark, folder)
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().toString() for st in fs.listStatus(p) if st.isFile())
+
+
+def read_small_file(spark: SparkSession, path: str) -> str:
+    """A small metadata file's text (for the table log; data never goes this way)."""
+    jvm = spark.sparkContext._jvm
+    p, fs = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

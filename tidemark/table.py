@@ -7,7 +7,7 @@ the schema, MERGE with statistics, and compaction that keeps the rows.
 
 Layout (every path is on the shared store; nothing is machine-local):
 
-    <table>/_log/v=<N>/part-*.txt      one JSON line: the commit of version N
+    <table>/_log/<N, 20 digits>.json   the commit of version N (created, never replaced)
     <table>/data/v=<N>/_bucket=<b>/    files written by version N
 
 A commit lists, per bucket, the data folders that make up the table at that
@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from tidemark.errors import DataWriterError
 from tidemark.operators import merge as M
-from tidemark.session import path_exists
+from tidemark.session import list_files, path_exists, read_small_file, write_new_file
 
 _BUCKET = "_bucket"
 _ALL = "*"
@@ -42,7 +42,7 @@ def bucket_of(cols: list[Column], num_buckets: int) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(num_buckets)).cast("int")
 
 
-def observed(obs: Observation, timeout_s: float = 30.0) -> dict | None:
+def observed(obs: Observation, timeout_s: float = 2.0) -> dict | None:
     """An observation's metrics, or None when they do not arrive in time.
 
     Metrics are published by a listener right after the action that computed
@@ -79,10 +79,8 @@ class VersionedTable:
     # ---- log -------------------------------------------------------------
     def log(self) -> list[dict]:
         """All commits, oldest first (one small JSON line per version)."""
-        if not path_exists(self.spark, f"{self.path}/_log"):
-            return []
-        rows = self.spark.read.text(f"{self.path}/_log").select("value").collect()
-        return sorted((json.loads(r.value) for r in rows), key=lambda e: e["version"])
+        files = [f for f in list_files(self.spark, f"{self.path}/_log") if f.endswith(".json")]
+        return sorted((json.loads(read_small_file(self.spark, f)) for f in files), key=lambda e: e["version"])
 
     def exists(self) -> bool:
         return bool(self.log())
@@ -96,9 +94,9 @@ class VersionedTable:
                   "metrics map<string,bigint>")
 
     def _commit(self, entry: dict) -> None:
-        line = json.dumps(entry, sort_keys=True)
-        (self.spark.createDataFrame([(line,)], "value string").coalesce(1)
-         .write.mode("errorifexists").text(f"{self.path}/_log/v={entry['version']}"))
+        # Created with overwrite=false: of two writers racing for a version, one fails.
+        write_new_file(self.spark, f"{self.path}/_log/{entry['version']:020d}.json",
+                       json.dumps(entry, sort_keys=True))
 
     def _entry(self, version: int | None = None, timestamp=None) -> dict:
         log = self.log()
