@@ -79,7 +79,7 @@ def q_stream_sessions(spark, sf):
     return spark.read.schema(out.schema).parquet(f"{root}/out")
 
 
-def _journey_stream(spark, sf, mode):
+def _journey_stream(spark, sf, mode, to_table: bool = False):
     ts_us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("timestamp"))
     tagged = (J.tag_views(E.product_views(spark, sf), ts_us)
               .unionByName(J.tag_carts(E.carts(spark, sf), ts_us))
@@ -96,6 +96,14 @@ def _journey_stream(spark, sf, mode):
     # 8-day watermark delay covers a week's chunk.
     stream = SRC.chunk_stream(spark, f"{root}/in", tagged.schema, max_files=8)
     rows = J.journey_stream(stream.withColumn("event_time", F.timestamp_micros("ts_us")), mode=mode)
+    if to_table:
+        # The hand-off of the journey topic to the report consumer, as one query:
+        # each micro-batch of journeys is merged into the gold table by event_id.
+        gold = VersionedTable(spark, f"{root}/gold")
+        gold.write(spark.createDataFrame([], J.journey_output(rows).schema), bucket_by="event_id", num_buckets=16)
+        out = J.journey_output(rows)
+        _run_to_end(UP.start_upsert_stream(out, gold, "event_id", f"{root}/ckpt", order_by="timestamp"))
+        return gold.read()
     q = (rows.writeStream.format("parquet").outputMode("append").option("path", f"{root}/out")
          .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
     _run_to_end(q)
@@ -106,3 +114,8 @@ def _journey_stream(spark, sf, mode):
           "ST3 ST1 ST4 stateful as-of over micro-batches (on_watermark)")
 def q_journey_stream(spark, sf):
     return _journey_stream(spark, sf, "on_watermark")
+
+
+@register("customer_journey_gold", QA.JOURNEY_SQL, "ST7 M11 journey stream merged into the gold table per micro-batch")
+def q_journey_gold(spark, sf):
+    return _journey_stream(spark, sf, "on_watermark", to_table=True)
