@@ -37,6 +37,7 @@ Scale notes:
 from __future__ import annotations
 
 import re
+import warnings
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -307,6 +308,9 @@ def merge_plan(
             raise DataWriterError("give a merge predicate or key columns")
         predicate = " AND ".join(f"{source_alias}.{k} = {target_alias}.{k}" for k in on)
     keys, whole = equi_keys(predicate, source_alias, target_alias)
+    if not keys:
+        warnings.warn("merge predicate has no `source.col = target.col` conjunct: the full outer join "
+                      "runs as a nested loop, which does not scale", stacklevel=2)
     if on_duplicate not in ("error", "latest", "expand"):
         raise DataWriterError(f"on_duplicate must be error, latest or expand, not {on_duplicate!r}")
 

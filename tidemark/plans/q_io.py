@@ -43,8 +43,8 @@ def q_csv_infer(spark, sf):
 def q_json(spark, sf):
     o = _orders(spark, sf)
     path = scratch_dir(spark, "orders") + ".json"
-    W.write_json_documents(o, path)
-    return R.read_json(spark, path, schema=o.schema)
+    W.write_json_documents(o, path, rows_per_document=2_000)
+    return R.read_json(spark, path, schema=o.schema, recursiveFileLookup=True)
 
 
 @register("ndjson_roundtrip", _ORDERS, "S7 K5")

@@ -68,12 +68,21 @@ def append_text(data: DataFrame, path: str, sep: str = "\n") -> None:
     write_text(data, path, mode="append", sep=sep)
 
 
-def write_json_documents(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One JSON array document per input partition (the reference's
-    ``json_to_disk(list)`` layout, split so that no task holds more than one
-    partition's rows). Read back with ``read_json`` (multiLine)."""
+def write_json_documents(df: DataFrame, path: str, mode: str = "errorifexists",
+                         rows_per_document: int = 10_000) -> None:
+    """JSON array documents of at most ``rows_per_document`` rows each (the
+    reference's ``json_to_disk(list)`` layout, split so that no document, task
+    or aggregate buffer grows with the table). Read back with ``read_json``.
+
+    The document number comes from ``monotonically_increasing_id`` (partition
+    id in the high bits, row index in the low 33), so it needs no window. Each
+    document goes to its own file (a JSON-document reader reads one document
+    per file); read the folder back with ``recursiveFileLookup``.
+    """
     _suffix(path, ".json")
-    docs = (df.withColumn("__doc", F.spark_partition_id())
+    row_id = F.monotonically_increasing_id()
+    doc = F.shiftright(row_id, 33) * F.lit(1 << 20) + F.floor((row_id % F.lit(1 << 33)) / rows_per_document)
+    docs = (df.withColumn("__doc", doc)
             .groupBy("__doc").agg(F.to_json(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in df.columns])),
                                             {"ignoreNullFields": "false"}).alias("value")))
-    docs.select("value").write.mode(mode).text(str(path))
+    docs.select("__doc", "value").write.mode(mode).partitionBy("__doc").text(str(path))
