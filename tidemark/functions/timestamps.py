@@ -7,17 +7,19 @@ not depend on the session time zone.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EPOCH = _dt.datetime(1970, 1, 1)
+
+def _epoch() -> Column:
+    # A string cast to timestamp_ntz: no time zone is involved (a Python
+    # datetime literal would be read in the Python process's local zone).
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def to_utc_ntz(ts: Column) -> Column:
     """A ``timestamp`` (instant) as its UTC wall clock, independent of session tz."""
-    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), F.lit(_EPOCH).cast("timestamp_ntz"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), _epoch())
 
 
 def _normalise(text: Column) -> Column:
@@ -48,10 +50,10 @@ def parse_utc(text: str | Column, strict: bool = True) -> Column:
 def utc_instant(ntz: Column) -> Column:
     """A ``timestamp_ntz`` read as UTC wall clock, as a ``timestamp`` instant
     (what ``withWatermark`` needs), independent of the session time zone."""
-    micros = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), ntz)
+    micros = F.timestamp_diff("MICROSECOND", _epoch(), ntz)
     return F.timestamp_micros(micros)
 
 
 def micros_to_ntz(micros: Column) -> Column:
     """Microseconds since the epoch to a UTC ``timestamp_ntz``."""
-    return F.timestamp_add("MICROSECOND", micros, F.lit(_EPOCH).cast("timestamp_ntz"))
+    return F.timestamp_add("MICROSECOND", micros, _epoch())

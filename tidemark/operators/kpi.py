@@ -26,7 +26,9 @@ def _bound(df: DataFrame, ts: str, as_of, window: str) -> Column:
     elif isinstance(as_of, Column):
         anchor = as_of
     elif isinstance(as_of, _dt.datetime):
-        anchor = F.lit(as_of)
+        if as_of.tzinfo is not None:  # an instant: its UTC wall clock
+            as_of = as_of.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+        anchor = F.lit(as_of.isoformat(sep=" "))
     else:
         anchor = F.lit(str(as_of)).cast(dtype)
     return (anchor.cast(dtype) - F.expr(f"INTERVAL {window}")).cast(dtype)

@@ -238,12 +238,24 @@ class JourneyProcessor(StatefulProcessor):
         pass
 
 
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _ensure_rocksdb(spark) -> None:
+    """transformWithState needs the RocksDB state store; set it when the session
+    uses another provider (it applies to queries started afterwards)."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, None) != _ROCKSDB:
+        spark.conf.set(key, _ROCKSDB)
+
+
 def journey_stream(tagged: DataFrame, mode: str = "on_watermark", tolerance_us: int | None = None,
                    time_col: str = "event_time", delay: str = "8 days") -> DataFrame:
     """Tagged union (see ``tag_*``) with an event-time column -> journey rows.
 
     ``time_col`` must be a ``timestamp`` (instant) column for the watermark.
     """
+    _ensure_rocksdb(tagged.sparkSession)
     keyed = tagged.withWatermark(time_col, delay)
     out = keyed.groupBy("user_id").transformWithStateInPandas(
         JourneyProcessor(mode, tolerance_us), OUTPUT_SCHEMA, "append", "EventTime")
