@@ -68,3 +68,20 @@ def test_encode_quoted_key_and_nulls(spark):
     df = spark.createDataFrame([("u1", None)], "user_id string, v double")
     row = FO.encode(df, key="user_id", quote_key=True).first()
     assert row["key"] == '"u1"' and row["value"] == '{"user_id":"u1","v":null}'
+
+
+def test_time_functions_ignore_session_zone(spark):
+    from tidemark.functions.timestamps import micros_to_ntz, to_utc_ntz, utc_instant
+    key = "spark.sql.session.timeZone"
+    old = spark.conf.get(key)
+    try:
+        for zone in ("America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set(key, zone)
+            df = spark.createDataFrame([("2024-01-01T05:30:00+05:30", "2024-01-01 00:00:00")], "a string, n string")
+            row = df.select(parse_utc("a").alias("p"),
+                            to_utc_ntz(utc_instant(F.col("n").cast("timestamp_ntz"))).alias("r"),
+                            micros_to_ntz(F.lit(0)).alias("e")).first()
+            assert row["p"] == dt.datetime(2024, 1, 1) and row["r"] == dt.datetime(2024, 1, 1)
+            assert row["e"] == dt.datetime(1970, 1, 1)
+    finally:
+        spark.conf.set(key, old)

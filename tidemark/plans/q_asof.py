@@ -53,3 +53,12 @@ FROM {_B} b ASOF LEFT JOIN {_C} c ON b.user_id = c.user_id AND b.timestamp >= c.
 def q_grace(spark, sf):
     return A.asof_join(E.purchases(spark, sf), E.carts(spark, sf), "user_id", "timestamp",
                        tolerance="1 DAY", tiebreak="event_id")
+
+
+@register("asof_buy_cart", f"""
+SELECT b.event_id, b.user_id, c.cart_product_id, c.cart_product_name, c.cart_quantity, b.price, b.timestamp,
+       b.order_id, b.purchase_product_id, b.purchase_product_name, b.purchase_quantity, b.total_amount,
+       b.payment_method
+FROM {_B} b ASOF LEFT JOIN {_C} c ON b.user_id = c.user_id AND b.timestamp >= c.timestamp""", "J1")
+def q_buy_cart(spark, sf):
+    return A.asof_join(E.purchases(spark, sf), E.carts(spark, sf), "user_id", "timestamp", tiebreak="event_id")
