@@ -21,12 +21,6 @@ from tidemark.streaming import upsert as UP
 from tidemark.table import VersionedTable
 
 
-def _weeks(df, ts_col):
-    """The distinct week starts of ``ts_col`` (a handful of values), in order."""
-    wk = F.date_trunc("week", F.col(ts_col))
-    return wk, sorted(r[0] for r in df.select(wk.alias("w")).distinct().collect())
-
-
 def _run_to_end(query):
     query.awaitTermination()
     if query.exception() is not None:
