@@ -91,3 +91,18 @@ def test_ndjson_writes_nulls(spark, tmp_table):
     path = tmp_table("nulls") + ".ndjson"
     W.write_ndjson(spark.createDataFrame([("a", None)], "k string, v string"), path)
     assert R.read_text(spark, path).first()[0] == '{"k":"a","v":null}'
+
+
+def test_merge_deletes_and_insert_only_append(spark, tmp_table):
+    t = VersionedTable(spark, tmp_table("del"))
+    t.write(frame(spark, 0, 20, "a"), bucket_by="k", num_buckets=4)
+    m = t.merge(frame(spark, 0, 5, "x"), M.merge_options(when_matched_delete=True), predicate="source.k = target.k")
+    assert m["num_target_rows_deleted"] == 5 and t.read().count() == 15
+    parts_before = t.log()[-1]["parts"]
+    m = t.merge(frame(spark, 15, 30, "n"), M.merge_options(when_not_matched_insert_all=True),
+                predicate="source.k = target.k")
+    # Insert-only: new folders are appended, none of the earlier ones is replaced.
+    parts_after = t.log()[-1]["parts"]
+    assert all(set(v) <= set(parts_after[k]) for k, v in parts_before.items())
+    assert m["num_target_rows_inserted"] == 10 and m["num_target_rows_copied"] == 0
+    assert t.read().count() == 25 and [e["version"] for e in t.log()] == [0, 1, 2]

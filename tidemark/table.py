@@ -83,7 +83,7 @@ class VersionedTable:
         return sorted((json.loads(read_small_file(self.spark, f)) for f in files), key=lambda e: e["version"])
 
     def exists(self) -> bool:
-        return bool(self.log())
+        return bool(self._log_files())
 
     def history(self) -> DataFrame:
         """version, timestamp, operation, mode, data_change, metrics (as a map)."""
@@ -98,23 +98,40 @@ class VersionedTable:
         write_new_file(self.spark, f"{self.path}/_log/{entry['version']:020d}.json",
                        json.dumps(entry, sort_keys=True))
 
+    def _log_files(self) -> list[str]:
+        return [f for f in list_files(self.spark, f"{self.path}/_log") if f.endswith(".json")]
+
+    def _read_entry(self, file: str) -> dict:
+        return json.loads(read_small_file(self.spark, file))
+
     def _entry(self, version: int | None = None, timestamp=None) -> dict:
-        log = self.log()
-        if not log:
+        """One commit. Every commit lists the whole table (schema and parts), so
+        the latest version reads one log file, a version reads its own file, and
+        a timestamp is a binary search over versions (commit times increase)."""
+        files = self._log_files()
+        if not files:
             raise DataWriterError(f"no table at {self.path}; write it first")
         if version is not None:
-            for e in log:
-                if e["version"] == version:
-                    return e
-            raise DataWriterError(f"version {version} not in {[e['version'] for e in log]}")
+            name = f"{version:020d}.json"
+            match = [f for f in files if f.endswith("/" + name)]
+            if not match:
+                raise DataWriterError(f"version {version} is not in the log of {self.path}")
+            return self._read_entry(match[0])
         if timestamp is not None:
             ts = timestamp if isinstance(timestamp, str) else timestamp.isoformat()
             ts = _dt.datetime.fromisoformat(ts.replace("Z", "")).replace(tzinfo=None)
-            ok = [e for e in log if _dt.datetime.fromisoformat(e["timestamp"]) <= ts]
-            if not ok:
+            lo, hi, best = 0, len(files) - 1, None
+            while lo <= hi:
+                mid = (lo + hi) // 2
+                e = self._read_entry(files[mid])
+                if _dt.datetime.fromisoformat(e["timestamp"]) <= ts:
+                    best, lo = e, mid + 1
+                else:
+                    hi = mid - 1
+            if best is None:
                 raise DataWriterError(f"no version of {self.path} at or before {timestamp}")
-            return ok[-1]
-        return log[-1]
+            return best
+        return self._read_entry(files[-1])
 
     # ---- read ------------------------------------------------------------
     def schema(self, version: int | None = None) -> T.StructType:
@@ -185,8 +202,8 @@ class VersionedTable:
             raise DataWriterError(f"unknown write mode {mode!r}")
         if isinstance(bucket_by, str):
             bucket_by = [bucket_by]
-        log = self.log()
-        cur = log[-1] if log else None
+        files = self._log_files()
+        cur = self._read_entry(files[-1]) if files else None
         if cur is not None:
             if mode == "errorifexists":
                 raise DataWriterError(f"table {self.path} already exists")
