@@ -264,15 +264,17 @@ def dedupe_latest(source: DataFrame, keys: list[str], order_by: list[str] | None
     return picked.select(*[F.col(f"__r.`{c}`").alias(c) for c in cols])
 
 
-def duplicate_matches(target: DataFrame, source: DataFrame, keys: list[tuple[str, str]]) -> DataFrame:
-    """Target keys that more than one source row matches (keys only).
-
-    The duplicate keys come from a map-side-combined count of the source, and
-    they are semi-joined to the target keys.
-    """
+def source_duplicate_keys(source: DataFrame, keys: list[tuple[str, str]]) -> DataFrame:
+    """Non-NULL source keys that occur more than once (a map-side-combined count)."""
     skeys = [s for _, s in keys]
-    dups = (source.where(~_any_null([F.col(s) for s in skeys]))
+    return (source.where(~_any_null([F.col(s) for s in skeys]))
             .groupBy(*skeys).count().where(F.col("count") > 1).drop("count"))
+
+
+def duplicate_matches(target: DataFrame, source: DataFrame, keys: list[tuple[str, str]]) -> DataFrame:
+    """Target keys that more than one source row matches (keys only): the
+    source's repeated keys semi-joined to the target."""
+    dups = source_duplicate_keys(source, keys)
     cond = reduce(lambda a, b: a & b, [F.col(f"__d.{s}") == F.col(f"__t.{t}") for t, s in keys])
     return dups.alias("__d").join(target.alias("__t"), cond, "left_semi")
 
@@ -288,6 +290,7 @@ def merge_plan(
     on_duplicate: str = "error",
     latest_by: list[str] | None = None,
     check_source: DataFrame | None = None,
+    source_has_duplicate_keys: bool | None = None,
 ) -> MergePlan:
     """Plan a merge; see the module docstring for the semantics.
 
@@ -299,6 +302,9 @@ def merge_plan(
     matching pair is a row, as a plain join gives). ``check_source``: the same
     rows as ``source`` for the duplicate check, when ``source`` carries an
     observation that must only be fulfilled by the write.
+    ``source_has_duplicate_keys``: known from a profile of the source (False
+    skips the duplicate check); when None the source keys are counted first
+    and the target is consulted only if some key repeats.
     """
     clauses = clauses_from_options(clauses)
     if not clauses:
@@ -357,7 +363,10 @@ def merge_plan(
 
     if on_duplicate == "error" and has_matched:
         if keys and whole:
-            dup = duplicate_matches(target, check_source, keys).limit(1).count()
+            if source_has_duplicate_keys is None:
+                source_has_duplicate_keys = bool(source_duplicate_keys(check_source, keys).limit(1).count())
+            dup = (duplicate_matches(target, check_source, keys).limit(1).count()
+                   if source_has_duplicate_keys else 0)
         else:
             rid = "__tm_rid"
             t_id = target.withColumn(rid, F.monotonically_increasing_id())

@@ -253,16 +253,30 @@ class VersionedTable:
         touched: list[int] | None = None
         by_source = any(c.method in M._BY_SOURCE for c in clauses)
         kmap = dict(keys)
-        if bucket_by and not by_source and all(b in kmap for b in bucket_by):
-            # The buckets the source keys hash to: at most num_buckets ints.
-            sb = source.select(bucket_of([F.col(f"`{kmap[b]}`").cast(schema[b].dataType) for b in bucket_by],
-                                         nb).alias("b")).distinct()
-            touched = sorted(r["b"] for r in sb.collect())
+        prune = bool(bucket_by) and not by_source and all(b in kmap for b in bucket_by)
+        n_source, has_dups = None, None
+        if keys:
+            # One profile of the source keys, combined map-side: row count, the
+            # largest number of copies of a key, and the buckets the keys hash
+            # to (at most num_buckets ints).
+            skeys = [F.col(f"`{s}`") for _, s in keys]
+            keyed = ~M._any_null(skeys)
+            per_key = source.groupBy(*skeys).agg(F.count(F.lit(1)).alias("n"))
+            aggs = [F.sum("n").alias("rows"), F.max(F.when(keyed, F.col("n"))).alias("copies")]
+            if prune:
+                bcols = [F.col(f"`{kmap[b]}`").cast(schema[b].dataType) for b in bucket_by]
+                aggs.append(F.collect_set(bucket_of(bcols, nb)).alias("buckets"))
+            prof = per_key.agg(*aggs).first()
+            n_source = int(prof["rows"] or 0)
+            has_dups = (prof["copies"] or 0) > 1
+            if prune:
+                touched = sorted(prof["buckets"])
 
         target = self._read_parts(cur, touched)
         plan = M.merge_plan(target, source, clauses, predicate=predicate,
                             source_alias=source_alias, target_alias=target_alias,
-                            on_duplicate=on_duplicate, latest_by=latest_by)
+                            on_duplicate=on_duplicate, latest_by=latest_by,
+                            source_has_duplicate_keys=has_dups)
         obs = Observation(f"tm_merge_{uuid.uuid4().hex}")
         tagged = plan.tagged.observe(obs, *M.metric_columns(plan.clauses))
         version = cur["version"] + 1
@@ -285,7 +299,7 @@ class VersionedTable:
         if m is None:  # metrics not published: one aggregate over the plan
             m = plan.tagged.agg(*M.metric_columns(plan.clauses)).first().asDict()
         metrics = {
-            "num_source_rows": int(source.count()),
+            "num_source_rows": n_source if n_source is not None else int(source.count()),
             "num_target_rows_inserted": int(m["num_target_rows_inserted"]),
             "num_target_rows_updated": int(m["num_target_rows_updated"]),
             "num_target_rows_deleted": int(m["num_target_rows_deleted"]),
