@@ -13,9 +13,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def stage_chunks(df: DataFrame, root: str, chunk_of: Column, chunks: list) -> list[str]:
+def stage_chunks(df: DataFrame, root: str, chunk_of: Column, chunks: list | None = None) -> list[str]:
     """Write ``df`` rows with ``chunk_of == c`` into ``root/chunk=<i>`` in the order
-    of ``chunks``; returns the folders."""
+    of ``chunks``; returns the folders.
+
+    Without ``chunks`` (consumers that do not depend on arrival order) all
+    chunks are staged by one partitioned write: one scan of ``df``.
+    """
+    if chunks is None:
+        df.withColumn("chunk", chunk_of).write.partitionBy("chunk").parquet(root)
+        return [root]
     out = []
     for i, c in enumerate(chunks):
         path = f"{root}/chunk={i:05d}"
