@@ -26,7 +26,7 @@ def _reject_storage_options(kwargs: dict, what: str) -> None:
 
 
 def configure_azure_account(spark: SparkSession, account: str, key: str | None = None,
-                            sas_token: str | None = None, container: str | None = None) -> None:
+                            sas_token: str | None = None) -> None:
     """Bind blob-store credentials once, on the session (hadoop-azure options)."""
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     host = f"{account}.dfs.core.windows.net"
