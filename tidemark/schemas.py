@@ -20,11 +20,6 @@ def _schema(fields: str) -> T.StructType:
     return T.StructType([T.StructField(n, _TYPES[t], True) for n, t in pairs])
 
 
-def ddl(schema: T.StructType) -> str:
-    """The schema as a DDL string for ``from_json`` / ``readStream.schema``."""
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-
-
 def with_ntz(schema: T.StructType) -> T.StructType:
     """The same schema with ``timestamp`` fields as ``timestamp_ntz``."""
     return T.StructType([T.StructField(f.name, T.TimestampNTZType() if isinstance(f.dataType, T.TimestampType)

@@ -7,7 +7,6 @@ Nothing here hides Spark: ``build_session`` is the builder a user would write
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -61,14 +60,6 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:") or "://" not in path
-
-
-def local_exists(path: str) -> bool:
-    return os.path.exists(path[len("file:"):] if path.startswith("file:") else path)
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on its file system (local, HDFS or object store)."""
     jvm = spark.sparkContext._jvm
