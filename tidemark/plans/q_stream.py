@@ -96,11 +96,13 @@ def _journey_stream(spark, sf, mode, to_table: bool = False):
         gold = VersionedTable(spark, f"{root}/gold")
         gold.write(spark.createDataFrame([], J.journey_output(rows).schema), bucket_by="event_id", num_buckets=16)
         out = J.journey_output(rows)
-        _run_to_end(UP.start_upsert_stream(out, gold, "event_id", f"{root}/ckpt", order_by="timestamp"))
+        _run_to_end(UP.start_upsert_stream(out, gold, "event_id", f"{root}/ckpt", order_by="timestamp",
+                                           partitions=spark.sparkContext.defaultParallelism))
         return gold.read()
-    q = (rows.writeStream.format("parquet").outputMode("append").option("path", f"{root}/out")
-         .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
-    _run_to_end(q)
+    w = (rows.writeStream.format("parquet").outputMode("append").option("path", f"{root}/out")
+         .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True))
+    # State partitions: the cluster's parallelism for this replay (a fresh checkpoint).
+    _run_to_end(SRC.start_with_partitions(w, spark, spark.sparkContext.defaultParallelism))
     return J.journey_output(spark.read.schema(rows.schema).parquet(f"{root}/out"))
 
 

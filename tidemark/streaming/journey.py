@@ -193,7 +193,7 @@ class JourneyProcessor(StatefulProcessor):
     def _watermark_us(self, timer_values) -> int:
         return timer_values.getCurrentWatermarkInMs() * 1000
 
-    def _release(self, key, timer_values) -> Iterator[pd.DataFrame]:
+    def _release(self, key, timer_values, fired_ms: int | None = None) -> Iterator[pd.DataFrame]:
         wm = self._watermark_us(timer_values)
         pend = self._load(self.pending)
         ts_i = _INPUT_COLS.index("ts_us")
@@ -201,7 +201,8 @@ class JourneyProcessor(StatefulProcessor):
         later = [r for r in pend if r[ts_i] > wm]
         if ready:
             yield self._process(key, ready, wm)
-        timers = list(self.handle.listTimers())
+        # A timer that just fired is already gone; do not delete it again.
+        timers = [t for t in self.handle.listTimers() if t != fired_ms]
         if later:
             if ready:
                 self.pending.put(later)
@@ -232,7 +233,7 @@ class JourneyProcessor(StatefulProcessor):
         yield from self._release(key, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._release(key, timerValues)
+        yield from self._release(key, timerValues, expiredTimerInfo.getExpiryTimeInMs())
 
     def close(self) -> None:
         pass

@@ -34,3 +34,21 @@ def stage_chunks(df: DataFrame, root: str, chunk_of: Column, chunks: list | None
 def chunk_stream(spark: SparkSession, root: str, schema, max_files: int = 1) -> DataFrame:
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
             .option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(root))
+
+
+def start_with_partitions(writer, spark: SparkSession, partitions: int | None):
+    """``writer.start()`` with ``partitions`` state/shuffle partitions.
+
+    A stateful query fixes its partition count when its checkpoint is created
+    (the session is cloned at start), so the setting is applied for the start
+    only and the caller's value restored afterwards.
+    """
+    if partitions is None:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, old)

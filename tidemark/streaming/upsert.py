@@ -40,7 +40,7 @@ def _upsert(table: VersionedTable, batch: DataFrame, key: str, order_by: str | N
 
 def start_upsert_stream(stream: DataFrame, table: VersionedTable, key: str, checkpoint: str,
                         order_by: str | None = None, available_now: bool = True,
-                        processing_time: str | None = None):
+                        processing_time: str | None = None, partitions: int | None = None):
     """Start the query; the checkpoint is the consumer position (the group)."""
     def each(batch: DataFrame, batch_id: int) -> None:
         upsert_batch(table, batch, key, order_by)
@@ -50,4 +50,5 @@ def start_upsert_stream(stream: DataFrame, table: VersionedTable, key: str, chec
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    return w.start()
+    from tidemark.streaming.sources import start_with_partitions
+    return start_with_partitions(w, stream.sparkSession, partitions)
