@@ -127,3 +127,9 @@ def test_null_keys_are_salted_not_skewed(spark):
     out = M.merge(t, s, UPSERT, predicate=PRED)
     assert out.count() == 401
     assert out.where(F.col("k") == 1).first()["v"] == 1
+
+
+def test_dedupe_latest_keeps_every_null_key_row(spark):
+    df = spark.createDataFrame([(None, 1), (None, 1), (1, 1), (1, 3)], "k int, o int")
+    out = M.dedupe_latest(df, ["k"], ["o"])
+    assert rows(out) == sorted([(None, 1), (None, 1), (1, 3)], key=repr)

@@ -106,3 +106,13 @@ def test_merge_deletes_and_insert_only_append(spark, tmp_table):
     assert all(set(v) <= set(parts_after[k]) for k, v in parts_before.items())
     assert m["num_target_rows_inserted"] == 10 and m["num_target_rows_copied"] == 0
     assert t.read().count() == 25 and [e["version"] for e in t.log()] == [0, 1, 2]
+
+
+def test_json_documents_are_bounded_and_one_per_file(spark, tmp_table):
+    path = tmp_table("docs") + ".json"
+    W.write_json_documents(spark.range(0, 250).repartition(3), path, rows_per_document=40)
+    docs = R.read_text(spark, path, whole=True, recursiveFileLookup=True).select(F.col("value")).collect()
+    import json
+    sizes = [len(json.loads(d["value"])) for d in docs]
+    assert sum(sizes) == 250 and max(sizes) <= 40
+    assert R.read_json(spark, path, schema="id bigint", recursiveFileLookup=True).count() == 250
