@@ -62,3 +62,32 @@ def test_random_against_brute_force_across_buckets(spark):
         assert run(spark, left, right, bucket=bucket) == brute(left, right)
     tol = dt.timedelta(minutes=90)
     assert run(spark, left, right, tol) == brute(left, right, tol)
+
+
+def test_plan_shuffles_the_big_side_once(spark):
+    import contextlib
+    import io
+    import re
+
+    left = [("u", ts(i), f"l{i}") for i in range(5)]
+    right = [("u", ts(i), f"r{i}", f"{i}") for i in range(5)]
+    l = spark.createDataFrame(left, "user string, t timestamp_ntz, lv string")
+    r = spark.createDataFrame(right, "user string, t timestamp_ntz, rv string, rid string")
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            asof_join(l, r, "user", "t", tiebreak="rid").explain("formatted")
+        plan = buf.getvalue()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    exchanges = re.findall(r"Arguments: hashpartitioning\(([^)]*)\)", plan)
+    by_key_bucket = [e for e in exchanges if "__ao_bucket" in e]
+    # Big side once (window), the small summary once (aggregate) and once more
+    # to meet the join: never a second shuffle of the windowed rows.
+    assert "SortMergeJoin" in plan
+    assert len(by_key_bucket) == 3 and len(exchanges) == 4
