@@ -1,8 +1,8 @@
 """Registered queries of this subpackage: each module's ``QUERIES`` and ``ORACLES``."""
 
-from tidemark.llm import op1_jaccard, op3_quality, op4_substring, op5_packing, op7_decontaminate
+from tidemark.llm import op1_jaccard, op3_quality, op4_substring, op5_packing, op7_decontaminate, op9_rules
 
-_MODULES = [op1_jaccard, op3_quality, op4_substring, op5_packing, op7_decontaminate]
+_MODULES = [op1_jaccard, op3_quality, op4_substring, op5_packing, op7_decontaminate, op9_rules]
 
 
 def queries() -> dict:
