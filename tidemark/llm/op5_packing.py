@@ -24,7 +24,7 @@ from tidemark.llm.tokens import ChunkEncoder, default_path
 from tidemark.llm.words import chunks, out_schema
 
 CAPACITY, BLOCK_ITEMS = 4096, 4096
-ISLANDS, EPOCHS, POPULATION, CROSSOVERS = 3, 2, 4, 6
+ISLANDS, EPOCHS, POPULATION, CROSSOVERS = 3, 2, 4, 16
 #: Bins below this share of the capacity are packed anew in the next round.
 WELL_FILLED, ROUNDS = 0.98, 2
 
@@ -105,7 +105,8 @@ def crossover(lengths: np.ndarray, host: np.ndarray, donor: np.ndarray, capacity
     keep = child >= 0
     child[keep] = renumbered(child[keep])
     displaced = np.flatnonzero(child < 0)
-    return best_fit(lengths, child, displaced[np.argsort(-lengths[displaced], kind="stable")].tolist(), capacity)
+    size = lengths[displaced] * (rng.normal(1, 0.1, len(displaced)) if rng.random() < 0.5 else 1)
+    return best_fit(lengths, child, displaced[np.argsort(-size, kind="stable")].tolist(), capacity)
 
 
 def evolve(lengths: np.ndarray, capacity: int, seed: list[int], elites: list[np.ndarray]) -> np.ndarray:
