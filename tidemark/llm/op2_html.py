@@ -67,13 +67,14 @@ class Node:
     __slots__ = ("parent", "tag", "path", "noise", "article", "bare", "children", "texts")
 
     def __init__(self, parent: "Node | None", tag: str, attributes: str):
-        named = {k.lower(): v.strip("\"'").lower() for k, v in _ATTRIBUTE.findall(attributes)} if attributes else {}
-        words = sorted({*_NAME.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", named.get("class", "") + " " + named.get("id", "")))})
+        named = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)} if attributes else {}
+        labels = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", named.get("class", "") + " " + named.get("id", ""))
+        words = sorted({*_NAME.findall(labels.lower())})
         self.parent, self.tag, self.children, self.texts = parent, tag, [], []
         signature = ".".join([tag, *words])
         self.path = xxhash.xxh3_64_intdigest(signature, parent.path if parent else 0)
         inside = parent is not None and parent.article
-        noise = tag in NOISE_TAGS or named.get("role") in NOISE_ROLES or "hidden" in named or named.get("aria-hidden") == "true"
+        noise = tag in NOISE_TAGS or named.get("role", "").lower() in NOISE_ROLES or "hidden" in named or named.get("aria-hidden") == "true"
         if tag == "article":
             noise |= bool({"comment", "comments", "related", "ad", "promo"} & {*words})
         elif tag not in ("html", "body", "main"):

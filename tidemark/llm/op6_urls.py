@@ -86,7 +86,7 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     scores = stored(gram_scores(grams), "grams")
     scored = _grams(urls).join(scores, "gram").groupBy("_letters", "a", "b").agg(F.avg("score").alias("score"))
     scored = stored(scored, "scores")
-    mean = lambda w, x: F.sum(F.col(w) * x) / F.sum(w)
+    mean = lambda w, x: F.try_divide(F.sum(F.col(w) * x), F.sum(F.col(w).cast("double")))
     marks = scored.agg(*[mean(w, F.col("score") ** p).alias(f"{w}{p}") for w in "ab" for p in (1, 2)])
     spread = {w: F.sqrt(F.greatest(F.col(f"{w}2") - F.col(f"{w}1") ** 2, F.lit(0.0))) + 1e-9 for w in "ab"}
     limit = marks.select(((F.col("a1") * spread["b"] + F.col("b1") * spread["a"]) / (spread["a"] + spread["b"])).alias("limit")).first()[0]
