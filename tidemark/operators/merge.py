@@ -1,12 +1,12 @@
 """MERGE (upsert) as a DataFrame composition.
 
 ``merge(target, source, ...)`` returns the table's next contents; nothing is
-written here (``tidemark.table`` writes it). The plan is one join of the two
-sides on the merge predicate, one CASE column that names the clause each row
-takes, and one projection per target column. Catalyst sees the whole thing:
-the equi conjuncts of the predicate become the shuffle keys, and the rest of the
-predicate and the clause conditions are ordinary expressions in the same
-codegen stage.
+written here (``tidemark.table`` writes it). The plan is a left join of the
+target to the source on the merge predicate, a union with the source rows that
+match nothing (where a clause takes those), one CASE column that names the
+clause each row takes, and one projection per target column. A small source can
+be broadcast into the left join, so that the target is not shuffled, and AQE can
+split a skewed key; neither holds for a full outer join.
 
 Clause semantics (as in Delta Lake MERGE):
 
@@ -29,15 +29,15 @@ Scale notes:
 * ``on_duplicate="latest"`` keeps one source row per key with a ``max_by``
   aggregate, which is combined map-side, so a hot key costs one small partial
   row per task instead of one giant group.
-* An insert-only merge needs no full outer join: it is a left-anti join of the
-  source against the target, and the table layer appends it without
-  rewriting anything.
+* Source rows that match nothing are found against the distinct source keys that
+  the target has, so the target's own rows take part in no second join.
+* An insert-only merge is that anti join alone; the table layer appends it
+  without rewriting or reading the rest.
 """
 
 from __future__ import annotations
 
 import re
-import warnings
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -100,36 +100,21 @@ def merge_options(
     when_not_matched_insert_params: dict | None = None,
     when_not_matched_insert_all: bool = False,
 ) -> dict[str, dict]:
-    """Flags to an ordered ``{method: kwargs}`` dict (the reference's builder).
+    """Flags and column maps to ``{method: arguments}``, tried in the order of ``MERGE_METHODS``.
 
-    The emitted order is fixed: matched delete, update, update_all, by-source
-    delete, update, insert, insert_all. A flag that needs a map raises
-    ``DataWriterError`` without one.
+    ``Clause`` validates: a method that needs a column map raises without one.
     """
-    opts: dict[str, dict] = {}
-    if when_matched_delete:
-        opts["when_matched_delete"] = {"predicate": None}
-    if when_matched_update:
-        if not when_matched_update_params:
-            raise DataWriterError("when_matched_update_params is required when when_matched_update is True")
-        opts["when_matched_update"] = {"updates": when_matched_update_params}
-    if when_matched_update_all:
-        opts["when_matched_update_all"] = {"predicate": None}
-    if when_not_matched_by_source_delete:
-        opts["when_not_matched_by_source_delete"] = {"predicate": None}
-    if when_not_matched_by_source_update:
-        if not when_not_matched_by_source_update_params:
-            raise DataWriterError("when_not_matched_by_source_update_params is required when "
-                                  "when_not_matched_by_source_update is True")
-        opts["when_not_matched_by_source_update"] = {"updates": when_not_matched_by_source_update_params}
-    if when_not_matched_insert:
-        if not when_not_matched_insert_params:
-            raise DataWriterError("when_not_matched_insert_params is required when "
-                                  "when_not_matched_insert is True")
-        opts["when_not_matched_insert"] = {"updates": when_not_matched_insert_params}
-    if when_not_matched_insert_all:
-        opts["when_not_matched_insert_all"] = {"predicate": None}
-    return opts
+    given = {
+        "when_matched_delete": (when_matched_delete, None),
+        "when_matched_update": (when_matched_update, when_matched_update_params),
+        "when_matched_update_all": (when_matched_update_all, None),
+        "when_not_matched_by_source_delete": (when_not_matched_by_source_delete, None),
+        "when_not_matched_by_source_update": (when_not_matched_by_source_update, when_not_matched_by_source_update_params),
+        "when_not_matched_insert": (when_not_matched_insert, when_not_matched_insert_params),
+        "when_not_matched_insert_all": (when_not_matched_insert_all, None),
+    }
+    wanted = [Clause(method, updates=given[method][1]) for method in MERGE_METHODS if given[method][0]]
+    return {c.method: {"updates": c.updates} if c.updates else {"predicate": None} for c in wanted}
 
 
 def clauses_from_options(options: dict[str, dict] | list[Clause]) -> list[Clause]:
@@ -143,17 +128,19 @@ def clauses_from_options(options: dict[str, dict] | list[Clause]) -> list[Clause
     return [Clause(k, (v or {}).get("predicate"), (v or {}).get("updates")) for k, v in options.items()]
 
 
-_CONJ = re.compile(r"^\s*\(?\s*(\w+)\.`?(\w+)`?\s*=\s*(\w+)\.`?(\w+)`?\s*\)?\s*$")
+_CONJ = re.compile(r"^\s*(\w+)\.`?(\w+)`?\s*=\s*(\w+)\.`?(\w+)`?\s*$")
+#: A predicate with any of these is not read for keys: a conjunct may stand inside something else.
+_COMPOUND = re.compile(r"[()'\"]|\b(or|not|case|between)\b", re.IGNORECASE)
 
 
 def equi_keys(predicate: str, source_alias: str, target_alias: str) -> tuple[list[tuple[str, str]], bool]:
     """``(target_col, source_col)`` pairs of the predicate's top-level ``a.x = b.y``
     conjuncts, and whether those pairs are the whole predicate.
 
-    Used only for the NULL-key bypass, duplicate checks and bucket pruning; a
-    predicate with an OR anywhere yields no pairs (conservative).
+    Only a plain chain of conjuncts is read; a predicate with parentheses, NOT,
+    OR, CASE, BETWEEN or text yields no pairs. Give ``on`` for those.
     """
-    if re.search(r"\bor\b", predicate, flags=re.IGNORECASE):
+    if _COMPOUND.search(predicate):
         return [], False
     pairs, whole = [], True
     for conj in re.split(r"\s+and\s+", predicate, flags=re.IGNORECASE):
@@ -171,6 +158,21 @@ def equi_keys(predicate: str, source_alias: str, target_alias: str) -> tuple[lis
     return pairs, whole
 
 
+def merge_keys(predicate: str | None, on: list[str] | None, source_alias: str,
+               target_alias: str) -> tuple[list[tuple[str, str]], bool, str]:
+    """Key pairs, whether they are all of the condition, and the condition as SQL."""
+    if predicate is None and not on:
+        raise DataWriterError("give a merge predicate or key columns")
+    same = [f"{source_alias}.`{k}` = {target_alias}.`{k}`" for k in on or []]
+    if predicate is None:
+        return [(k, k) for k in on], True, " AND ".join(same)
+    keys, whole = equi_keys(predicate, source_alias, target_alias)
+    if not on:
+        return keys, whole, predicate
+    more = [pair for pair in keys if pair not in {(k, k) for k in on}]
+    return [(k, k) for k in on] + more, whole, " AND ".join([*same, f"({predicate})"])
+
+
 @dataclass
 class MergePlan:
     """The joined, action-tagged rows and the projection to the new table."""
@@ -183,14 +185,15 @@ class MergePlan:
     keep: Column | None = None
     outputs: list[Column] = field(default_factory=list)
     only_inserts: bool = False
+    only_new: DataFrame | None = None
 
-    def project(self, tagged: DataFrame) -> DataFrame:
-        """``tagged`` (possibly wrapped in an ``observe``) to the new table rows."""
-        return tagged.where(self.keep).select(*self.outputs)
+    def rows(self) -> DataFrame:
+        """The new table's rows with the code of the clause that made each (``ACTION``)."""
+        return self.tagged.where(self.keep).select(*self.outputs, ACTION)
 
-    def inserted_rows(self, tagged: DataFrame) -> DataFrame:
-        """Only the rows an insert clause produces (append path)."""
-        return tagged.where(F.col(ACTION).isin(_codes(self.clauses, _INSERTS))).select(*self.outputs)
+    def inserted_rows(self) -> DataFrame:
+        """Only the rows an insert clause makes, with its code (append path: the target is not read for copies)."""
+        return self.only_new.where(F.col(ACTION).isin(_codes(self.clauses, _INSERTS))).select(*self.outputs, ACTION)
 
     def metrics(self) -> DataFrame:
         """One row of merge statistics, computed in one pass over ``tagged``.
@@ -291,12 +294,15 @@ def merge_plan(
     latest_by: list[str] | None = None,
     check_source: DataFrame | None = None,
     source_has_duplicate_keys: bool | None = None,
+    allow_nested_loop: bool = False,
 ) -> MergePlan:
     """Plan a merge; see the module docstring for the semantics.
 
     ``predicate`` is a SQL boolean over ``<source_alias>.col`` and
-    ``<target_alias>.col``; ``on`` is the shorthand for equality on same-named
-    columns. ``on_duplicate``: ``"error"`` (a target row matched by several
+    ``<target_alias>.col``; ``on`` names columns that must be equal on
+    both sides; with both, both must hold. Without an equality to join on, every
+    target row would be held against every source row: that is refused unless
+    ``allow_nested_loop``. ``on_duplicate``: ``"error"`` (a target row matched by several
     source rows fails the merge, as in Delta), ``"latest"`` (keep the source
     row with the greatest ``latest_by`` per key first) or ``"expand"`` (every
     matching pair is a row, as a plain join gives). ``check_source``: the same
@@ -309,14 +315,10 @@ def merge_plan(
     clauses = clauses_from_options(clauses)
     if not clauses:
         raise DataWriterError("a merge needs at least one clause")
-    if predicate is None:
-        if not on:
-            raise DataWriterError("give a merge predicate or key columns")
-        predicate = " AND ".join(f"{source_alias}.{k} = {target_alias}.{k}" for k in on)
-    keys, whole = equi_keys(predicate, source_alias, target_alias)
-    if not keys:
-        warnings.warn("merge predicate has no `source.col = target.col` conjunct: the full outer join "
-                      "runs as a nested loop, which does not scale", stacklevel=2)
+    keys, whole, predicate = merge_keys(predicate, on, source_alias, target_alias)
+    if not keys and not allow_nested_loop:
+        raise DataWriterError("the merge predicate has no plain `source.col = target.col` conjunct to join on; "
+                              "give key columns with on=, or allow_nested_loop=True for a small source")
     if on_duplicate not in ("error", "latest", "expand"):
         raise DataWriterError(f"on_duplicate must be error, latest or expand, not {on_duplicate!r}")
 
@@ -347,19 +349,31 @@ def merge_plan(
         t_w = t_w.withColumn(_SALT, _salt(T, [t for t, _ in keys], tcols))
         s_w = s_w.withColumn(_SALT, _salt(S, [s for _, s in keys], scols))
         cond = cond & (t_w[_SALT] == s_w[_SALT])
+    def unmatched_source() -> DataFrame:
+        """Source rows that match no target row."""
+        if keys and whole:
+            # Keys of the source that the target has: few, however large the target is.
+            skeys = reduce(lambda x, y: x & y, [F.col(f"__t.`{t}`") == F.col(f"__s.`{k}`") for t, k in keys])
+            found = target.select(*{t for t, _ in keys}).alias("__t").join(source.select(*{k for _, k in keys}).alias("__s"), skeys, "left_semi").distinct().alias("__f")
+            none = reduce(lambda x, y: x & y, [F.col(f"__f.`{t}`") == F.col(f"{S}.`{k}`") for t, k in keys])
+            if _SALT in s_w.columns:
+                found = found.select("*", F.lit(0).alias("__f_salt"))
+                none = none & (F.col("__f_salt") == F.col(_SALT))
+            return s_w.join(found, none, "left_anti")
+        return s_w.join(t_w, cond, "left_anti")
+
+    inserts = None
+    if any(c.method in _NOT_MATCHED for c in clauses):
+        inserts = unmatched_source().select(F.lit(None).cast(t_struct_type).alias(T), F.col(S),
+                                            F.lit(None).cast("boolean").alias(_T_FLAG), F.col(_S_FLAG))
     if only_inserts:
-        # No target row changes: target rows are copied, source rows that match
-        # nothing are the candidates. An anti join instead of a full outer.
-        unmatched = s_w.join(t_w, cond, "left_anti").select(
-            F.lit(None).cast(t_struct_type).alias(T), F.col(S),
-            F.lit(None).cast("boolean").alias(_T_FLAG), F.col(_S_FLAG))
-        copied = t_w.select(F.col(T), F.lit(None).cast(s_struct_type).alias(S), F.col(_T_FLAG),
+        # No target row changes: they are copied as they are.
+        joined = t_w.select(F.col(T), F.lit(None).cast(s_struct_type).alias(S), F.col(_T_FLAG),
                             F.lit(None).cast("boolean").alias(_S_FLAG))
-        joined = copied.unionByName(unmatched)
     else:
-        joined = t_w.join(s_w, cond, "full_outer")
-        if keys:
-            joined = joined.drop(t_w[_SALT]).drop(s_w[_SALT])
+        joined = t_w.join(s_w, cond, "left").select(T, S, _T_FLAG, _S_FLAG)
+    if inserts is not None:
+        joined = joined.unionByName(inserts)
 
     if on_duplicate == "error" and has_matched:
         if keys and whole:
@@ -392,6 +406,7 @@ def merge_plan(
         action = (F.when(cond_group, F.lit(default)) if action is None
                   else action.when(cond_group, F.lit(default)))
     tagged = joined.withColumn(ACTION, action)
+    only_new = None if inserts is None else inserts.withColumn(ACTION, action)
 
     scols_set = set(scols)
     ttypes = {f.name: f.dataType for f in target.schema.fields}
@@ -417,7 +432,7 @@ def merge_plan(
 
     keep = ~F.col(ACTION).isin(_codes(clauses, _DELETES) + [SKIP])
     output = tagged.where(keep).select(*outputs)
-    return MergePlan(tagged, tcols, output, clauses, source, keys, keep, outputs, only_inserts)
+    return MergePlan(tagged, tcols, output, clauses, source, keys, keep, outputs, only_inserts, only_new)
 
 
 def merge(target: DataFrame, source: DataFrame, clauses, **kwargs) -> DataFrame:

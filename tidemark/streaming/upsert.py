@@ -4,7 +4,9 @@ Each micro-batch is first reduced to the newest row per key (``dedupe_latest``,
 map-side combined), then merged. With ``newer_only`` the matched update applies
 only when the incoming row's order column is not older than the stored one, so
 replaying a batch after a failure, or receiving a re-sent event late, leaves
-the same table: at-least-once delivery becomes an idempotent result.
+the same table: at-least-once delivery becomes an idempotent result. Without an
+order column a key may come once in a batch only; more fail the merge rather
+than multiply rows with every replay.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ def _upsert(table: VersionedTable, batch: DataFrame, key: str, order_by: str | N
                        predicate=f"source.`{order_by}` >= target.`{order_by}`")
               if (order_by and newer_only) else M.Clause("when_matched_update_all"))
     clauses = [update, M.Clause("when_not_matched_insert_all")]
-    return table.merge(batch, clauses, predicate=pred, on_duplicate="expand" if not order_by else "error")
+    return table.merge(batch, clauses, predicate=pred, on_duplicate="error")
 
 
 def start_upsert_stream(stream: DataFrame, table: VersionedTable, key: str, checkpoint: str,

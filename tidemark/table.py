@@ -26,7 +26,7 @@ import json
 import math
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,31 +42,6 @@ def bucket_of(cols: list[Column], num_buckets: int) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(num_buckets)).cast("int")
 
 
-def observed(obs: Observation, timeout_s: float = 2.0) -> dict | None:
-    """An observation's metrics, or None when they do not arrive in time.
-
-    Metrics are published by a listener right after the action that computed
-    them; some plans (an input Spark proved empty, some micro-batch plans) never
-    publish them, and ``Observation.get`` would then wait forever. Callers fall
-    back to an explicit aggregate.
-    """
-    import threading
-
-    box: dict = {}
-
-    def fetch():
-        try:
-            box["v"] = obs.get
-        except Exception as e:  # noqa: BLE001 - reported as "no metrics"
-            box["e"] = e
-
-    t = threading.Thread(target=fetch, daemon=True)
-    t.start()
-    t.join(timeout_s)
-    v = box.get("v")
-    return dict(v) if v else None
-
-
 def _now() -> str:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat(timespec="microseconds")
 
@@ -151,41 +126,32 @@ class VersionedTable:
         return self._read_parts(self._entry(version, timestamp))
 
     # ---- write -----------------------------------------------------------
-    def _write_data(self, df: DataFrame, version: int, bucket_by: list[str] | None, num_buckets: int | None,
-                    tag: str = "") -> tuple[dict[str, list[str]], int]:
-        """Write ``df`` under ``data/v=<version>``; return written parts and the row count.
+    def _write_data(self, df: DataFrame, version: int, bucket_by: list[str] | None,
+                    num_buckets: int | None) -> tuple[dict[str, list[str]], dict[int | None, int]]:
+        """Write ``df`` in a folder of its own; return its parts and row counts by action code.
 
-        The row count and the set of non-empty buckets (at most ``num_buckets``
-        ints) are observed during the write itself: no extra pass.
+        Each attempt has a new folder, so one that failed half-way is in nobody's
+        way. Counts are taken from the files that were written: tasks that Spark
+        ran again count once.
         """
-        rel = f"data/v={version}{tag}"
-        obs = Observation(f"tm_write_{uuid.uuid4().hex}")
+        rel = f"data/v={version}-{uuid.uuid4().hex[:12]}"
+        path, out = f"{self.path}/{rel}", df
         if bucket_by:
             out = df.withColumn(_BUCKET, bucket_of([F.col(c) for c in bucket_by], num_buckets))
-            out = out.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set(_BUCKET).alias("buckets"))
-            out.hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).parquet(f"{self.path}/{rel}")
-            got = self._observed(obs, rel, out.schema, bucketed=True)
-            parts = {str(b): [f"{rel}/{_BUCKET}={b}"] for b in sorted(got["buckets"])}
+            out.hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).parquet(path)
         else:
-            out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-            out.write.parquet(f"{self.path}/{rel}")
-            got = self._observed(obs, rel, out.schema, bucketed=False)
-            parts = {_ALL: [rel]}
-        return parts, int(got["rows"])
-
-    def _observed(self, obs: Observation, rel: str, schema: T.StructType, bucketed: bool) -> dict:
-        """The write's observed metrics. Spark drops the metrics node when it
-        proves the input empty; then the figures are read back from the files."""
-        got = observed(obs)
-        if got and "rows" in got:
-            return got
-        if not path_exists(self.spark, f"{self.path}/{rel}"):
-            return {"rows": 0, "buckets": []}
-        written = self.spark.read.schema(schema).parquet(f"{self.path}/{rel}")
-        agg = [F.count(F.lit(1)).alias("rows")]
-        if bucketed:
-            agg.append(F.collect_set(_BUCKET).alias("buckets"))
-        return written.agg(*agg).first().asDict()
+            out.write.parquet(path)
+        if not path_exists(self.spark, path):
+            return {}, {}
+        action = F.col(M.ACTION) if M.ACTION in df.columns else F.lit(None).cast("int")
+        written = self.spark.read.schema(out.schema).parquet(path)
+        bucket = F.col(_BUCKET) if bucket_by else F.lit(None).cast("int")
+        rows = written.groupBy(bucket.alias("b"), action.alias("a")).count().collect()  # buckets x clauses at most
+        counts: dict[int | None, int] = {}
+        for r in rows:
+            counts[r.a] = counts.get(r.a, 0) + r["count"]
+        parts = {str(b): [f"{rel}/{_BUCKET}={b}"] for b in sorted({r.b for r in rows})} if bucket_by else {_ALL: [rel]}
+        return parts, counts
 
     def write(self, df: DataFrame, mode: str = "errorifexists", overwrite_schema: bool = False,
               bucket_by: list[str] | str | None = None, num_buckets: int = 64) -> dict | None:
@@ -214,11 +180,14 @@ class VersionedTable:
                 raise DataWriterError("append needs the table's schema; overwrite with overwrite_schema=True")
             if mode == "overwrite" and not same and not overwrite_schema:
                 raise DataWriterError("schema differs; pass overwrite_schema=True to replace it")
+            if mode == "append" and bucket_by is not None and (list(bucket_by), num_buckets) != (cur.get("bucket_by"), cur.get("num_buckets")):
+                raise DataWriterError("append must keep the table's buckets; overwrite it to change them")
             if bucket_by is None and mode in ("append", "overwrite") and cur.get("bucket_by"):
                 if all(c in df.columns for c in cur["bucket_by"]):
                     bucket_by, num_buckets = cur["bucket_by"], cur["num_buckets"]
         version = cur["version"] + 1 if cur else 0
-        parts, rows = self._write_data(df, version, bucket_by, num_buckets)
+        parts, counts = self._write_data(df, version, bucket_by, num_buckets)
+        rows = sum(counts.values())
         if mode == "append" and cur is not None:
             merged = {k: list(v) for k, v in cur["parts"].items()}
             for k, v in parts.items():
@@ -242,11 +211,7 @@ class VersionedTable:
         """
         cur = self._entry()
         clauses = M.clauses_from_options(clauses)
-        if predicate is None:
-            if not on:
-                raise DataWriterError("give a merge predicate or key columns")
-            predicate = " AND ".join(f"{source_alias}.{k} = {target_alias}.{k}" for k in on)
-        keys, _ = M.equi_keys(predicate, source_alias, target_alias)
+        keys, _, predicate = M.merge_keys(predicate, on, source_alias, target_alias)
         schema = T.StructType.fromJson(cur["schema"])
         bucket_by, nb = cur.get("bucket_by"), cur.get("num_buckets")
 
@@ -255,6 +220,10 @@ class VersionedTable:
         kmap = dict(keys)
         prune = bool(bucket_by) and not by_source and all(b in kmap for b in bucket_by)
         n_source, has_dups = None, None
+        # Read more than once below: written first, so that every pass sees the same rows.
+        staged = f"{self.path}/staged/{uuid.uuid4().hex[:12]}"
+        source.write.parquet(staged)
+        source = self.spark.read.schema(source.schema).parquet(staged)
         if keys:
             # One profile of the source keys, combined map-side: row count, the
             # largest number of copies of a key, and the buckets the keys hash
@@ -277,16 +246,14 @@ class VersionedTable:
                             source_alias=source_alias, target_alias=target_alias,
                             on_duplicate=on_duplicate, latest_by=latest_by,
                             source_has_duplicate_keys=has_dups)
-        obs = Observation(f"tm_merge_{uuid.uuid4().hex}")
-        tagged = plan.tagged.observe(obs, *M.metric_columns(plan.clauses))
         version = cur["version"] + 1
         parts = {k: list(v) for k, v in cur["parts"].items()}
         if plan.only_inserts:
-            new_parts, _ = self._write_data(plan.inserted_rows(tagged), version, bucket_by, nb)
+            new_parts, counts = self._write_data(plan.inserted_rows(), version, bucket_by, nb)
             for k, v in new_parts.items():
                 parts.setdefault(k, []).extend(v)
         else:
-            new_parts, _ = self._write_data(plan.project(tagged), version, bucket_by, nb)
+            new_parts, counts = self._write_data(plan.rows(), version, bucket_by, nb)
             replaced = list(parts.keys()) if touched is None else [str(b) for b in touched]
             for k in replaced:
                 parts.pop(k, None)
@@ -295,9 +262,11 @@ class VersionedTable:
                     parts[k] = v
                 else:
                     parts.setdefault(k, []).extend(v)
-        m = observed(obs)
-        if m is None:  # metrics not published: one aggregate over the plan
-            m = plan.tagged.agg(*M.metric_columns(plan.clauses)).first().asDict()
+        made = lambda kinds: sum(counts.get(i, 0) for i in M._codes(plan.clauses, kinds))
+        m = {"num_target_rows_inserted": made(M._INSERTS), "num_target_rows_updated": made(M._UPDATES),
+             "num_target_rows_copied": counts.get(M.COPY, 0), "num_target_rows_deleted": 0}
+        if any(c.method in M._DELETES for c in plan.clauses):  # rows that are not written: counted from the plan
+            m["num_target_rows_deleted"] = plan.tagged.agg(*M.metric_columns(plan.clauses)).first()["num_target_rows_deleted"]
         metrics = {
             "num_source_rows": n_source if n_source is not None else int(source.count()),
             "num_target_rows_inserted": int(m["num_target_rows_inserted"]),
@@ -337,7 +306,8 @@ class VersionedTable:
         if not bucket_by:
             df = df.repartition(n_target)
         version = cur["version"] + 1
-        parts, rows = self._write_data(df, version, bucket_by, nb)
+        parts, counts = self._write_data(df, version, bucket_by, nb)
+        rows = sum(counts.values())
         entry = {"version": version, "timestamp": _now(), "operation": "OPTIMIZE", "mode": None,
                  "schema": cur["schema"], "bucket_by": bucket_by, "num_buckets": nb, "parts": parts,
                  "metrics": {"num_files_removed": n_before, "num_removed_bytes": bytes_before,
