@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.store import stored
 
+EDGES_PER_TASK = 100_000
+
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node``, ``component`` (its smallest node) for every node that has an edge to another.
@@ -22,13 +24,14 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     edges = stored(_oriented(edges), "edges")
     mark = _mark(edges)
     while mark[0]:
+        tasks = max(8, mark[0] // EDGES_PER_TASK)
         both = edges.union(edges.select("v", "u")).toDF("u", "v")
-        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "minima")
+        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "minima", tasks)
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        large = stored(_oriented(large), "edges")
-        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "minima")
+        large = stored(_oriented(large), "edges", tasks)
+        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "minima", tasks)
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(least.toDF("u", "v"))
-        edges = stored(_oriented(small), "edges")
+        edges = stored(_oriented(small), "edges", tasks)
         last, mark = mark, _mark(edges)
         if mark == last:
             break

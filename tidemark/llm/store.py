@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame
 from tidemark.session import scratch_dir
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, tasks: int | None = None) -> DataFrame:
+    """``df`` written and read back; by ``tasks`` tasks at most, where its size is known to be small for more."""
     spark = df.sparkSession
+    df = df.coalesce(tasks) if tasks else df
     path = scratch_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
