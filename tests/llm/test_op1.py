@@ -49,8 +49,9 @@ def corpus(seed, groups=12):
     return out
 
 
-@pytest.mark.parametrize("block", [400_000, 150])
-def test_components_equal_brute_force(spark, block):
+@pytest.mark.parametrize("block,frequent", [(400_000, 100), (150, 4)])
+def test_components_equal_brute_force(spark, monkeypatch, block, frequent):
+    monkeypatch.setattr(J, "FREQUENT", frequent)
     texts = corpus(block) + [None, "", " \t\n", "one", "ONE", "one two", "One\x0btwo", "É a b c d", "é a b c d", "x " * 5000, "X " * 4000]
     rows = list(enumerate(texts)) + [(3, "one"), (None, "one two"), (None, "alone in null")]
     df = spark.createDataFrame([(i, t, 5, "x") for i, t in rows], "doc_id long, text string, class long, `_text` string").repartition(4)
@@ -87,11 +88,31 @@ def test_signatures_meet_for_every_similar_pair():
             b = np.unique(np.concatenate([b, r.integers(0, 2 ** 63, r.integers(0, 4), dtype=np.uint64)]))
             both = len(np.intersect1d(a, b))
             if 100 * both >= 85 * (len(a) + len(b) - both):
-                sig, who = J.signatures([a, b], levels)
-                assert set(sig[who == 0].tolist()) & set(sig[who == 1].tolist())
+                for often in (0, 0.1, 0.6, 1):
+                    every = np.union1d(a, b)
+                    frequent = every[r.random(len(every)) < often]
+                    sig, who, _ = J.signatures([a, b], levels, frequent)
+                    assert set(sig[who == 0].tolist()) & set(sig[who == 1].tolist())
 
 
 def test_components_of_a_long_chain(spark):
     edges = spark.range(200).selectExpr("id AS a", "id + 1 AS b").union(spark.createDataFrame([(900, 901), (901, 900), (5, 5)], "a long, b long"))
     got = {r.node: r.component for r in connected_components(edges).collect()}
     assert got == {i: 0 for i in range(1, 201)} | {901: 900}
+
+
+@pytest.mark.parametrize("heap", [0, 400, 10 ** 9])
+def test_index_finds_all_links_with_any_merge(monkeypatch, heap):
+    monkeypatch.setattr(J, "HEAP_ENTRIES", heap)
+    r = np.random.default_rng(heap % 97)
+    base = [r.integers(0, 2 ** 62, 60, dtype=np.uint64) for _ in range(3)]
+    sets = []
+    for _ in range(80):
+        own = base[r.integers(3)].copy()
+        own[r.integers(0, 60, r.integers(0, 9))] = r.integers(0, 2 ** 62, dtype=np.uint64)
+        sets.append(np.unique(own))
+    index = J.InvertedIndex(sets)
+    for s in sets:
+        both = np.array([len(np.intersect1d(s, x)) for x in sets])
+        want = np.flatnonzero(100 * both >= 85 * (len(s) + index.sizes - both))
+        assert sorted(index.linked(s, 85, 100).tolist()) == want.tolist()

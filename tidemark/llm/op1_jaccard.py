@@ -4,8 +4,12 @@
 2. Blocking that loses no link. Two sets that reach the threshold differ in at
    most ``k`` shingles, where ``k`` follows from their sizes. Cut the hash space
    into more than ``k`` parts: one part at least holds the same shingles in both
-   sets. Each class signs every part; classes with an equal signature fall into
-   one candidate group (connected components over signatures).
+   sets. Each class signs every part. Classes with an equal signature of several
+   shingles fall into one candidate group (connected components over these).
+   A part of one or two shingles is often equal by chance, where texts share a
+   line; it gives candidate pairs instead, and only across groups. Shingles that
+   very many texts have are left out of the parts: leaving out any fixed set of
+   shingles takes no equal part away.
 3. In a candidate group the sets are indexed by inverted lists. Each set is a
    query: the short lists are heap-merged with skips, the long ones probed by
    binary search (DivideSkip), and what reaches the required overlap is checked
@@ -22,7 +26,6 @@ from __future__ import annotations
 
 import heapq
 from bisect import bisect_left
-from math import log2
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +36,17 @@ from tidemark.llm.store import stored, tables
 from tidemark.llm.words import as_int64, chunks, flat, gram_hashes, mix, window_starts, word_bounds, word_hashes
 
 _CLASS, _PART, _ALONE = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25), np.uint64(0xC2B2AE3D27D4EB4F)
-#: Weight of a long list's probe against a merged element, as published for DivideSkip.
-MU = 0.0085
+#: Work of probing a list for one document, in merged entries.
+PROBE = 20
+#: Entries of short lists up to which these are merged by a heap.
+HEAP_ENTRIES = 400
 BLOCK_SHINGLES = 400_000
 QUERIES_PER_CHUNK = 500
+#: Shingles of a part from which equal parts make a group.
+WIDE = 3
+#: A shingle counts as frequent from so many texts on, found so often in some task at least; so many are left out at most.
+FREQUENT, FREQUENT_IN_TASK, MOST_FREQUENT = 100, 3, 1_000_000
+_COUNTED = 4_000_000
 #: Rows of a plan (40 bytes each) that may be broadcast; a larger one is joined by shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -76,39 +86,55 @@ class Levels:
         # Sets of sizes up to h that reach the threshold differ in at most k elements.
         k = [2 * h * (den - num) // (den + num) for h in self.high]
         #: Parts beyond k + 1, for sets with empty parts: those do not count as equal.
-        self.spare = np.array([0 if not x else max(1, x // 40) for x in k])
+        self.spare = np.array([0 if not x else max(1, x // 16) for x in k])
         self.parts = np.array(k) + 1 + self.spare
 
     def of(self, size: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.low, size, side="right") - 1
 
 
-def signatures(sets: list[np.ndarray], levels: Levels) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of non-empty ``sets`` and, for each, the index of its set."""
+def _among(hashes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    if not len(frequent):
+        return np.zeros(len(hashes), bool)
+    return frequent[np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)] == hashes
+
+
+def signatures(sets: list[np.ndarray], levels: Levels, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures of non-empty ``sets``, the index of each one's set, and whether it is of several shingles.
+
+    ``frequent``: sorted hashes that parts leave out.
+    """
     if not sets:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
     sizes = np.array([len(s) for s in sets])
     every, who = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-    mixed, high = mix(every ^ _PART), every >> np.uint64(32)
-    found, owners, sparse = [], [], np.zeros(len(sets), bool)
+    often = _among(every, frequent)
+    own, of_set = every[~often], who[~often]
+    mixed, high = mix(own ^ _PART), own >> np.uint64(32)
+    found, owners, wide, sparse = [], [], [], np.zeros(len(sets), bool)
     for up in (0, 1):  # its own level, and the next one's for larger partners
         level = levels.of(sizes) + up
         parts = levels.parts[level]
-        part = (high * parts[who].astype(np.uint64)) >> np.uint64(32)
-        new = np.ones(len(every), bool)
-        new[1:] = (who[1:] != who[:-1]) | (part[1:] != part[:-1])
+        part = (high * parts[of_set].astype(np.uint64)) >> np.uint64(32)
+        new = np.ones(len(own), bool)
+        new[1:] = (of_set[1:] != of_set[:-1]) | (part[1:] != part[:-1])
         begin = np.flatnonzero(new)
-        of = who[begin]
-        found.append(mix(np.add.reduceat(mixed, begin) + part[begin] * _ALONE + level[of].astype(np.uint64) * _CLASS))
-        owners.append(of)
+        of = of_set[begin]
+        if len(begin):
+            found.append(mix(np.add.reduceat(mixed, begin) + part[begin] * _ALONE + level[of].astype(np.uint64) * _CLASS))
+            owners.append(of)
+            # A whole set of one part is no part equal by chance.
+            wide.append((np.diff(np.r_[begin, len(own)]) >= WIDE) | (parts[of] == 1))
         sparse |= parts - np.bincount(of, minlength=len(sets)) > levels.spare[level]
+    first = np.concatenate([[0], np.cumsum(sizes)])
     for i in np.flatnonzero(sparse):
-        # Two sets with too many empty parts share one of their smallest hashes instead (prefix filter).
-        n = len(sets[i])
-        prefix = sets[i][:n - -(-n * levels.num // levels.den) + 1]
-        found.append(mix(prefix ^ _ALONE))
-        owners.append(np.full(len(prefix), i))
-    return np.concatenate(found), np.concatenate(owners)
+        # Two sets with too many empty parts share one of their first hashes instead (prefix filter), frequent ones last.
+        n, o = int(sizes[i]), often[first[i]:first[i + 1]]
+        order = np.argsort(o, kind="stable")[:n - -(-n * levels.num // levels.den) + 1]
+        found.append(mix(sets[i][order] ^ _ALONE))
+        owners.append(np.full(len(order), i))
+        wide.append(o[order])
+    return tuple(np.concatenate(x) for x in (found, owners, wide))
 
 
 # Inside tasks: DivideSkip over one block.
@@ -171,6 +197,18 @@ class InvertedIndex:
         #: One sorted key for each (token, document): a probe of any list is a binary search here.
         self.keys = token[order] * len(sets) + self.docs
 
+    def _merge(self, tokens: np.ndarray, length: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray]:
+        """Documents in at least ``need`` of the tokens' lists, and in how many."""
+        total = int(length.sum())
+        if total <= HEAP_ENTRIES:
+            counts = merge_skip([self.docs[self.first[t]:self.first[t + 1]].tolist() for t in tokens.tolist()], need)
+            return np.fromiter(counts, np.int64, len(counts)), np.fromiter(counts.values(), np.int64, len(counts))
+        # The same count without a heap, where lists are long.
+        place = np.arange(total) + np.repeat(self.first[tokens] - np.cumsum(length) + length, length)
+        counts = np.bincount(self.docs[place], minlength=len(self.sets))
+        docs = np.flatnonzero(counts >= need)
+        return docs, counts[docs]
+
     def linked(self, query: np.ndarray, num: int, den: int) -> np.ndarray:
         """Documents whose set reaches num / den of Jaccard similarity with ``query``."""
         n = len(query)
@@ -180,20 +218,20 @@ class InvertedIndex:
         if len(at) < need:
             return np.zeros(0, np.int64)
         length = self.first[at + 1] - self.first[at]
-        at = at[np.argsort(length, kind="stable")]
-        n_long = min(need - 1, int(need / (MU * log2(max(2, int(length.max()))) + 1)))
-        short, long_ = at[:len(at) - n_long], at[len(at) - n_long:]
-        lists = [self.docs[self.first[t]:self.first[t + 1]].tolist() for t in short.tolist()]
-        counts = merge_skip(lists, need - n_long)
-        if not counts:
-            return np.zeros(0, np.int64)
-        docs = np.fromiter(counts, np.int64, len(counts))
-        overlap = np.fromiter(counts.values(), np.int64, len(counts))
-        for some in range(0, len(docs), max(1, 2_000_000 // max(1, len(long_)))):
-            s = slice(some, some + max(1, 2_000_000 // max(1, len(long_))))
-            probe = (long_[None, :] * len(self.sets) + docs[s, None]).ravel()
+        order = np.argsort(length, kind="stable")
+        at, length = at[order], length[order]
+        # How many long lists to leave to probes: the number with the least estimated work.
+        merged = np.concatenate([[0], np.cumsum(length)])[len(at) - np.arange(need)]
+        left = need - np.arange(need)
+        n_long = int(np.argmin(merged + PROBE * np.arange(need) * np.minimum(merged / left, len(self.sets))))
+        cut = len(at) - n_long
+        docs, overlap = self._merge(at[:cut], length[:cut], need - n_long)
+        step = max(1, 2_000_000 // max(1, n_long))
+        for some in range(0, len(docs) if n_long else 0, step):
+            s = slice(some, some + step)
+            probe = (at[None, cut:] * len(self.sets) + docs[s, None]).ravel()
             place = np.minimum(np.searchsorted(self.keys, probe), len(self.keys) - 1)
-            overlap[s] += (self.keys[place] == probe).reshape(-1, len(long_)).sum(1)
+            overlap[s] += (self.keys[place] == probe).reshape(-1, n_long).sum(1)
         return docs[den * overlap >= num * (n + self.sizes[docs] - overlap)]
 
 
@@ -229,7 +267,36 @@ def _doc_classes(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFra
     return picked.mapInArrow(rows, f"_id {kind}, n_shingles long, class long")
 
 
-def _signature_rows(texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
+def _frequent(texts: DataFrame, n: int) -> np.ndarray:
+    """Sorted hashes of shingles that many texts have, ``MOST_FREQUENT`` at most.
+
+    Which ones exactly only bears on the work: links do not depend on it.
+    """
+    def rows(batches):
+        held, size, seen = [], 0, set()
+
+        def counted():
+            hashes, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            many = counts >= FREQUENT_IN_TASK
+            return pa.RecordBatch.from_arrays([pa.array(as_int64(hashes[many])), pa.array(counts[many])], names=["hash", "n"])
+
+        for batch in chunks(batches, "_text"):
+            for s in shingle_sets(batch.column(0), n):
+                if len(s) and (c := set_class(s)) not in seen:
+                    seen.add(c)
+                    held.append(s)
+                    size += len(s)
+            if size > _COUNTED:
+                yield counted()
+                held, size = [], 0
+        yield counted()
+
+    many = texts.mapInArrow(rows, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
+    got = many.orderBy(F.desc("n"), "hash").limit(MOST_FREQUENT).select("hash").toArrow()["hash"].to_numpy()
+    return np.sort(got.astype(np.int64).view(np.uint64))
+
+
+def _signature_rows(texts: DataFrame, n: int, num: int, den: int, frequent) -> DataFrame:
     def rows(batches):
         levels, seen = Levels(num, den), set()
         for batch in chunks(batches, "_text"):
@@ -239,10 +306,10 @@ def _signature_rows(texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
                     seen.add(c)
                     own.append(s)
                     classes.append(c)
-            sig, who = signatures(own, levels)
-            yield pa.RecordBatch.from_arrays([pa.array(as_int64(sig)), pa.array(np.array(classes, np.int64)[who])], names=["sig", "class"])
+            sig, who, wide = signatures(own, levels, frequent.value)
+            yield pa.RecordBatch.from_arrays([pa.array(as_int64(sig)), pa.array(np.array(classes, np.int64)[who]), pa.array(wide)], names=["sig", "class", "wide"])
 
-    return texts.mapInArrow(rows, "sig long, class long")
+    return texts.mapInArrow(rows, "sig long, class long, wide boolean")
 
 
 def _class_texts(texts: DataFrame, n: int) -> DataFrame:
@@ -316,17 +383,29 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     rows = stored(_doc_classes(docs, id_col, text_col, n), "classes")
     texts = docs.select(F.col(f"`{text_col}`").alias("_text"))
-    signed = _signature_rows(texts, n, num, den)
-    candidates = signed.select("class", F.min("class").over(Window.partitionBy("sig")).alias("least")).where("class <> least").distinct()
-    groups = connected_components(candidates, "least", "class")
+    frequent = docs.sparkSession.sparkContext.broadcast(_frequent(texts, n))
+    signed = _signature_rows(texts, n, num, den, frequent)
+    at = Window.partitionBy("sig")
+    shared = signed.select("sig", "class", "wide", F.min("class").over(at).alias("least"), F.max("class").over(at).alias("most")).where("least <> most")
+    # Only signatures of two classes or more are left: few rows of all that were signed.
+    shared = stored(shared.select("sig", "class", "wide", "least"), "signatures")
+    groups = connected_components(shared.where("wide AND class <> least").select("least", "class").distinct(), "least", "class")
     in_group = stored(groups.select(F.col("node").alias("class"), F.col("component").alias("group"))
                       .union(groups.select("component", "component").distinct()), "groups")
+    thin = shared.where("NOT wide").select("sig", "class").join(in_group, "class", "left").select("sig", "class", F.coalesce("group", "class").alias("group"))
+    thin = stored(thin, "thin")
+    mixed = thin.groupBy("sig").agg(F.min("group").alias("a"), F.max("group").alias("b")).where("a <> b").select("sig")
+    thin = stored(thin.join(mixed, "sig"), "thin")
+    x, y = thin.alias("x"), thin.alias("y")
+    pairs = x.join(y, F.expr("x.sig = y.sig AND x.class < y.class AND x.group <> y.group")).select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
+    pairs = pairs.select(F.explode(F.array("a", "b")).alias("class"), F.xxhash64("a", "b").alias("group"), F.lit(-1).cast("long").alias("block"))
     sizes = rows.where("class IS NOT NULL").groupBy("class").agg(F.max("n_shingles").alias("size"))
     mass = stored(in_group.join(sizes, "class").groupBy("group").agg(F.ceil(F.sum("size") / block_shingles).alias("blocks")), "mass")
     dealt = in_group.join(mass, "group").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")))
     first = dealt.select("class", "group", "block", F.lit(0).alias("chunk"), F.lit(False).alias("query"))
     roots = dealt.where("class = group AND blocks > 1").select("class", "group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("chunk"), F.lit(True).alias("query"))
-    links = stored(_block_links(texts, first.union(roots), n, num, den), "links")
+    alone = pairs.select("class", "group", "block", F.lit(0).alias("chunk"), F.lit(False).alias("query"))
+    links = stored(_block_links(texts, stored(first.union(roots).union(alone), "plan"), n, num, den), "links")
     parts = connected_components(links)
     if mass.where("blocks > 1").limit(1).count():
         label = dealt.where("blocks > 1").join(parts.withColumnRenamed("node", "class"), "class", "left").withColumn("part", F.coalesce("component", "class"))
