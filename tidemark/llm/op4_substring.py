@@ -30,8 +30,8 @@ from tidemark.llm.words import (as_int64, chunks, covered, flat, gram_hashes, ou
                                 window_starts, word_bounds, word_hashes)
 
 GRAM = 20
-#: Documents beyond which an anchor is hot, and how many anchors can be hot at most.
-HOT, MOST_HOT = 1000, 1_000_000
+#: Documents beyond which an anchor is hot (its automaton would hold some 80 words of each), and how many anchors can be hot at most.
+HOT, MOST_HOT = 64, 1_000_000
 
 
 class SuffixAutomaton:
