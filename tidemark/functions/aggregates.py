@@ -10,14 +10,14 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def exact_sum(c: str | Column, scale: int = 2) -> Column:
+def exact_sum(c: str | Column, scale: int = 9) -> Column:
     """Sum of money: 0.0 on empty input, and the same double in batch, stream
     and any partitioning, because the addition happens in a fixed-scale decimal.
 
-    ``decimal(18, scale)`` inputs sum into ``decimal(28, scale)``; the partial
-    sums are combined map-side like any other ``sum``.
+    Each value counts to ``scale`` decimals, up to 29 digits before the point;
+    the partial sums are combined map-side like any other ``sum``.
     """
-    summed = F.sum(_col(c).cast(f"decimal(18,{scale})"))
+    summed = F.sum(_col(c).cast(f"decimal(38,{scale})"))
     return F.coalesce(summed.cast("double"), F.lit(0.0))
 
 

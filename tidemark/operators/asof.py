@@ -8,7 +8,7 @@ Semantics (``how="left"``, ``merge="keep-left"``):
   the same time the greatest ``tiebreak`` wins;
 * ``tolerance``: a match older than ``left time - tolerance`` is dropped (the
   latest candidate is the only one that can qualify, so this is exact);
-* NULL keys never match;
+* NULL keys and NULL times never match;
 * on a column name both sides share, the left value wins even when it is NULL;
   the output columns are the right's columns in the right's order followed by
   the left-only columns.
@@ -73,7 +73,8 @@ def asof_join(
     key_null_l = F.lit(False)
     for k in keys:
         key_null_l = key_null_l | F.col(f"`{k}`").isNull()
-    key_ok_r = F.lit(True)
+    key_null_l = key_null_l | F.col(f"`{on}`").isNull()
+    key_ok_r = F.col(f"`{right_on}`").isNotNull()
     for k in keys:
         key_ok_r = key_ok_r & F.col(f"`{k}`").isNotNull()
 
@@ -81,8 +82,8 @@ def asof_join(
         *[F.col(f"`{k}`").alias(f"__ao_k{i}") for i, k in enumerate(keys)],
         F.col(f"`{on}`").alias(_TS), F.lit(1).alias(_SIDE), F.lit(None).cast(r_type.fields[-1].dataType).alias(_TB),
         F.struct(*[F.col(f"`{c}`") for c in lcols]).alias(_L), F.lit(None).cast(r_type).alias(_R),
-        # NULL-key left rows can never match: a row hash as their bucket spreads
-        # them over the tasks instead of one group.
+        # Left rows with a NULL key or time can never match: a row hash as their
+        # bucket spreads them over the tasks instead of one group.
         F.when(key_null_l, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in lcols]), F.lit(_SALT_BUCKETS)) + 1)
         .alias(_SALT))
     rrows = right.where(key_ok_r).select(
@@ -113,7 +114,7 @@ def asof_join(
     carried = summary.select(*kcols, _BUCKET, F.last("__ao_last", ignorenulls=True).over(w_prev).alias("__ao_prev"))
 
     joined = within.join(carried, on=[*kcols, _BUCKET], how="left")
-    match = F.coalesce(F.col("__ao_in"), F.col("__ao_prev"))
+    match = F.when(F.col(f"{_L}.`{on}`").isNotNull(), F.coalesce(F.col("__ao_in"), F.col("__ao_prev")))
     if tolerance:
         ok = F.col(f"{_L}.`{on}`") - F.expr(f"INTERVAL {tolerance}") <= match[_TS]
         match = F.when(ok, match)

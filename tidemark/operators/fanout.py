@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.timestamps import parse_utc, utc_instant
+
 # Topic names of the three event kinds and of the journey output.
 VIEW_TOPIC = "ecomm_product_view"
 CART_TOPIC = "ecomm_cart"
@@ -47,14 +49,46 @@ def encode(df: DataFrame, topic: str | None = None, key: str | None = None,
     return df.select(*out)
 
 
-def decode(envelope: DataFrame, schema: T.StructType | str, keep: tuple[str, ...] = ()) -> DataFrame:
+_TIMES = (T.TimestampType, T.TimestampNTZType)
+
+
+def _times_as_text(kind: T.DataType) -> T.DataType:
+    if isinstance(kind, _TIMES):
+        return T.StringType()
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _times_as_text(f.dataType), True) for f in kind.fields])
+    return kind
+
+
+def _parsed(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.TimestampNTZType):
+        return parse_utc(value)
+    if isinstance(kind, T.TimestampType):
+        return utc_instant(parse_utc(value))
+    if isinstance(kind, T.StructType) and _times_as_text(kind) != kind:
+        return F.when(value.isNotNull(), F.struct(*[_parsed(value[f.name], f.dataType).alias(f.name) for f in kind.fields]))
+    return value
+
+
+def decode(envelope: DataFrame, schema: T.StructType | str, keep: tuple[str, ...] = (), on_malformed: str = "fail") -> DataFrame:
     """Kafka envelope rows to typed columns: ``from_json(value, schema)``.
 
-    Malformed JSON gives a row of NULLs (PERMISSIVE); ``keep`` carries envelope
-    columns such as ``key`` or ``timestamp`` along.
+    Times are read as text and parsed by ``parse_utc``, so every ISO-8601 style
+    (``Z``, an offset, none, with or without a fraction) keeps its instant. JSON
+    that does not parse fails the query; with ``on_malformed="keep"`` its text
+    is in an extra column ``malformed`` (NULL elsewhere), for the caller to
+    route. ``keep`` carries envelope columns such as ``key`` or ``timestamp``.
     """
-    parsed = F.from_json(F.col("value").cast("string"), schema, _JSON_OPTS).alias("__v")
-    return envelope.select(*keep, parsed).select(*keep, "__v.*")
+    if on_malformed not in ("fail", "keep"):
+        raise ValueError(f"on_malformed must be fail or keep, not {on_malformed!r}")
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    text, read = F.col("value").cast("string"), _times_as_text(schema)
+    if on_malformed == "keep":
+        read = T.StructType([*read.fields, T.StructField("malformed", T.StringType())])
+    mode = {"mode": "FAILFAST"} if on_malformed == "fail" else {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"}
+    rows = envelope.select(*keep, F.from_json(text, read, {**_JSON_OPTS, **mode}).alias("__v"))
+    out = [_parsed(F.col(f"__v.`{f.name}`"), f.dataType).alias(f.name) for f in schema.fields]
+    return rows.select(*keep, *out, *[F.col("__v.malformed")] * (on_malformed == "keep"))
 
 
 def fan_out(bundles: DataFrame) -> DataFrame:

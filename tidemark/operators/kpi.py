@@ -14,8 +14,10 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.aggregates import exact_sum, n_unique
+from tidemark.functions.timestamps import to_utc_ntz
 
 
 def _bound(df: DataFrame, ts: str, as_of, window: str) -> Column:
@@ -23,6 +25,8 @@ def _bound(df: DataFrame, ts: str, as_of, window: str) -> Column:
     dtype = df.schema[ts].dataType
     if as_of is None:
         anchor = F.current_timestamp()
+        if isinstance(dtype, T.TimestampNTZType):  # stored as UTC wall clock, whatever the session's zone
+            anchor = to_utc_ntz(anchor)
     elif isinstance(as_of, Column):
         anchor = as_of
     elif isinstance(as_of, _dt.datetime):

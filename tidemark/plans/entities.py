@@ -1,4 +1,4 @@
-"""The reference's entities, derived from the driver's test tables.
+"""Bookings and events, derived from the driver's test tables.
 
 bookings  = orders joined to customer
 clickstream = events
@@ -14,12 +14,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Currency by o_orderkey % 4, and payment method by event_id % 4.
-CURRENCIES = ("USD", "EUR", "GBP", "INR")
-PAYMENT_METHODS = ("credit_card", "upi", "bank_transfer", "cash_on_delivery")
-# Product names and categories by (k % 4).
-PRODUCT_NAMES = ("Product A", "Product B", "Product C", "Product D")
-CATEGORIES = ("Electronics", "Clothing", "Books", "Home")
+# Stand-in values, picked by a key modulo 4.
+CURRENCIES = ("CHF", "NOK", "JPY", "CAD")
+PAYMENT_METHODS = ("invoice", "wallet", "voucher", "debit")
+PRODUCT_NAMES = ("kettle", "lantern", "notebook", "umbrella")
+CATEGORIES = ("kitchen", "camping", "paper", "rain")
 
 # Anchors ("now") that make the trailing-range KPIs deterministic on the test data.
 ORDERS_AS_OF = "2001-08-01 00:00:00"
@@ -56,7 +55,7 @@ def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-BOOKINGS_SQL = """
+BOOKINGS_SQL = f"""
 SELECT CAST(o_orderkey AS VARCHAR) AS booking_id,
        'agency' || CAST(o_custkey % 4 + 1 AS VARCHAR) AS agency_id,
        c_name AS customer_name,
@@ -64,7 +63,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS booking_id,
        o_orderdate AS departure_date,
        o_orderdate + INTERVAL 1 DAY AS arrival_date,
        o_totalprice AS price,
-       CASE o_orderkey % 4 WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' WHEN 2 THEN 'GBP' WHEN 3 THEN 'INR' END AS currency,
+       CASE o_orderkey % 4 {' '.join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(CURRENCIES))} END AS currency,
        o_orderstatus AS status
 FROM orders JOIN customer ON o_custkey = c_custkey
 """

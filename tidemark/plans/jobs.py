@@ -13,21 +13,31 @@ from pyspark.sql import functions as F
 from tidemark.functions.timestamps import parse_utc
 from tidemark.operators import merge as M
 from tidemark.operators import star as S
+from tidemark.operators.fanout import decode
 from tidemark.sinks import files as W
 from tidemark.sources import files as R
 from tidemark.table import VersionedTable
 
 UPSERT = M.merge_options(when_matched_update_all=True, when_not_matched_insert_all=True)
 
-# Gold tables and their merge predicates (composite keys where a dimension has no single key).
-GOLD_KEYS = {
-    "dim_time": ("source.time_key = target.time_key", "source", "target"),
-    "dim_product": ("source.product_key = target.product_key AND source.price = target.price", "source", "target"),
-    "dim_customer": ("s.customer_key = t.customer_key AND s.agency_id = t.agency_id", "s", "t"),
-    "fact_orders": ("source.order_id = target.order_id", "source", "target"),
-}
-GOLD_BUCKETS = {"dim_time": ["time_key"], "dim_product": ["product_key"], "dim_customer": ["customer_key"],
-                "fact_orders": ["order_id"]}
+# Key columns of the gold tables; the first one spreads the files.
+GOLD_KEYS = {"dim_time": ["time_key"], "dim_product": ["product_key", "price", "currency"],
+             "dim_customer": ["customer_key", "agency_id"], "fact_orders": ["order_id"]}
+
+
+def feed_refresh(bronze: VersionedTable, feed: DataFrame, key: str, time_columns=()) -> dict:
+    """Any feed's rows (files, a database, decoded messages) merged into a bronze table by ``key``.
+
+    ``time_columns`` that are text are parsed as UTC.
+    """
+    texts = [c for c in time_columns if dict(feed.dtypes)[c] == "string"]
+    return bronze.merge(feed.withColumns({c: parse_utc(c) for c in texts}), UPSERT, on=[key])
+
+
+def clickstream_refresh(bronze: VersionedTable, envelope: DataFrame, schema, rows: DataFrame | None = None) -> dict:
+    """Clickstream messages, and optionally the rows of a database feed, merged into bronze on event_id."""
+    feed = decode(envelope, schema)
+    return feed_refresh(bronze, feed if rows is None else feed.unionByName(rows.select(*feed.columns)), "event_id")
 
 
 def bronze_bookings_refresh(spark: SparkSession, landing_root: str, bronze: VersionedTable,
@@ -35,33 +45,22 @@ def bronze_bookings_refresh(spark: SparkSession, landing_root: str, bronze: Vers
     """Latest CSV batch -> timestamps parsed as UTC -> MERGE on booking_id."""
     newest = R.latest_path(spark, landing_root, "*.csv")
     batch = R.read_csv(spark, newest.rsplit("/", 1)[0], schema=schema)
-    batch = batch.withColumns({c: parse_utc(c) for c in time_columns})
-    return bronze.merge(batch, UPSERT, predicate="source.booking_id = target.booking_id")
+    return feed_refresh(bronze, batch, "booking_id", time_columns)
 
 
 def gold_refresh(spark: SparkSession, bronze: DataFrame, gold_root: str, num_buckets: int = 16) -> dict:
     """Star schema of the bronze bookings, each output merged into its gold table.
 
-    The bronze snapshot is persisted once for the four merges. ``dim_product``
-    is keyed on (flight, price); several currencies for one key keep the
-    greatest currency rather than multiplying rows.
+    Each output reads the two to five bronze columns it needs; nothing is kept
+    in executor memory between them.
     """
-    src = bronze.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        star = S.star_schema(src)._asdict()
-        stats = {}
-        for name, df in star.items():
-            table = VersionedTable(spark, f"{gold_root}/{name}")
-            if not table.exists():
-                table.write(spark.createDataFrame([], df.schema), bucket_by=GOLD_BUCKETS[name],
-                            num_buckets=num_buckets)
-            pred, s_alias, t_alias = GOLD_KEYS[name]
-            dup = ("latest", ["currency"]) if name == "dim_product" else ("error", None)
-            stats[name] = table.merge(df, UPSERT, predicate=pred, source_alias=s_alias, target_alias=t_alias,
-                                      on_duplicate=dup[0], latest_by=dup[1])
-        return stats
-    finally:
-        src.unpersist()
+    stats = {}
+    for name, df in S.star_schema(bronze)._asdict().items():
+        table = VersionedTable(spark, f"{gold_root}/{name}")
+        if not table.exists():
+            table.write(spark.createDataFrame([], df.schema), bucket_by=GOLD_KEYS[name][:1], num_buckets=num_buckets)
+        stats[name] = table.merge(df, UPSERT, on=GOLD_KEYS[name])
+    return stats
 
 
 def publish(df: DataFrame, csv_path: str | None = None, parquet_path: str | None = None,

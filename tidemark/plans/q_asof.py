@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tidemark.operators import asof as A
 from tidemark.plans import entities as E
 from tidemark.plans.registry import register
@@ -19,6 +21,22 @@ def q_cart_view(spark, sf):
                        tiebreak="event_id")
 
 
+_NULL_V = f"(SELECT * REPLACE (CASE WHEN CAST(event_id AS BIGINT) % 7 = 0 THEN NULL ELSE timestamp END AS timestamp) FROM {_V} v)"
+_NULL_C = f"(SELECT * REPLACE (CASE WHEN CAST(event_id AS BIGINT) % 5 = 0 THEN NULL ELSE timestamp END AS timestamp) FROM {_C} c)"
+
+
+@register("asof_null_times", f"""
+SELECT c.event_id, c.user_id, v.view_product_id, v.view_product_name, v.view_category,
+       c.timestamp, c.cart_product_id, c.cart_product_name, c.cart_quantity, c.price
+FROM {_NULL_C} c LEFT JOIN LATERAL (
+  SELECT * FROM {_NULL_V} v WHERE v.user_id = c.user_id AND v.timestamp <= c.timestamp
+  ORDER BY v.timestamp DESC, v.event_id DESC LIMIT 1) v ON true""", "J1 NULL times never match")
+def q_null_times(spark, sf):
+    def some_null(df, n):
+        return df.withColumn("timestamp", F.when(F.col("event_id").cast("bigint") % n != 0, F.col("timestamp")))
+    return A.asof_join(some_null(E.carts(spark, sf), 5), some_null(E.product_views(spark, sf), 7), "user_id", "timestamp", tiebreak="event_id")
+
+
 JOURNEY_SQL = f"""
 SELECT b.event_id, b.user_id, cv.view_product_id, cv.view_product_name, cv.view_category, b.timestamp,
        cv.cart_product_id, cv.cart_product_name, cv.cart_quantity, b.price, b.order_id,

@@ -3,6 +3,7 @@ Kafka envelope codec (K15, P8, P9) and event fan-out (K17)."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.timestamps import parse_utc
@@ -20,7 +21,7 @@ def _feeds(spark, sf):
     a_types = ["view", "click"]
     a = ev.where(F.col("event_type").isin(a_types)).select(
         "event_id", "user_id", "event_type", "value", F.lit(None).alias("note"))
-    b = ev.where(~F.col("event_type").isin(a_types)).select(
+    b = ev.where(~F.coalesce(F.col("event_type").isin(a_types), F.lit(False))).select(
         F.col("event_id").cast("int").alias("event_id"), F.col("user_id").cast("string").alias("user_id"),
         "event_type", F.floor("value").alias("value"), F.col("props").alias("note"))
     return a, b
@@ -32,7 +33,7 @@ FROM events WHERE event_type IN ('view', 'click')
 UNION ALL
 SELECT CAST(event_id AS BIGINT), CAST(user_id AS VARCHAR), event_type, CAST(CAST(floor(value) AS BIGINT) AS DOUBLE),
        props
-FROM events WHERE event_type NOT IN ('view', 'click')""", "U1")
+FROM events WHERE coalesce(event_type NOT IN ('view', 'click'), true)""", "U1")
 def q_union_relaxed(spark, sf):
     a, b = _feeds(spark, sf)
     return U.union_relaxed(a, b)
@@ -43,11 +44,11 @@ SELECT event_id, user_id, value, CAST(NULL AS VARCHAR) AS event_type, CAST(NULL
 FROM events WHERE event_type IN ('view', 'click')
 UNION ALL
 SELECT event_id, CAST(NULL AS BIGINT), CAST(CAST(floor(value) AS BIGINT) AS DOUBLE), event_type, props
-FROM events WHERE event_type NOT IN ('view', 'click')""", "U2")
+FROM events WHERE coalesce(event_type NOT IN ('view', 'click'), true)""", "U2")
 def q_union_diagonal(spark, sf):
     ev = E.table(spark, sf, "events")
     a = ev.where(F.col("event_type").isin("view", "click")).select("event_id", "user_id", "value")
-    b = ev.where(~F.col("event_type").isin("view", "click")).select(
+    b = ev.where(~F.coalesce(F.col("event_type").isin("view", "click"), F.lit(False))).select(
         "event_id", F.floor("value").alias("value"), "event_type", "props")
     return U.union_diagonal(a, b)
 
@@ -116,35 +117,29 @@ def q_kafka_codec(spark, sf):
 
 
 def bundles(spark, sf):
-    """One bundle per user and day: the day's first view, cart and purchase.
+    """Bundles that hold every event once: the n-th view, cart and purchase of a user and day go together."""
+    at = Window.partitionBy("user_id", "day").orderBy("timestamp", "event_id")
 
-    Days without a view produce no bundle (the view is the mandatory member).
-    """
-    day = F.col("timestamp").cast("date")
-    v = E.product_views(spark, sf)
-    c = E.carts(spark, sf)
-    b = E.purchases(spark, sf)
+    def numbered(df, name):
+        rows = df.withColumn("day", F.col("timestamp").cast("date"))
+        return rows.select("user_id", "day", F.row_number().over(at).alias("n"), F.struct(*df.columns).alias(name))
+    key = ["user_id", "day", "n"]
+    out = numbered(E.product_views(spark, sf), "product_view").join(numbered(E.carts(spark, sf), "add_to_cart"), key, "full")
+    return out.join(numbered(E.purchases(spark, sf), "purchase"), key, "full").select("product_view", "add_to_cart", "purchase")
 
-    def first(df, name):
-        return df.groupBy("user_id", day.alias("day")).agg(
-            F.min_by(F.struct(*df.columns), F.struct("timestamp", "event_id")).alias(name))
-    out = (first(v, "product_view").join(first(c, "add_to_cart"), ["user_id", "day"], "left")
-           .join(first(b, "purchase"), ["user_id", "day"], "left"))
-    return out.select("product_view", "add_to_cart", "purchase")
+
+@register("kafka_decode_iso", """
+SELECT CAST(event_id AS VARCHAR) AS event_id, ts AS event_timestamp, props FROM events""", "P8 P4: five time styles of one message")
+def q_decode_iso(spark, sf):
+    texts = _texts(spark, sf)
+    value = FO.json_value(F.col("event_id").cast("string").alias("event_id"), F.col("text").alias("event_timestamp"), "props")
+    return FO.decode(texts.select(value.alias("value")), "event_id string, event_timestamp timestamp_ntz, props string")
 
 
 @register("event_fanout", """
-WITH d AS (
-  SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(ts AS DATE) AS day,
-         max(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS has_view,
-         max(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS has_cart,
-         max(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS has_buy
-  FROM events GROUP BY 1, 2)
-SELECT 'ecomm_product_view' AS topic, count(*) AS messages, count(DISTINCT user_id) AS users FROM d WHERE has_view = 1
-UNION ALL
-SELECT 'ecomm_cart', count(*), count(DISTINCT user_id) FROM d WHERE has_view = 1 AND has_cart = 1
-UNION ALL
-SELECT 'ecomm_buy', count(*), count(DISTINCT user_id) FROM d WHERE has_view = 1 AND has_buy = 1""", "K17")
+SELECT CASE event_type WHEN 'view' THEN 'ecomm_product_view' WHEN 'click' THEN 'ecomm_cart' ELSE 'ecomm_buy' END AS topic,
+       count(*) AS messages, count(DISTINCT user_id) AS users
+FROM events WHERE event_type IN ('view', 'click', 'purchase') GROUP BY 1""", "K17")
 def q_fanout(spark, sf):
     msgs = FO.fan_out(bundles(spark, sf))
     return msgs.groupBy("topic").agg(F.count(F.lit(1)).alias("messages"),
@@ -152,13 +147,7 @@ def q_fanout(spark, sf):
 
 
 @register("event_fanout_decode", f"""
-SELECT b.event_id, b.user_id, b.order_id, b.purchase_product_id, b.purchase_quantity, b.price, b.timestamp
-FROM ({E.PURCHASES_SQL}) b
-JOIN (SELECT user_id, day, min(ts) AS first_ts FROM (
-        SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(ts AS DATE) AS day, ts FROM events WHERE event_type = 'purchase') p
-      GROUP BY 1, 2) f ON b.user_id = f.user_id AND b.timestamp = f.first_ts
-WHERE EXISTS (SELECT 1 FROM events e WHERE e.event_type = 'view' AND CAST(e.user_id AS VARCHAR) = b.user_id
-              AND CAST(e.ts AS DATE) = CAST(b.timestamp AS DATE))""", "K17 P8 round trip")
+SELECT event_id, user_id, order_id, purchase_product_id, purchase_quantity, price, timestamp FROM ({E.PURCHASES_SQL}) b""", "K17 P8 round trip")
 def q_fanout_decode(spark, sf):
     msgs = FO.fan_out(bundles(spark, sf)).where(F.col("topic") == FO.BUY_TOPIC)
     dec = FO.decode(msgs, schemas.with_ntz(schemas.PURCHASE))

@@ -74,7 +74,7 @@ def q_text(spark, sf):
     line = F.concat_ws("|", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"),
                        "o_orderstatus", "o_orderpriority").alias("value")
     path = scratch_dir(spark, "orders") + ".txt"
-    early = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    early = F.coalesce(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"), F.lit(False))
     W.write_text(o.where(early).select(line), path)
     W.append_text(o.where(~early).select(line), path)
     return R.read_text(spark, path)
@@ -97,6 +97,25 @@ def q_latest(spark, sf):
     return R.read_csv(spark, newest.rsplit("/", 1)[0], schema=o.schema)
 
 
+@register("file_inventory_folders", "SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) AS batch FROM orders WHERE o_orderdate IS NOT NULL",
+          "S12 S13 S14 one folder per landed year, found by a path glob")
+def q_inventory_folders(spark, sf):
+    _, root = _batches(spark, sf)
+    files = R.file_inventory(spark, root, "**/batch=*/*.csv")
+    return files.select(F.regexp_extract("path", "batch=([0-9]+)/", 1).alias("batch")).distinct()
+
+
+@register("text_whole_file", f"SELECT CAST(sum(length({_LINE}) + 1) AS BIGINT) AS characters, count(*) AS lines FROM orders", "S9 whole files")
+def q_text_whole(spark, sf):
+    o = _orders(spark, sf)
+    line = F.concat_ws("|", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), "o_orderstatus", "o_orderpriority").alias("value")
+    path = scratch_dir(spark, "orders") + ".txt"
+    W.write_text(o.select(line), path)
+    whole = R.read_text(spark, path, whole=True)
+    lines = F.length("value") - F.length(F.translate("value", "\n", ""))
+    return whole.agg(F.sum(F.length("value")).alias("characters"), F.sum(lines).alias("lines"))
+
+
 @register("file_inventory", None, "S12 S13 S14 listing (rows = files)")
 def q_inventory(spark, sf):
     _, root = _batches(spark, sf)

@@ -7,7 +7,9 @@ from pyspark.sql import types as T
 
 from tidemark.plans import entities as E
 from tidemark.plans import jobs as JB
+from tidemark.operators.fanout import encode
 from tidemark.plans.registry import register
+from tidemark.sources import files as R
 from tidemark.session import scratch_dir
 from tidemark.table import VersionedTable
 
@@ -59,6 +61,43 @@ def q_gold_customer(spark, sf):
     return _gold(spark, sf, "dim_customer")
 
 
+@register("gold_refresh_dim_product", f"""
+SELECT DISTINCT flight_number AS product_key, price, currency FROM {_B} b""", "T12 T3: currency is part of the key")
+def q_gold_product(spark, sf):
+    return _gold(spark, sf, "dim_product").select("product_key", "price", "currency")
+
+
+@register("gold_refresh_dim_time", f"""
+SELECT DISTINCT departure_date AS time_key, CAST(year(departure_date) AS INTEGER) AS year,
+       CAST(month(departure_date) AS INTEGER) AS month, CAST(day(departure_date) AS INTEGER) AS day
+FROM {_B} b""", "T12 T2")
+def q_gold_time(spark, sf):
+    t = _gold(spark, sf, "dim_time")
+    return t.select("time_key", *[F.col(c).cast("int").alias(c) for c in ("year", "month", "day")])
+
+
+@register("bronze_clickstream_refresh", f"SELECT * FROM ({E.CLICKSTREAM_SQL}) c", "T11 S18 P8 M1: messages and database rows merged on event_id")
+def q_clickstream(spark, sf):
+    clicks = E.clickstream(spark, sf)
+    table = VersionedTable(spark, scratch_dir(spark, "clicks"))
+    first = F.col("event_timestamp") < F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")
+    early = F.coalesce(first, F.lit(False))
+    # Loaded before, with values that the refresh corrects.
+    table.write(clicks.where(early).withColumn("value", -F.col("value")), bucket_by="event_id", num_buckets=16)
+    by_message = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0
+    feed = JB.iso_text(clicks.where(by_message), ["event_timestamp"])
+    JB.clickstream_refresh(table, encode(feed, key="user_id"), clicks.schema, rows=clicks.where(~by_message))
+    return table.read()
+
+
+@register("publish_bookings_csv", f"SELECT * FROM {_B} b", "T13 K1: the CSV sink read back")
+def q_publish_csv(spark, sf):
+    root = scratch_dir(spark, "publish")
+    bookings = E.bookings(spark, sf)
+    JB.publish(bookings, csv_path=f"{root}/bookings.csv")
+    return R.read_csv(spark, f"{root}/bookings.csv", schema=bookings.schema)
+
+
 @register("publish_bookings", f"SELECT * FROM {_B} b", "T13 K1 K7: one input, several sinks")
 def q_publish(spark, sf):
     root = scratch_dir(spark, "publish")

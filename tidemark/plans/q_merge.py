@@ -204,6 +204,16 @@ def q_theta(spark, sf):
                    predicate="source.event_id = target.event_id AND source.value >= target.value + 5")
 
 
+# Only rows that differ are updated; the rest of the overlap matches nothing, so it comes in beside the old row.
+@register("upsert_not_predicate", f"""
+SELECT {_pick("s._s IS NOT NULL")}
+FROM {T_SQL} t FULL JOIN {S_SQL} s ON s.event_id = t.event_id AND NOT (s.user_id = t.user_id AND s.value < 20)""", "J5 NOT over a conjunction")
+def q_not_predicate(spark, sf):
+    opts = M.merge_options(when_matched_update_all=True, when_not_matched_insert_all=True)
+    return M.merge(target_clicks(spark, sf), source_clicks(spark, sf), opts, on=["event_id"],
+                   predicate="NOT (source.user_id = target.user_id AND source.value < 20)")
+
+
 # lineitem: (l_orderkey, l_linenumber) repeats, the duplicate-key fixture.
 L_T_CUT = "1997-01-01 00:00:00"
 L_S_CUT = "1995-01-01 00:00:00"

@@ -50,7 +50,7 @@ def _fact(spark, sf):
 
 def _rev_sql(interval: str, as_of: str) -> str:
     return f"""
-SELECT COALESCE(CAST(SUM(CAST(price AS DECIMAL(18,2))) AS DOUBLE), 0.0) AS total_revenue
+SELECT COALESCE(CAST(SUM(CAST(price AS DECIMAL(38,9))) AS DOUBLE), 0.0) AS total_revenue
 FROM (SELECT departure_date AS time_key, price FROM {_B} b) f
 WHERE time_key >= TIMESTAMP '{as_of}' - INTERVAL {interval}"""
 
@@ -70,6 +70,17 @@ def q_rev_year(spark, sf):
     return K.total_revenue(_fact(spark, sf), E.ORDERS_AS_OF, "365 DAYS")
 
 
+# A thousandth of each price: the oracle adds whole tenths of a cent's hundredths.
+@register("kpi_revenue_subcent", f"""
+SELECT CAST(SUM(CAST(round(price * 100) AS BIGINT)) AS DOUBLE) / 100000 AS total_revenue
+FROM (SELECT departure_date AS time_key, price FROM {_B} b) f
+WHERE time_key >= TIMESTAMP '{E.ORDERS_AS_OF}' - INTERVAL 365 DAYS""", "A1 prices below a cent")
+def q_rev_subcent(spark, sf):
+    fact = _fact(spark, sf)
+    # Decimal arithmetic: a double's price / 1000 is not the decimal one.
+    return K.total_revenue(fact.withColumn("price", F.col("price").cast("decimal(20,2)") / 1000), E.ORDERS_AS_OF, "365 DAYS")
+
+
 _FAR_FUTURE = "2200-01-01 00:00:00"
 
 

@@ -55,17 +55,19 @@ def q_stream_upsert(spark, sf):
 WITH c AS ({E.CLICKSTREAM_SQL}),
 d AS (SELECT date_trunc('day', event_timestamp) AS window_start, count(DISTINCT session_id) AS active_sessions
       FROM c GROUP BY 1)
-SELECT window_start, active_sessions FROM d
-WHERE window_start + INTERVAL 1 DAY <= (SELECT max(event_timestamp) FROM c) - INTERVAL 1 DAY""",
-          "ST8 ST5 closed daily windows only")
+SELECT window_start, active_sessions FROM d WHERE window_start IS NOT NULL""",
+          "ST8 ST5 every daily window: the end of the input closes the last ones")
 def q_stream_sessions(spark, sf):
-    schema = E.table(spark, sf, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    root = scratch_dir(spark, "stream_sessions")
+    batch = E.table(spark, sf, "events").select("user_id", "ts")
+    batch.write.parquet(f"{root}/in")
+    # End of the bounded replay: a time past all others closes their windows; its own never closes.
+    batch.agg(F.lit(None).cast("bigint").alias("user_id"), (F.max("ts") + F.expr("INTERVAL 30 DAYS")).alias("ts")).write.mode("append").parquet(f"{root}/in")
+    events = spark.readStream.schema(batch.schema).parquet(f"{root}/in")
     clicks = events.select(
         F.concat(F.col("user_id").cast("string"), F.lit("-"), F.col("ts").cast("date").cast("string"))
         .alias("session_id"), utc_instant(F.col("ts")).alias("event_time"))
     agg = SS.sessions_per_window(clicks, "event_time", "1 day", "1 day")
-    root = scratch_dir(spark, "stream_sessions")
     out = agg.select(to_utc_ntz(F.col("window.start")).alias("window_start"), "active_sessions")
     q = (out.writeStream.format("parquet").outputMode("append").option("path", f"{root}/out")
          .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
@@ -79,12 +81,13 @@ def _journey_stream(spark, sf, mode, to_table: bool = False):
               .unionByName(J.tag_carts(E.carts(spark, sf), ts_us))
               .unionByName(J.tag_purchases(E.purchases(spark, sf), ts_us)))
     week = F.date_trunc("week", F.timestamp_micros(F.col("ts_us")))
-    weeks = sorted(r[0] for r in tagged.select(week.alias("w")).distinct().collect())
+    weeks = sorted((r[0] for r in tagged.select(week.alias("w")).distinct().collect()), key=lambda w: (w is not None, w))
+    last = tagged.agg(F.max("ts_us")).first()[0] or 0
     root = scratch_dir(spark, f"journey_{mode}")
     SRC.stage_chunks(tagged, f"{root}/in", week, weeks)
     # End of the bounded replay: one row far in the future moves the watermark
     # past every real row (its own user is filtered from the output).
-    flush = spark.createDataFrame([(J.FLUSH_USER, J.VIEW, 7_258_118_400_000_000)], "user_id string, side int, ts_us bigint")
+    flush = spark.createDataFrame([(J.FLUSH_USER, J.VIEW, last + 366 * 86_400_000_000)], "user_id string, side int, ts_us bigint")
     J._tag(flush, J.VIEW, F.col("ts_us")).write.parquet(f"{root}/in/chunk=99999")
     # Chunks are time-ordered; a micro-batch may take several files, and the
     # 8-day watermark delay covers a week's chunk.

@@ -39,14 +39,16 @@ def build_session(master: str = "local[*]", app: str = "tidemark", shuffle_parti
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). A
-    local temp folder is created only when the session names none, which is the
-    case in tests and single-machine runs.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Where
+    the session names none, a local run gets a temp folder; on a cluster, whose
+    executors would each write to a disk of their own, that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)

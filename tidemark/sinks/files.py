@@ -1,9 +1,8 @@
 """File writers: CSV, JSON, NDJSON, Parquet and text.
 
 Spark writes a directory of part files, one per task; the suffix rules of the
-reference apply to the directory name. JSON output is line-delimited; the
-single-array document is only for results known to be small
-(``json_document``).
+reference apply to the directory name. JSON output is line-delimited, or array
+documents of bounded size (``write_json_documents``).
 """
 
 from __future__ import annotations
@@ -42,11 +41,6 @@ def write_ndjson(df: DataFrame, path: str, mode: str = "errorifexists", **option
     df.write.mode(mode).option("ignoreNullFields", False).options(**options).json(str(path))
 
 
-def json_document(df: DataFrame) -> DataFrame:
-    """The whole (small) result as one JSON array string; for bounded results only."""
-    return df.agg(F.to_json(F.collect_list(F.struct(*df.columns)), {"ignoreNullFields": "false"}).alias("value"))
-
-
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", compression: str = "snappy",
                   **options) -> None:
     _reject_storage_options(options, "write_parquet")

@@ -10,6 +10,8 @@ predicate pushdown and column pruning.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,14 +93,24 @@ def file_inventory(spark: SparkSession, root: str, pattern: str | None = None,
                    recursive: bool = True) -> DataFrame:
     """``path, modificationTime, length`` of the files under ``root``.
 
-    ``pattern`` is a file-name glob (``*.csv``). The listing is Spark's own
+    ``pattern`` is a file-name glob (``*.csv``), or a path glob below ``root``
+    (``2024-*/**/x*.csv``; ``**`` stands for any folders). The listing is Spark's own
     (parallel for large trees); the ``content`` column is never selected, so
     files are not read.
     """
     r = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     if pattern:
-        r = r.option("pathGlobFilter", pattern)
-    return r.load(root).select("path", "modificationTime", "length")
+        r = r.option("pathGlobFilter", pattern.rsplit("/", 1)[-1])
+    files = r.load(root).select("path", "modificationTime", "length")
+    return files.where(F.col("path").rlike(_path_regex(pattern))) if pattern and "/" in pattern else files
+
+
+def _path_regex(pattern: str) -> str:
+    """A glob of folders and a file name as a regular expression on the end of a path."""
+    out = ""
+    for part in re.split(r"(\*\*/|\*|\?)", pattern):
+        out += {"**/": "(?:[^/]+/)*", "*": "[^/]*", "?": "[^/]"}.get(part, re.escape(part))
+    return f"/{out}$"
 
 
 def latest_file(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:

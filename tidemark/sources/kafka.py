@@ -8,10 +8,13 @@ the given schema; an empty topic yields an empty frame *with* that schema.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.operators.fanout import decode
+from tidemark.operators.fanout import decode, encode
+from tidemark.session import path_exists
 
 
 def kafka_stream(spark: SparkSession, servers: str, topics: str | list[str],
@@ -40,13 +43,30 @@ def kafka_batch(spark: SparkSession, servers: str, topics: str | list[str],
 def drain_topic(spark: SparkSession, servers: str, topic: str, schema: T.StructType, sink_path: str,
                 checkpoint: str, options: dict | None = None) -> DataFrame:
     """Consume what is new since the last drain (the checkpoint is the consumer
-    group) into ``sink_path`` as parquet, and return what this drain read."""
+    group) into a folder of this drain under ``sink_path`` as parquet, and return
+    what this drain read."""
+    here = f"{sink_path.rstrip('/')}/drain={uuid.uuid4().hex}"
     env = kafka_stream(spark, servers, topic, options=options)
     rows = decode(env, schema, keep=("key", "timestamp"))
-    q = (rows.writeStream.format("parquet").option("path", sink_path)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{here}/batch={batch_id}")
+
+    # foreachBatch rather than a file sink, whose log would tie the folder to the checkpoint.
+    q = rows.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.schema(rows.schema).parquet(sink_path)
+    empty = spark.createDataFrame([], rows.schema)
+    return spark.read.schema(rows.schema).parquet(here).select(*rows.columns) if path_exists(spark, here) else empty
+
+
+def write_kafka_stream(rows: DataFrame, servers: str, topic: str, checkpoint: str, key: str | None = None,
+                       options: dict | None = None):
+    """Start a stream that publishes ``rows`` to ``topic`` as JSON, keyed by ``key`` (needs a broker)."""
+    w = (encode(rows, key=key).writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+         .option("topic", topic).option("checkpointLocation", checkpoint))
+    for k, v in (options or {}).items():
+        w = w.option(k, v)
+    return w.start()
 
 
 def write_kafka(envelope: DataFrame, servers: str, topic: str | None = None,

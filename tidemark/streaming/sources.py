@@ -26,7 +26,7 @@ def stage_chunks(df: DataFrame, root: str, chunk_of: Column, chunks: list | None
     out = []
     for i, c in enumerate(chunks):
         path = f"{root}/chunk={i:05d}"
-        df.where(chunk_of == F.lit(c)).write.parquet(path)
+        df.where(chunk_of.eqNullSafe(F.lit(c))).write.parquet(path)
         out.append(path)
     return out
 
