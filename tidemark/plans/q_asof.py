@@ -44,6 +44,24 @@ SELECT b.event_id, b.user_id, cv.view_product_id, cv.view_product_name, cv.view_
 FROM {_B} b ASOF LEFT JOIN {_CV_SQL} cv ON b.user_id = cv.user_id AND b.timestamp >= cv.timestamp"""
 
 
+_IN_7 = "CASE WHEN {x}.timestamp >= {y}.timestamp - INTERVAL 7 DAYS THEN {x}.{c} END AS {c}"
+_VIEW, _CART = ("view_product_id", "view_product_name", "view_category"), ("cart_product_id", "cart_product_name", "cart_quantity")
+GRACE_SQL = f"""
+SELECT b.event_id, b.user_id, {", ".join(_IN_7.format(x="cv", y="b", c=c) for c in _VIEW)}, b.timestamp,
+       {", ".join(_IN_7.format(x="cv", y="b", c=c) for c in _CART)}, b.price, b.order_id,
+       b.purchase_product_id, b.purchase_product_name, b.purchase_quantity, b.total_amount, b.payment_method
+FROM {_B} b ASOF LEFT JOIN (
+  SELECT c.event_id, c.user_id, c.timestamp, c.cart_product_id, c.cart_product_name, c.cart_quantity,
+         {", ".join(_IN_7.format(x="v", y="c", c=c) for c in _VIEW)}
+  FROM {_C} c ASOF LEFT JOIN {_V} v ON c.user_id = v.user_id AND c.timestamp >= v.timestamp) cv
+ON b.user_id = cv.user_id AND b.timestamp >= cv.timestamp"""
+
+
+@register("customer_journey_grace", GRACE_SQL, "J2 ST4 seven days of grace")
+def q_journey_grace(spark, sf):
+    return A.customer_journey(E.product_views(spark, sf), E.carts(spark, sf), E.purchases(spark, sf), tolerance="7 DAYS")
+
+
 @register("customer_journey", JOURNEY_SQL, "J2")
 def q_journey(spark, sf):
     return A.customer_journey(E.product_views(spark, sf), E.carts(spark, sf), E.purchases(spark, sf))

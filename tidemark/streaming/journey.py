@@ -23,8 +23,12 @@ Modes:
 
 State stays bounded: a view or cart older than the watermark can only matter
 as the newest such row (later rows are never older than the watermark), so all
-older ones are dropped, and with a ``tolerance`` that one goes too once it is
-out of range.
+older ones are dropped. With a ``tolerance`` a timer also clears a user's state
+once the watermark is past the range of its newest row, so users that never
+come back leave nothing; without one that newest row has to stay.
+
+Rows with a NULL time or user match nothing: such purchases pass by the state
+and come out without a cart or view, other such rows are dropped.
 """
 
 from __future__ import annotations
@@ -216,6 +220,20 @@ class JourneyProcessor(StatefulProcessor):
                 self.pending.clear()
             for t in timers:
                 self.handle.deleteTimer(t)
+            self._retire(wm)
+
+    def _retire(self, wm: int) -> None:
+        """Clear what is out of any later row's range; else have a timer look again when it is."""
+        if self.tolerance_us is None:
+            return
+        newest = max((r[0] for state in (self.views, self.carts) for r in self._load(state)), default=None)
+        if newest is None:
+            return
+        if newest + self.tolerance_us < wm:
+            self.views.clear()
+            self.carts.clear()
+        else:
+            self.handle.registerTimer((newest + self.tolerance_us) // 1000 + 1)
 
     # -- callbacks ---------------------------------------------------------
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -227,6 +245,9 @@ class JourneyProcessor(StatefulProcessor):
                   for rec in new[_INPUT_COLS].itertuples(index=False, name=None)]
         if self.mode == "on_arrival":
             yield self._process(key, tuples, self._watermark_us(timerValues))
+            for t in list(self.handle.listTimers()):
+                self.handle.deleteTimer(t)
+            self._retire(self._watermark_us(timerValues))
             return
         if tuples:
             self.pending.appendList(tuples)
@@ -257,10 +278,14 @@ def journey_stream(tagged: DataFrame, mode: str = "on_watermark", tolerance_us:
     ``time_col`` must be a ``timestamp`` (instant) column for the watermark.
     """
     _ensure_rocksdb(tagged.sparkSession)
-    keyed = tagged.withWatermark(time_col, delay)
+    able = F.col("user_id").isNotNull() & F.col("ts_us").isNotNull() & F.col(time_col).isNotNull()
+    keyed = tagged.where(able).withWatermark(time_col, delay)
     out = keyed.groupBy("user_id").transformWithStateInPandas(
         JourneyProcessor(mode, tolerance_us), OUTPUT_SCHEMA, "append", "EventTime")
-    return out
+    attached = {*VIEW_COLS, *CART_COLS}
+    alone = tagged.where(~able & (F.col("side") == PURCHASE)).select(
+        *[(F.lit(None) if f.name in attached else F.col(f.name)).cast(f.dataType).alias(f.name) for f in out.schema.fields])
+    return out.union(alone)
 
 
 def journey_output(rows: DataFrame) -> DataFrame:

@@ -13,12 +13,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def stage_chunks(df: DataFrame, root: str, chunk_of: Column, chunks: list | None = None) -> list[str]:
+def stage_chunks(df: DataFrame, root: str, chunk_of: Column, chunks: list | None = None,
+                 key: str | None = None, files: int = 8) -> list[str]:
     """Write ``df`` rows with ``chunk_of == c`` into ``root/chunk=<i>`` in the order
     of ``chunks``; returns the folders.
 
     Without ``chunks`` (consumers that do not depend on arrival order) all
-    chunks are staged by one partitioned write: one scan of ``df``.
+    chunks are staged by one partitioned write: one scan of ``df``. With ``key``
+    each chunk is ``files`` files and a key's rows are in one of them, so that a
+    micro-batch of any files has all of a key's rows of a chunk.
     """
     if chunks is None:
         df.withColumn("chunk", chunk_of).write.partitionBy("chunk").parquet(root)
@@ -26,7 +29,8 @@ def stage_chunks(df: DataFrame, root: str, chunk_of: Column, chunks: list | None
     out = []
     for i, c in enumerate(chunks):
         path = f"{root}/chunk={i:05d}"
-        df.where(chunk_of.eqNullSafe(F.lit(c))).write.parquet(path)
+        rows = df.where(chunk_of.eqNullSafe(F.lit(c)))
+        (rows.repartition(files, key) if key else rows).write.parquet(path)
         out.append(path)
     return out
 
