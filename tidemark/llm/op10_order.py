@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.store import tables
-from tidemark.llm.tokens import ChunkEncoder, default_path
+from tidemark.llm.tokens import ChunkEncoder, chunk_encoder, default_path
 from tidemark.llm.words import chunks, mix, out_schema
 from tidemark.session import scratch_dir
 
@@ -61,7 +61,7 @@ def _records(encoder: ChunkEncoder, text: bytes | None, length: int, end: bytes)
 
 def _count(picked: DataFrame, path: str, length: int, end: bytes) -> dict[int, tuple[int, int]]:
     def rows(batches):
-        encoder, n, texts = ChunkEncoder(path), 0, 0
+        encoder, n, texts = chunk_encoder(path), 0, 0
         for batch in chunks(batches, "_text"):
             for text in batch.column(1).cast(pa.large_binary()).to_pylist():
                 n += -(-(len(encoder.raw(text)) + len(end)) // (4 * length))
@@ -101,7 +101,7 @@ def materialise(docs: DataFrame, out_dir: str, key: int, id_col: str = "doc_id",
 
     def rows(batches):
         begins, counted = shared.value
-        encoder, split = ChunkEncoder(path), TaskContext.get().partitionId()
+        encoder, split = chunk_encoder(path), TaskContext.get().partitionId()
         at, texts = begins.get(split, 0), 0
         for batch in chunks(batches, "_text"):
             row, piece, ids = [], [], []

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.store import stored, tables
-from tidemark.llm.tokens import ChunkEncoder, default_path
+from tidemark.llm.tokens import chunk_encoder, default_path
 from tidemark.llm.words import chunks, out_schema
 
 CAPACITY, BLOCK_ITEMS = 4096, 4096
@@ -40,7 +40,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = docs.schema[id_col]
 
     def rows(batches):
-        encoder, end = ChunkEncoder(path), end_id.to_bytes(4, "little")
+        encoder, end = chunk_encoder(path), end_id.to_bytes(4, "little")
         for batch in chunks(batches, "_text"):
             at, piece, start, length, crc, ids = [], [], [], [], [], []
             for r, text in enumerate(batch.column(1).cast(pa.large_binary()).to_pylist()):
