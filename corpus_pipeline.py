@@ -18,6 +18,8 @@ from tidemark.llm.op7_decontaminate import remove_contaminated
 from tidemark.llm.store import stored, tables
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Near duplicates: five-word shingles, similarity of 0.8 or more.
+NEAR = {"n": 5, "num": 80, "den": 100}
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,11 +31,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near duplicates: the one with the smallest id.
 
+    Near are texts whose sets of ``NEAR["n"]``-word shingles have ``NEAR["num"] /
+    NEAR["den"]`` of Jaccard similarity or more (``op1_jaccard_join`` has a rule of its own).
     Documents with a null id stay, and texts that share an id without being near
     duplicates; rows of one id and text count once.
     """
     docs = docs.select(*COLUMNS)
-    heads = jaccard_components(docs).where("component_id = doc_id OR doc_id IS NULL").groupBy("doc_id").agg(F.count("*").alias("_rows"))
+    heads = jaccard_components(docs, **NEAR).where("component_id = doc_id OR doc_id IS NULL").groupBy("doc_id").agg(F.count("*").alias("_rows"))
     kept = docs.join(heads.where("doc_id IS NOT NULL"), "doc_id")
     rest = [c for c in COLUMNS if c not in ("doc_id", "text")]
     repeated = kept.where("_rows > 1").groupBy("doc_id", "text").agg(F.min(F.struct(*rest)).alias("_rest")).select("doc_id", "text", "_rest.*")
