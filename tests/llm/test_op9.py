@@ -83,3 +83,15 @@ def test_groups_have_estimates_of_their_own(spark):
     rows.append((1000, " ".join("q" * 12 + str(k) for k in range(100)), "aa", "s"))
     got = {x.doc_id: x.kept for x in R.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
     assert not got.pop(1000) and all(got.values())
+
+
+@pytest.mark.parametrize("share", [0.30, 0.45])
+def test_a_group_with_much_junk_still_loses_it(spark, share):
+    r = random.Random(4)
+    vocabulary = ["".join(r.choice("abcdefgh") for _ in range(r.randrange(2, 9))) for _ in range(800)]
+    rows, bad = [], int(400 * share)
+    for i in range(400):
+        words = r.choices(vocabulary, k=r.randrange(80, 300))
+        rows.append((i, " ".join(w + r.choice(["", "", "%%", "#$%"]) for w in words) if i < bad else " ".join(words), "en", "s"))
+    got = R.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert all(x.kept == (x.doc_id >= bad) for x in got)

@@ -2,11 +2,14 @@
 
 Each text gives five counts by array functions on its own row; no text is
 shuffled. Their transformed values are judged per language and source by the
-minimum covariance determinant: from medians and scales, a few concentration
-steps each keep the ``COVERAGE`` share of rows that lies closest and take mean
-and covariance of those. A step is two small aggregations (a quantile sketch,
-then moments), combined before the shuffle, so a source with most rows is no
-larger a task than others.
+minimum covariance determinant, which stands as long as over half of a group's
+rows are good. From two starts (medians, and middles of the shortest halves),
+concentration steps each keep the ``COVERAGE`` share of rows that lies closest
+and take mean and covariance of those, until no determinant falls any more; the
+start with the smaller one counts. Then the rows within a chi-square quantile of
+that estimate give the mean and covariance by which rows are judged. A step is
+two small aggregations (a quantile sketch, then moments), combined before the
+shuffle, so a source with most rows is no larger a task than others.
 """
 
 from __future__ import annotations
@@ -15,16 +18,25 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.store import stored, tables
 
-COVERAGE, STEPS = 0.75, 3
+#: Share of rows that a step keeps, and steps at most; they end when determinants have settled.
+COVERAGE, STEPS = 0.5, 30
+#: Logarithm by which a determinant's root has to fall to count as falling.
+SETTLED = 1e-9
 #: Groups of fewer rows are judged by the estimate over all of those together.
 LEAST_ROWS = 100
-#: Squared distance, in units in which a group's median is that of chi-square, beyond which a row goes.
+#: Squared distance by the reweighted estimate beyond which a row goes.
 CUT = 60.0
 #: Least spread of each transformed statistic: what counts as no difference.
 FLOORS = {"x_words": 0.15, "x_length": 0.05, "x_symbols": 0.02, "x_lines": 0.08, "x_repeats": 0.1}
 X = list(FLOORS)
 #: Median of chi-square with five degrees of freedom.
 CHI_MEDIAN = 4.351
+#: Its 0.975 quantile: rows within it are averaged in the reweighting step.
+CHI_NEAR = 12.833
+#: Squared distances by the closer half's covariance are too large by this: 0.5 / P(chi-square with seven degrees <= CHI_MEDIAN).
+CONSISTENCY = 1.918
+#: Quantiles of the starts: every fortieth; ``HALF`` of these steps hold half of the rows.
+MARKS, HALF = [k / 40 for k in range(41)], 20
 
 _SPACES = " \t\n\x0b\x0c\r"
 
@@ -71,14 +83,15 @@ def _lower_triangle() -> dict[str, Column]:
 
 
 def _moments(near: DataFrame) -> DataFrame:
-    """Means and the factor of the covariance, per group, of the rows that are near."""
+    """Means, the factor of the covariance and the logarithm ``det`` of its determinant's root, per group and start, of the rows that are near."""
     pairs = [(i, j) for i in range(len(X)) for j in range(i + 1)]
-    got = near.groupBy("_group").agg(*[F.avg(x).alias(f"m_{i}") for i, x in enumerate(X)], *[F.covar_pop(X[i], X[j]).alias(f"c_{i}_{j}") for i, j in pairs])
+    got = near.groupBy("_group", "_start").agg(*[F.avg(x).alias(f"m_{i}") for i, x in enumerate(X)], *[F.covar_pop(X[i], X[j]).alias(f"c_{i}_{j}") for i, j in pairs])
     for i, x in enumerate(X):
         got = got.withColumn(f"c_{i}_{i}", F.col(f"c_{i}_{i}") + FLOORS[x] ** 2)
     for name, value in _lower_triangle().items():
         got = got.withColumn(name, value)
-    return got.drop(*[f"c_{i}_{j}" for i, j in pairs])
+    det = sum((F.log(f"l_{i}_{i}") for i in range(len(X))), F.lit(0.0))
+    return got.withColumn("det", det).drop(*[f"c_{i}_{j}" for i, j in pairs])
 
 
 def _distance(df: DataFrame) -> DataFrame:
@@ -93,35 +106,66 @@ def _distance(df: DataFrame) -> DataFrame:
     return df.withColumn("d", total)
 
 
-def _start(rows: DataFrame) -> DataFrame:
-    """Medians as means, and quartile distances as a diagonal factor."""
-    marks = rows.groupBy("_group").agg(*[F.percentile_approx(x, [0.25, 0.5, 0.75], 2000).alias(f"q_{i}") for i, x in enumerate(X)])
-    for i, x in enumerate(X):
-        marks = marks.withColumn(f"m_{i}", F.col(f"q_{i}")[1])
-        for j in range(i):
-            marks = marks.withColumn(f"l_{i}_{j}", F.lit(0.0))
-        marks = marks.withColumn(f"l_{i}_{i}", F.greatest((F.col(f"q_{i}")[2] - F.col(f"q_{i}")[0]) / 1.349, F.lit(FLOORS[x])))
-    return marks.drop(*[f"q_{i}" for i in range(len(X))])
+def _starts(rows: DataFrame) -> DataFrame:
+    """Per group, medians with quartile distances (0), and middles with widths of the shortest halves (1), as means and diagonal factors."""
+    marks = rows.groupBy("_group").agg(*[F.percentile_approx(x, MARKS, 2000).alias(f"q_{i}") for i, x in enumerate(X)])
+    for i in range(len(X)):
+        widths = f"transform(sequence(0, {HALF}), k -> struct(q_{i}[k + {HALF}] - q_{i}[k] AS width, k AS k))"
+        marks = marks.withColumn(f"h_{i}", F.array_min(F.expr(widths)))
+    out = []
+    for start in (0, 1):
+        got = marks.withColumn("_start", F.lit(start))
+        for i, x in enumerate(X):
+            q, half = F.col(f"q_{i}"), F.col(f"h_{i}")
+            middle = q[HALF] if start == 0 else (q[half["k"]] + q[half["k"] + HALF]) / 2
+            spread = (q[HALF + HALF // 2] - q[HALF // 2] if start == 0 else half["width"]) / 1.349
+            got = got.withColumn(f"m_{i}", middle)
+            for j in range(i):
+                got = got.withColumn(f"l_{i}_{j}", F.lit(0.0))
+            got = got.withColumn(f"l_{i}_{i}", F.greatest(spread, F.lit(FLOORS[x])))
+        out.append(got.drop(*[f"{c}_{i}" for c in "qh" for i in range(len(X))]))
+    return out[0].unionByName(out[1])
 
 
 def robust_estimates(rows: DataFrame, coverage: float = COVERAGE, steps: int = STEPS) -> DataFrame:
     """Per ``_group``: mean, covariance factor, and ``unit``, the scale of squared distances. ``rows`` has the statistics."""
-    estimate = stored(_start(rows), "mcd")
-    for _ in range(steps):
-        at = _distance(rows.join(estimate, "_group"))
-        limit = stored(at.groupBy("_group").agg(F.percentile_approx("d", coverage, 10_000).alias("limit")), "mcd")
-        estimate = stored(_moments(at.join(limit, "_group").where("d <= limit")), "mcd")
+    key = ["_group", "_start"]
+    moving, settled = stored(_starts(rows).withColumn("det", F.lit(float("inf"))), "mcd"), []
+    for step in range(steps):
+        at = _distance(rows.join(moving, "_group"))
+        limit = stored(at.groupBy(*key).agg(F.percentile_approx("d", coverage, 10_000).alias("limit")), "mcd")
+        # Starts of a group that has settled are at rest; only the others take another step.
+        last = moving.select(*key, F.col("det").alias("last"))
+        got = stored(_moments(at.join(limit, key).where("d <= limit")).join(last, key), "mcd")
+        falls = F.col("det") < F.col("last") - SETTLED
+        moving = got.where(falls).drop("last")
+        settled.append(got.where(~falls).drop("last") if step < steps - 1 else got.drop("last"))
+        if not moving.limit(1).count():
+            break
+    every = settled[0]
+    for some in settled[1:]:
+        every = every.unionByName(some)
+    names = [c for c in every.columns if c not in ("_group", "det")]
+    best = every.groupBy("_group").agg(F.min(F.struct("det", *names)).alias("_best")).select("_group", *[f"_best.{c}" for c in names])
+    estimate = stored(best.drop("_start"), "mcd")
     scale = _distance(rows.join(estimate, "_group")).groupBy("_group").agg((F.percentile_approx("d", 0.5, 10_000) / CHI_MEDIAN).alias("unit"))
     # Spreads below the floors make distances small; those are not blown up.
     return estimate.join(stored(scale.withColumn("unit", F.greatest("unit", F.lit(1.0))), "mcd"), "_group")
 
 
+def reweighted(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+    """Per ``_group``: mean and covariance factor of the rows that lie within ``CHI_NEAR`` by ``estimates``."""
+    near = _distance(rows.join(estimates, "_group")).where(F.col("d") / CONSISTENCY <= CHI_NEAR)
+    return stored(_moments(near.withColumn("_start", F.lit(0))).drop("_start", "det"), "mcd")
+
+
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", cut: float = CUT) -> DataFrame:
-    """``id_col``, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``, ``kept``, ``distance``.
+    """``id_col``, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``, ``kept``, ``distance``, ``judged``.
 
     ``base_failed``: under 50 words, or over half of them in repeated windows.
-    ``kept``: not failed, and no outlier of its language and source. A null text
-    has no words. Null language or source is a group like others; groups below
+    ``kept``: not failed, and no outlier of its language and source: ``judged``,
+    the squared distance by the reweighted estimate, is at most ``cut``.
+    ``distance`` is the one by the estimate before that. A null text has no words. Null language or source is a group like others; groups below
     ``LEAST_ROWS`` rows are judged together. One row out for each row in,
     repeated rows and null ids too; an empty table gives an empty result.
     """
@@ -130,15 +174,16 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rows = stored(with_vector(with_counts(picked, "_text")).drop("_text"), "statistics")
     large = stored(rows.groupBy("_own").count().where(F.col("count") >= LEAST_ROWS).select("_own", F.col("_own").alias("_group")), "groups")
     rows = rows.join(large, "_own", "left").withColumn("_group", F.coalesce("_group", F.lit("*")))
-    judged = _distance(rows.join(robust_estimates(rows), "_group", "left"))
+    estimates = robust_estimates(rows)
+    raw = _distance(rows.join(estimates, "_group", "left")).withColumn("distance", F.col("d") / F.col("unit")).select(*rows.columns, "distance")
+    judged = _distance(raw.join(reweighted(rows, estimates), "_group", "left"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    distance = F.col("d") / F.col("unit")
     return judged.select(F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
-                         (~failed & (distance <= cut)).alias("kept"), distance.alias("distance"))
+                         (~failed & (F.col("d") <= cut)).alias("kept"), "distance", F.col("d").alias("judged"))
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
-    return judge(tables(spark, sf_dir, "documents")).drop("distance")
+    return judge(tables(spark, sf_dir, "documents")).drop("distance", "judged")
 
 
 QUERIES = {"op9_quality_rules": op9}
