@@ -61,3 +61,19 @@ def test_joined_paths_equal_broadcast_ones(spark, monkeypatch):
 def test_empty(spark):
     out = X.extract(spark.createDataFrame([], "page_id long, url string, html string"))
     assert out.count() == 0 and out.columns == ["page_id", "url", "text", "n_chars"]
+
+
+@pytest.mark.parametrize("depth", [300, 30_000])
+def test_text_after_and_in_a_closed_deep_nest(depth):
+    """Surplus end tags would close the article; a menu or form below any depth is one."""
+    nest = "<div>" * depth + "deep<nav>menu<p>more</nav><form>f</form>" + "</div>" * depth
+    runs = X.parse(f"<div id=page><article>{nest}<p>after</p></article></div><p>out</p>")
+    assert X.main_text(runs) == X.main_text(runs, {0}) == "deep after"
+    X.style_features(runs)
+
+
+def test_stray_end_tags_in_a_deep_nest_cost_no_search():
+    page = "<b><div>" + "<i>" * 30_000 + "x" + "</b></u></section>" * 30_000
+    assert X.main_text(X.parse(page)) == "x"
+    low = {n.path for n, _ in X.parse("<div class=q><p>x") if n is not None and n.tag == "div"} | {0}
+    assert X.main_text(X.parse("<div>" * 30_000 + "y"), low) == "y"

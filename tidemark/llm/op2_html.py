@@ -32,7 +32,8 @@ IMPORTANCE, LEAST_PAGES = 0.2, 4
 #: Share of the content's importance in a node's; the rest is its presentation's.
 CONTENT_SHARE = 0.9
 BROADCAST_ROWS = 500_000
-DEPTH = 200
+#: Levels of the style tree, since a text counts for every level above it. What lies deeper goes with its ancestors only; text is taken at any depth.
+TREE_DEPTH = 200
 
 # Fixed values of HTML.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -64,7 +65,7 @@ _NAME = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("parent", "tag", "path", "noise", "article", "bare", "children", "texts")
+    __slots__ = ("parent", "tag", "path", "noise", "article", "bare", "children", "texts", "depth", "in_tree")
 
     def __init__(self, parent: "Node | None", tag: str, attributes: str):
         named = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)} if attributes else {}
@@ -83,6 +84,9 @@ class Node:
         self.article = not self.noise and (inside or tag in ("article", "main"))
         #: A plain paragraph or heading of an article, or the article itself: no template part.
         self.bare = self.article and (tag in ("article", "main") or tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre") or tag in INLINE)
+        self.depth = parent.depth + 1 if parent else 0
+        #: The nearest element, itself or above, that is a node of the style tree.
+        self.in_tree = self if self.depth <= TREE_DEPTH else parent.in_tree
         if parent is not None:
             parent.children.append(signature)
 
@@ -91,19 +95,35 @@ def parse(html: str) -> list[tuple[Node | None, str]]:
     """The page's texts in order with the element that holds each; (None, "") is a block's edge."""
     root = Node(None, "#", "")
     stack, runs, at = [root], [], 0
+    #: Places in the stack of each tag's open elements, and of those that are not inline: no end tag has to search the stack.
+    places: dict[str, list[int]] = {}
+    blocks: list[int] = []
 
     def text(raw: str) -> None:
         if raw:
             runs.append((stack[-1], raw))
 
+    def push(node: Node) -> None:
+        places.setdefault(node.tag, []).append(len(stack))
+        if node.tag not in INLINE:
+            blocks.append(len(stack))
+        stack.append(node)
+
+    def pop(to: int) -> None:
+        while len(stack) > to:
+            tag = stack.pop().tag
+            places[tag].pop()
+            if tag not in INLINE:
+                blocks.pop()
+
+    def last(tags) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
     def close(names, scope) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in names:
-                del stack[i:]
-                runs.append((None, ""))
-                return
-            if stack[i].tag in scope:
-                return
+        i = last(names)
+        if i and i >= last(scope):
+            pop(i)
+            runs.append((None, ""))
 
     while at < len(html):
         start = html.find("<", at)
@@ -121,12 +141,9 @@ def parse(html: str) -> list[tuple[Node | None, str]]:
             tag = m[1].lower()
             if tag not in INLINE:
                 runs.append((None, ""))
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-                if tag in INLINE and stack[i].tag not in INLINE:
-                    break  # a stray inline end tag
+            i = last((tag,))
+            if i and not (tag in INLINE and blocks and blocks[-1] > i):  # not a stray inline end tag
+                pop(i)
             continue
         tag = (m[2] or m[4] or "").lower()
         if not tag:
@@ -138,8 +155,6 @@ def parse(html: str) -> list[tuple[Node | None, str]]:
             close({"p"}, SCOPE)
         if tag not in INLINE:
             runs.append((None, ""))
-        if len(stack) > DEPTH and tag not in RAW:
-            continue
         node = Node(stack[-1], tag, attributes)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I).search(html, at)
@@ -147,7 +162,7 @@ def parse(html: str) -> list[tuple[Node | None, str]]:
             if end:
                 at = html.find(">", at) + 1 or len(html)
         elif tag not in VOID and not attributes.endswith("/"):
-            stack.append(node)
+            push(node)
     return runs
 
 
@@ -161,9 +176,14 @@ def main_text(runs, low=frozenset()) -> str:
     gone: dict[Node, bool] = {}
 
     def dropped(node: Node) -> bool:
-        if node not in gone:
-            gone[node] = (not node.bare and node.path in low) or (node.parent is not None and dropped(node.parent))
-        return gone[node]
+        chain = []
+        while node is not None and node not in gone:
+            chain.append(node)
+            node = node.parent
+        out = node is not None and gone[node]
+        for n in reversed(chain):
+            out = gone[n] = out or (not n.bare and n.path in low)
+        return out
 
     for prune in ((True, False) if low else (False,)):
         parts = []
@@ -186,6 +206,7 @@ def style_features(runs) -> set[tuple[int, int, int]]:
             continue
         words = raw.split()
         feature = xxhash.xxh3_64_intdigest(" ".join(words)) if words else None
+        node = node.in_tree
         while node is not None and node.tag not in ("#", "html", "body"):
             if node not in seen:
                 seen[node] = None
@@ -238,6 +259,7 @@ def low_importance(pages: DataFrame, url_col: str, html_col: str, importance: fl
 def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", **options) -> DataFrame:
     """``pages`` without the html, plus ``text`` and ``n_chars`` (code points).
 
+    Elements nest to any depth; the style tree has the upper ``TREE_DEPTH`` levels.
     Text is that of the page's articles, or of the whole body where it has none.
     A null or empty html, or one without such text, gives an empty text; a null
     url is a host of its own. If every branch of a page is of low importance,
