@@ -77,3 +77,23 @@ def test_stray_end_tags_in_a_deep_nest_cost_no_search():
     assert X.main_text(X.parse(page)) == "x"
     low = {n.path for n, _ in X.parse("<div class=q><p>x") if n is not None and n.tag == "div"} | {0}
     assert X.main_text(X.parse("<div>" * 30_000 + "y"), low) == "y"
+
+
+WORDS = {
+    "<body><div class='layout no-sidebar'><p>all</p></div></body>": "all",
+    "<div class='page--has-sidebar'><main><p>m</p></main></div>": "m",
+    "<div class='withBanner'><article>a</article></div>": "a",
+    "<div class='sidebar-layout'><nav>n</nav><div class=widget><article>real</article></div><div class=widget>w</div></div>": "real",
+    "<main><h1>t</h1><div class='promo-page'><article>real</article></div></main>": "t real",
+    "<article><h2 id='share-prices'>Shares</h2><p id='search'>s</p><section id='related-work'>r</section><div id='notice-of-1912'>n</div></article>": "Shares s r n",
+    "<article>a<div id='sidebar-left'>x</div><div id=comments>x</div><div class='no-js share'>x</div></article>": "a",
+    "<article>a<div class=comments><article>first!</article></div></article>": "a",
+    "<div class=related><nav><article>teaser</article></nav>x</div><p>b": "b",
+    "<div class='layout sidebar-right'><p>everything</p><nav>n</nav></div>": "everything",
+    "<nav class=menu>only</nav>": "", "<header>only</header>": "",
+}
+
+
+@pytest.mark.parametrize("html", WORDS)
+def test_words_are_evidence_not_a_verdict(html):
+    assert X.main_text(X.parse(html)) == WORDS[html]

@@ -5,7 +5,10 @@ tags with their class and id words. A node's importance comes from entropies
 over the host's pages: how its presentation (the sequence of its children)
 varies, and how its content is spread: a text found on all pages has none. Then
 each page loses the branches of low importance, next to those whose tag, role
-or class says that they are menus, headers, footers, adverts and the like.
+or class says that they are menus, headers, footers, adverts and the like. Words
+of a class or id do not count for an element that holds an article or main, after
+"no", "has" or "with", in an id that is a slug or on a heading or paragraph, and
+not at all where they would leave a page without text.
 
 The tree is an aggregation by (host, path, feature), combined before the
 shuffle; a host with most pages is many keys. Pages are parsed where they lie
@@ -57,6 +60,13 @@ NOISE_WORDS = {"ad", "ads", "adsense", "advert", "advertisement", "advertising",
                "login", "register", "search", "share", "sharing", "social", "related", "recommended", "recommendations", "comment", "comments", "commentlist",
                "disqus", "replies", "respond", "pagination", "pager", "form", "skip"}
 HEADER_WORDS = {"header"}
+#: Words after one of these, in one class or id, say what else the page has or lacks.
+ABOUT = {"no", "not", "non", "has", "have", "with", "without"}
+#: An id names noise if it has no words but noise words and these; others are slugs of headings and sections.
+PLACES = {"main", "site", "page", "post", "top", "bottom", "left", "right", "primary", "secondary", "inner", "outer", "area", "block", "box", "bar", "section",
+          "container", "wrapper", "wrap", "content", "list", "item", "col", "column", "row", "header", "global", "mobile", "desktop", "the", "id", "div"}
+#: On these an id is an anchor.
+ANCHORED = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre"}
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|</([a-zA-Z][^\s/>]*+)[^>]*+(?:>|\Z)
 |<([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|\Z)|<([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)""", re.S | re.X)
@@ -64,8 +74,26 @@ _ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden)(?:\s*=\
 _NAME = re.compile(r"[a-z]+")
 
 
+def _split(label: str) -> list[str]:
+    return _NAME.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", label).lower())
+
+
+def evidence(tag: str, classes: str, id_: str) -> set[str]:
+    """Words of the class and id that can say what the element is."""
+    out: set[str] = set()
+    for token in classes.split():
+        for word in _split(token):
+            if word in ABOUT:
+                break
+            out.add(word)
+    names = _split(id_) if tag not in ANCHORED else []
+    if names and not ABOUT & {*names} and {*names} <= NOISE_WORDS | HEADER_WORDS | PLACES:
+        out.update(names)
+    return out
+
+
 class Node:
-    __slots__ = ("parent", "tag", "path", "noise", "article", "bare", "children", "texts", "depth", "in_tree")
+    __slots__ = ("parent", "tag", "path", "noise", "article", "hard", "soft", "named", "spared", "in_article", "bare", "children", "texts", "depth", "in_tree")
 
     def __init__(self, parent: "Node | None", tag: str, attributes: str):
         named = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)} if attributes else {}
@@ -74,27 +102,44 @@ class Node:
         self.parent, self.tag, self.children, self.texts = parent, tag, [], []
         signature = ".".join([tag, *words])
         self.path = xxhash.xxh3_64_intdigest(signature, parent.path if parent else 0)
-        inside = parent is not None and parent.article
-        noise = tag in NOISE_TAGS or named.get("role", "").lower() in NOISE_ROLES or "hidden" in named or named.get("aria-hidden") == "true"
+        self.in_article = parent is not None and (parent.in_article or parent.tag == "article")
+        words = evidence(tag, named.get("class", ""), named.get("id", "")) if named else ()
+        #: Noise by tag, role or hiding, its own or inherited.
+        self.hard = (parent is not None and parent.hard) or tag in NOISE_TAGS or named.get("role", "").lower() in NOISE_ROLES or "hidden" in named or named.get("aria-hidden") == "true"
+        #: Noise by its own words; a header's word or tag counts outside articles only, see ``decide``.
+        self.soft = self.named = self.spared = False
         if tag == "article":
-            noise |= bool({"comment", "comments", "related", "ad", "promo"} & {*words})
+            self.soft = not {"comment", "comments", "related", "ad", "promo"}.isdisjoint(words)
         elif tag not in ("html", "body", "main"):
-            noise |= not NOISE_WORDS.isdisjoint(words) or (not inside and (tag == "header" or not HEADER_WORDS.isdisjoint(words)))
-        self.noise = noise or (parent is not None and parent.noise)
-        self.article = not self.noise and (inside or tag in ("article", "main"))
-        #: A plain paragraph or heading of an article, or the article itself: no template part.
-        self.bare = self.article and (tag in ("article", "main") or tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre") or tag in INLINE)
+            self.soft, self.named = not NOISE_WORDS.isdisjoint(words), tag == "header" or not HEADER_WORDS.isdisjoint(words)
+        if tag in ("article", "main") and not self.hard and not self.soft:
+            # What holds an article or main is not judged by its words. An article in another one is a comment or the like.
+            up = None if self.in_article else parent
+            while up is not None and not up.spared:
+                up.spared = True
+                up = up.parent
         self.depth = parent.depth + 1 if parent else 0
         #: The nearest element, itself or above, that is a node of the style tree.
         self.in_tree = self if self.depth <= TREE_DEPTH else parent.in_tree
         if parent is not None:
             parent.children.append(signature)
 
+    def decide(self, by_words: bool = True) -> None:
+        """Sets ``noise``, ``article`` and ``bare``, once the page's elements are known; the parent's before."""
+        parent, tag = self.parent, self.tag
+        inside = parent is not None and parent.article
+        self.noise = self.hard or (parent is not None and parent.noise)
+        if not self.noise and not self.spared:
+            self.noise = (by_words and self.soft) or (self.named and not inside and (by_words or tag == "header"))
+        self.article = not self.noise and (inside or tag in ("article", "main"))
+        #: A plain paragraph or heading of an article, or the article itself: no template part.
+        self.bare = self.article and (tag in ("article", "main", "p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre") or tag in INLINE)
+
 
 def parse(html: str) -> list[tuple[Node | None, str]]:
     """The page's texts in order with the element that holds each; (None, "") is a block's edge."""
     root = Node(None, "#", "")
-    stack, runs, at = [root], [], 0
+    stack, nodes, runs, at = [root], [root], [], 0
     #: Places in the stack of each tag's open elements, and of those that are not inline: no end tag has to search the stack.
     places: dict[str, list[int]] = {}
     blocks: list[int] = []
@@ -156,6 +201,7 @@ def parse(html: str) -> list[tuple[Node | None, str]]:
         if tag not in INLINE:
             runs.append((None, ""))
         node = Node(stack[-1], tag, attributes)
+        nodes.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I).search(html, at)
             at = end.start() if end else len(html)
@@ -163,6 +209,11 @@ def parse(html: str) -> list[tuple[Node | None, str]]:
                 at = html.find(">", at) + 1 or len(html)
         elif tag not in VOID and not attributes.endswith("/"):
             push(node)
+    for node in nodes:
+        node.decide()
+    if any(node.soft or node.named for node in nodes) and not any(n is not None and not n.noise and raw.strip() for n, raw in runs):
+        for node in nodes:  # words would leave nothing: then they say nothing
+            node.decide(by_words=False)
     return runs
 
 
