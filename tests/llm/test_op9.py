@@ -95,3 +95,18 @@ def test_a_group_with_much_junk_still_loses_it(spark, share):
         rows.append((i, " ".join(w + r.choice(["", "", "%%", "#$%"]) for w in words) if i < bad else " ".join(words), "en", "s"))
     got = R.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
     assert all(x.kept == (x.doc_id >= bad) for x in got)
+
+
+def test_small_groups_are_judged_by_their_language_first(spark):
+    """Short sources of a language with long words: by all languages together these would look like the others' outliers."""
+    r = random.Random(6)
+    rows = []
+    for i in range(440):  # "aa" is small in every source, "bb" large in one, "cc" small as a whole
+        lang, source = ("aa", f"s{i % 4}") if i < 200 else ("bb", "s") if i < 400 else ("bb", "t") if i < 420 else ("cc", "s")
+        size = 3 if lang == "aa" else 12
+        rows.append((i, " ".join("".join(r.choice("xyz") for _ in range(size)) + str(r.randrange(10 ** 6)) for _ in range(100)), lang, source))
+    rows.append((1000, " ".join("q" * 12 + str(k) for k in range(100)), "aa", "s1"))
+    rows.append((1001, " ".join("xyz%%%" + str(k) for k in range(100)), "bb", "t"))
+    got = {x.doc_id: x.kept for x in R.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert len(got) == len(rows) and not got.pop(1000) and not got.pop(1001)
+    assert all(kept for i, kept in got.items() if i < 420)

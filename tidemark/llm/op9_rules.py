@@ -22,7 +22,7 @@ from tidemark.llm.store import stored, tables
 COVERAGE, STEPS = 0.5, 30
 #: Logarithm by which a determinant's root has to fall to count as falling.
 SETTLED = 1e-9
-#: Groups of fewer rows are judged by the estimate over all of those together.
+#: Groups of fewer rows are judged by the estimate over their language, languages of fewer by that over all rows.
 LEAST_ROWS = 100
 #: Squared distance by the reweighted estimate beyond which a row goes.
 CUT = 60.0
@@ -159,24 +159,38 @@ def reweighted(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     return stored(_moments(near.withColumn("_start", F.lit(0))).drop("_start", "det"), "mcd")
 
 
+def with_groups(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` (with ``_lang`` and ``_own``) by the ``_group`` that judges each, and by every group whose estimate they are part of."""
+    counts = stored(rows.groupBy("_lang", "_own").agg(F.count("*").alias("n")), "groups")
+    langs = counts.groupBy("_lang").agg(F.sum("n").alias("n_lang"), F.min("n").alias("least"))
+    sizes = counts.join(stored(langs, "groups"), "_lang")
+    own, lang, every = F.col("n") >= LEAST_ROWS, F.col("n_lang") >= LEAST_ROWS, F.lit("*")
+    small = sizes.where(~lang & ~own).limit(1).count() > 0
+    judge_by = F.when(own, F.col("_own")).when(lang, F.col("_lang")).otherwise(every)
+    parts = F.array_compact(F.array(F.when(own, F.col("_own")), F.when(lang & (F.col("least") < LEAST_ROWS), F.col("_lang")), every if small else F.lit(None).cast("string")))
+    plan = stored(sizes.select("_own", judge_by.alias("_group"), parts.alias("_parts")), "groups")
+    return (rows.join(plan.drop("_parts"), "_own"), rows.join(plan.select("_own", F.explode("_parts").alias("_group")), "_own"))
+
+
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", cut: float = CUT) -> DataFrame:
     """``id_col``, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``, ``kept``, ``distance``, ``judged``.
 
     ``base_failed``: under 50 words, or over half of them in repeated windows.
     ``kept``: not failed, and no outlier of its language and source: ``judged``,
     the squared distance by the reweighted estimate, is at most ``cut``.
-    ``distance`` is the one by the estimate before that. A null text has no words. Null language or source is a group like others; groups below
-    ``LEAST_ROWS`` rows are judged together. One row out for each row in,
+    ``distance`` is the one by the estimate before that. A null text has no words. Null language or source is a group like others. A group below
+    ``LEAST_ROWS`` rows is judged by all rows of its language, and by all rows
+    of the table where those are too few as well. One row out for each row in,
     repeated rows and null ids too; an empty table gives an empty result.
     """
     group = F.to_json(F.struct(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{source_col}`").alias("source")))
-    picked = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"), group.alias("_own"))
+    lang = F.concat(F.lit("lang "), F.to_json(F.struct(F.col(f"`{lang_col}`").alias("lang"))))
+    picked = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"), lang.alias("_lang"), group.alias("_own"))
     rows = stored(with_vector(with_counts(picked, "_text")).drop("_text"), "statistics")
-    large = stored(rows.groupBy("_own").count().where(F.col("count") >= LEAST_ROWS).select("_own", F.col("_own").alias("_group")), "groups")
-    rows = rows.join(large, "_own", "left").withColumn("_group", F.coalesce("_group", F.lit("*")))
-    estimates = robust_estimates(rows)
+    rows, parts = with_groups(rows)
+    estimates = robust_estimates(parts)
     raw = _distance(rows.join(estimates, "_group", "left")).withColumn("distance", F.col("d") / F.col("unit")).select(*rows.columns, "distance")
-    judged = _distance(raw.join(reweighted(rows, estimates), "_group", "left"))
+    judged = _distance(raw.join(reweighted(parts, estimates), "_group", "left"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return judged.select(F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
                          (~failed & (F.col("d") <= cut)).alias("kept"), "distance", F.col("d").alias("judged"))
