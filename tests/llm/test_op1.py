@@ -91,7 +91,7 @@ def test_signatures_meet_for_every_similar_pair():
                 for often in (0, 0.1, 0.6, 1):
                     every = np.union1d(a, b)
                     frequent = every[r.random(len(every)) < often]
-                    sig, who, _ = J.signatures([a, b], levels, frequent)
+                    sig, who = J.signatures([a, b], levels, frequent)[:2]
                     assert set(sig[who == 0].tolist()) & set(sig[who == 1].tolist())
 
 
@@ -116,3 +116,22 @@ def test_index_finds_all_links_with_any_merge(monkeypatch, heap):
         both = np.array([len(np.intersect1d(s, x)) for x in sets])
         want = np.flatnonzero(100 * both >= 85 * (len(s) + index.sizes - both))
         assert sorted(index.linked(s, 85, 100).tolist()) == want.tolist()
+
+
+def test_linked_sets_share_as_many_signatures_as_they_must():
+    r = np.random.default_rng(4)
+    levels, none = J.Levels(80, 100), np.zeros(0, np.uint64)
+    for size in (3, 9, 20, 60, 200):
+        for _ in range(40):
+            a = r.integers(0, 1 << 63, size, dtype=np.uint64)
+            b = a.copy()
+            b[r.permutation(size)[:r.integers(0, size // 8 + 1)]] = r.integers(0, 1 << 63)
+            sets = [np.unique(a), np.unique(np.r_[b, r.integers(0, 1 << 63, r.integers(0, size // 10 + 1), dtype=np.uint64)])]
+            both = len(np.intersect1d(*sets))
+            if 100 * both < 80 * (len(sets[0]) + len(sets[1]) - both):
+                continue
+            sig, who, _, level, need = J.signatures(sets, levels, none)
+            found = [set(zip(level[who == i].tolist(), sig[who == i].tolist())) for i in (0, 1)]
+            shared = [x for x, _ in found[0] & found[1]]
+            must = {x: max(need[(who == i) & (level == x)].max(initial=-99) for i in (0, 1)) for x in set(shared)}
+            assert any(shared.count(x) >= must[x] for x in must)

@@ -7,7 +7,9 @@
    sets. Each class signs every part. Classes with an equal signature of several
    shingles fall into one candidate group (connected components over these).
    A part of one or two shingles is often equal by chance, where texts share a
-   line; it gives candidate pairs instead, and only across groups. Shingles that
+   line; it gives candidate pairs instead, and only across groups. There are more
+   than k + 1 parts, so a linked pair has several equal ones: pairs with fewer go
+   before any text is shipped. Shingles that
    very many texts have are left out of the parts: leaving out any fixed set of
    shingles takes no equal part away.
 3. In a candidate group the sets are indexed by inverted lists. Each set is a
@@ -85,8 +87,8 @@ class Levels:
         self.low = np.array(self.low[:-1])
         # Sets of sizes up to h that reach the threshold differ in at most k elements.
         k = [2 * h * (den - num) // (den + num) for h in self.high]
-        #: Parts beyond k + 1, for sets with empty parts: those do not count as equal.
-        self.spare = np.array([0 if not x else max(1, x // 16) for x in k])
+        #: Parts beyond k + 1: so many more of a linked pair are equal, or empty in both.
+        self.spare = np.array([0 if not x else max(1, x // 8) for x in k])
         self.parts = np.array(k) + 1 + self.spare
 
     def of(self, size: np.ndarray) -> np.ndarray:
@@ -99,19 +101,22 @@ def _among(hashes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return frequent[np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)] == hashes
 
 
-def signatures(sets: list[np.ndarray], levels: Levels, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Signatures of non-empty ``sets``, the index of each one's set, and whether it is of several shingles.
+def signatures(sets: list[np.ndarray], levels: Levels, frequent: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Signatures of non-empty ``sets``, the index of each one's set, whether it is of several shingles, its level, and how many it must share.
 
-    ``frequent``: sorted hashes that parts leave out.
+    Two linked sets share at least the larger of their two numbers of signatures
+    at a level that both have: of its parts ``k`` at most are unequal, and an
+    empty part of both is no signature. ``frequent``: sorted hashes that parts
+    leave out.
     """
     if not sets:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int32), np.zeros(0, np.int32)
     sizes = np.array([len(s) for s in sets])
     every, who = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
     often = _among(every, frequent)
     own, of_set = every[~often], who[~often]
     mixed, high = mix(own ^ _PART), own >> np.uint64(32)
-    found, owners, wide, sparse = [], [], [], np.zeros(len(sets), bool)
+    found, owners, wide, at_level, needs, sparse = [], [], [], [], [], np.zeros(len(sets), bool)
     for up in (0, 1):  # its own level, and the next one's for larger partners
         level = levels.of(sizes) + up
         parts = levels.parts[level]
@@ -120,12 +125,15 @@ def signatures(sets: list[np.ndarray], levels: Levels, frequent: np.ndarray) ->
         new[1:] = (of_set[1:] != of_set[:-1]) | (part[1:] != part[:-1])
         begin = np.flatnonzero(new)
         of = of_set[begin]
+        empty = parts - np.bincount(of, minlength=len(sets))
         if len(begin):
             found.append(mix(np.add.reduceat(mixed, begin) + part[begin] * _ALONE + level[of].astype(np.uint64) * _CLASS))
             owners.append(of)
             # A whole set of one part is no part equal by chance.
             wide.append((np.diff(np.r_[begin, len(own)]) >= WIDE) | (parts[of] == 1))
-        sparse |= parts - np.bincount(of, minlength=len(sets)) > levels.spare[level]
+            at_level.append(level[of])
+            needs.append((1 + levels.spare[level] - empty)[of])
+        sparse |= empty > levels.spare[level]
     first = np.concatenate([[0], np.cumsum(sizes)])
     for i in np.flatnonzero(sparse):
         # Two sets with too many empty parts share one of their first hashes instead (prefix filter), frequent ones last.
@@ -134,7 +142,9 @@ def signatures(sets: list[np.ndarray], levels: Levels, frequent: np.ndarray) ->
         found.append(mix(sets[i][order] ^ _ALONE))
         owners.append(np.full(len(order), i))
         wide.append(o[order])
-    return tuple(np.concatenate(x) for x in (found, owners, wide))
+        at_level.append(np.full(len(order), -1))
+        needs.append(np.zeros(len(order), np.int64))
+    return tuple(np.concatenate(x) for x in (found, owners, wide)) + tuple(np.concatenate(x).astype(np.int32) for x in (at_level, needs))
 
 
 # Inside tasks: DivideSkip over one block.
@@ -306,10 +316,11 @@ def _signature_rows(texts: DataFrame, n: int, num: int, den: int, frequent) -> D
                     seen.add(c)
                     own.append(s)
                     classes.append(c)
-            sig, who, wide = signatures(own, levels, frequent.value)
-            yield pa.RecordBatch.from_arrays([pa.array(as_int64(sig)), pa.array(np.array(classes, np.int64)[who]), pa.array(wide)], names=["sig", "class", "wide"])
+            sig, who, wide, level, need = signatures(own, levels, frequent.value)
+            yield pa.RecordBatch.from_arrays([pa.array(as_int64(sig)), pa.array(np.array(classes, np.int64)[who]), pa.array(wide), pa.array(level), pa.array(need)],
+                                             names=["sig", "class", "wide", "level", "need"])
 
-    return texts.mapInArrow(rows, "sig long, class long, wide boolean")
+    return texts.mapInArrow(rows, "sig long, class long, wide boolean, level int, need int")
 
 
 def _class_texts(texts: DataFrame, n: int) -> DataFrame:
@@ -386,18 +397,21 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     frequent = docs.sparkSession.sparkContext.broadcast(_frequent(texts, n))
     signed = _signature_rows(texts, n, num, den, frequent)
     at = Window.partitionBy("sig")
-    shared = signed.select("sig", "class", "wide", F.min("class").over(at).alias("least"), F.max("class").over(at).alias("most")).where("least <> most")
+    shared = signed.select("sig", "class", "wide", "level", "need", F.min("class").over(at).alias("least"), F.max("class").over(at).alias("most")).where("least <> most")
     # Only signatures of two classes or more are left: few rows of all that were signed.
-    shared = stored(shared.select("sig", "class", "wide", "least"), "signatures")
+    shared = stored(shared.select("sig", "class", "wide", "level", "need", "least"), "signatures")
     groups = connected_components(shared.where("wide AND class <> least").select("least", "class").distinct(), "least", "class")
     in_group = stored(groups.select(F.col("node").alias("class"), F.col("component").alias("group"))
                       .union(groups.select("component", "component").distinct()), "groups")
-    thin = shared.where("NOT wide").select("sig", "class").join(in_group, "class", "left").select("sig", "class", F.coalesce("group", "class").alias("group"))
+    thin = shared.where("NOT wide").select("sig", "class", "level", "need").distinct()
+    thin = thin.join(in_group, "class", "left").select("sig", "class", "level", "need", F.coalesce("group", "class").alias("group"))
     thin = stored(thin, "thin")
     mixed = thin.groupBy("sig").agg(F.min("group").alias("a"), F.max("group").alias("b")).where("a <> b").select("sig")
     thin = stored(thin.join(mixed, "sig"), "thin")
     x, y = thin.alias("x"), thin.alias("y")
-    pairs = x.join(y, F.expr("x.sig = y.sig AND x.class < y.class AND x.group <> y.group")).select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
+    pairs = x.join(y, F.expr("x.sig = y.sig AND x.class < y.class AND x.group <> y.group"))
+    pairs = pairs.groupBy(F.col("x.class").alias("a"), F.col("y.class").alias("b"), "x.level").agg(F.count("*").alias("n"), F.max(F.greatest("x.need", "y.need")).alias("need"))
+    pairs = stored(pairs.where("n >= need").select("a", "b").distinct(), "pairs")
     pairs = pairs.select(F.explode(F.array("a", "b")).alias("class"), F.xxhash64("a", "b").alias("group"), F.lit(-1).cast("long").alias("block"))
     sizes = rows.where("class IS NOT NULL").groupBy("class").agg(F.max("n_shingles").alias("size"))
     mass = stored(in_group.join(sizes, "class").groupBy("group").agg(F.ceil(F.sum("size") / block_shingles).alias("blocks")), "mass")
