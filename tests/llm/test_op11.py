@@ -67,6 +67,20 @@ def test_empty_table_and_parameters(spark):
         S.remove_repeated_bytes(empty, gram=500)
 
 
+def test_a_block_without_contexts():
+    assert S.duplicate_starts(np.zeros(0, np.uint8), np.zeros(0, np.int64), 100).tolist() == []
+    assert [x.tolist() for x in S.duplicate_spans([b"a" * 100], 100)] == [[]] and len(S.duplicate_spans([], 100)) <= 1
+
+
+@pytest.mark.parametrize("frequent", [1, 5])
+def test_frequent_contexts_are_looked_up_apart(spark, monkeypatch, frequent):
+    monkeypatch.setattr(S, "FREQUENT", frequent)
+    rows = list(enumerate(corpus(9, 90)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = S.remove_repeated_bytes(df, length=90, gram=24, hot=2, with_kept=False).collect()
+    assert sorted((tuple(x) for x in got), key=str) == brute(rows, 90)
+
+
 def test_difference_cover():
     cover = S.DifferenceCover(S.COVER, S.PERIOD)
     assert cover.delta.min() >= 0 and cover.delta.max() < S.PERIOD

@@ -184,7 +184,7 @@ def duplicate_starts(text: np.ndarray, places: np.ndarray, length: int, size: in
 def duplicate_spans(contexts: list[bytes], length: int) -> list[np.ndarray]:
     """For each context the (start, end) of what its duplicated windows cover."""
     text = np.frombuffer(b"\x00".join(contexts), np.uint8)
-    size = np.array([len(c) for c in contexts])
+    size = np.array([len(c) for c in contexts], np.int64)
     first = np.cumsum(size + 1) - size - 1
     n = np.maximum(0, size - length + 1)
     places = np.arange(int(n.sum())) + np.repeat(first - (np.cumsum(n) - n), n)
@@ -342,6 +342,13 @@ def _nodes(contexts: DataFrame, length: int) -> DataFrame:
 _CONTEXT = ["anchor", "c1", "c2"]
 
 
+def _looked_up(rows: DataFrame, table: DataFrame, key: list[str]) -> DataFrame:
+    """``rows`` joined to ``table``, whose ``n`` is how many rows each of its keys has there."""
+    bound = max(FREQUENT, (table.agg(F.sum("n")).first()[0] or 0) // MOST_FREQUENT)
+    often, seldom = table.where(F.col("n") > bound).drop("n"), table.where(F.col("n") <= bound).drop("n")
+    return rows.join(seldom, key).union(rows.join(F.broadcast(often), key))  # often: at most a million rows
+
+
 def _split_hot(hot: DataFrame, length: int, gram: int, bound: int) -> DataFrame:
     """Spans of the contexts of buckets too large to sort in one block."""
     nodes = hot.select(*_CONTEXT, F.array(F.struct(F.col("anchor").alias("core"), F.lit(0).alias("low"), F.lit(length - gram).alias("high"))).alias("_nodes"))
@@ -350,16 +357,16 @@ def _split_hot(hot: DataFrame, length: int, gram: int, bound: int) -> DataFrame:
         made = stored(_nodes(hot.join(nodes, _CONTEXT), length), "nodes")
         key = ["core", "low", "high", "f1", "f2"]
         own = F.struct(*_CONTEXT, "start", "end")
-        alike = stored(made.groupBy(*key).agg(F.min(own).alias("one"), F.max(F.struct(*_CONTEXT)).alias("last"))
-                       .select(*key, "one", (F.expr("struct(one.anchor, one.c1, one.c2)") != F.col("last")).alias("many")), "alike")
-        full = made.join(alike.where("many").select(*key), key).select(*_CONTEXT, "start", "end")
-        width = stored(alike.groupBy("core").agg(F.count("*").alias("n")).where("n > 1"), "width")
-        heads = alike.join(width, "core").select("core", "low", "high", "n", "one.*")
-        few = hot.select(*_CONTEXT, "bytes").join(heads.where(F.col("n") <= bound), _CONTEXT)
+        alike = stored(made.groupBy(*key).agg(F.min(own).alias("one"), F.max(F.struct(*_CONTEXT)).alias("last"), F.count("*").alias("n"))
+                       .select(*key, "one", "n", (F.expr("struct(one.anchor, one.c1, one.c2)") != F.col("last")).alias("many")), "alike")
+        full = _looked_up(made, alike.where("many").select(*key, "n"), key).select(*_CONTEXT, "start", "end")
+        width = stored(alike.groupBy("core").agg(F.count("*").alias("width")).where("width > 1"), "width")
+        heads = alike.join(width, "core").select("core", "low", "high", "width", "one.*")
+        few = hot.select(*_CONTEXT, "bytes").join(heads.where(F.col("width") <= bound), _CONTEXT)
         few = few.select(F.col("core").alias("bucket"), *_CONTEXT, F.col("start").alias("shift"), F.expr("substring(bytes, start + 1, end - start)").alias("bytes"))
         spans = stored(full.union(_sort_buckets(few, length)), "spans")
         found = spans if found is None else found.union(spans)
-        many = heads.where(F.col("n") > bound)
+        many = heads.where(F.col("width") > bound)
         nodes = stored(many.groupBy(*_CONTEXT).agg(F.collect_list(F.struct("core", "low", "high")).alias("_nodes")), "hot")
         if not nodes.limit(1).count():
             return found
@@ -421,16 +428,15 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     firsts = able.groupBy("t1", "t2").agg(F.min("s").alias("s"), F.count("*").alias("n"))
     firsts = stored(firsts.select(*text, (F.col("n") > 1).alias("_copy")), "firsts")
 
-    found = stored(_anchor_rows(able, length, gram).distinct(), "anchors")
+    place = F.xxhash64("t1", "t2", "start").alias("p")
+    found = stored(_anchor_rows(able, length, gram).distinct().select("*", place), "anchors")
     # A context is met at several places, or at one alone; an anchor has several contexts, or one alone.
-    place = F.xxhash64("t1", "t2", "start")
-    met = found.groupBy(*_CONTEXT).agg(F.min(place).alias("a"), F.max(place).alias("b"), F.max("times").alias("times"), F.max("size").alias("size"), F.count("*").alias("n"))
-    met = stored(met.select(*_CONTEXT, "n", "size", F.expr("a <> b OR times > 1").alias("many")), "contexts")
+    met = found.groupBy(*_CONTEXT).agg(F.min("p").alias("p"), F.max("p").alias("last"), F.max("times").alias("times"), F.max("size").alias("size"), F.count("*").alias("n"))
+    met = stored(met.select(*_CONTEXT, "n", "size", "p", F.expr("p <> last OR times > 1").alias("many")), "contexts")
     width = stored(met.groupBy("anchor").agg(F.count("*").alias("width")).where("width > 1"), "width")
 
-    open_ = met.select(*_CONTEXT).join(width, "anchor")
-    one = F.min(F.struct("t1", "t2", "start", "at", "size"))
-    heads = found.join(open_, _CONTEXT).groupBy(*_CONTEXT, "width").agg(one.alias("x")).select(*_CONTEXT, "width", "x.*")
+    # One place stands for a context; that it is part of the key spreads a frequent context's rows.
+    heads = found.join(met.select(*_CONTEXT, "p").join(width, "anchor"), [*_CONTEXT, "p"])
     heads = heads.join(firsts.select(*text), ["t1", "t2"])
     asked = stored(heads.groupBy(*text, (F.col("width") > hot).alias("large")).agg(F.collect_list(F.struct(*_CONTEXT, "start", "at", "size")).alias("_places")), "asked")
 
@@ -446,9 +452,7 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("size").alias("end")))
     known = met.join(known, _CONTEXT, "left").where("many OR _known IS NOT NULL")
     known = stored(known.select(*_CONTEXT, "n", F.coalesce("_known", whole).alias("_known")), "known")
-    bound = max(FREQUENT, (known.agg(F.sum("n")).first()[0] or 0) // MOST_FREQUENT)
-    often, seldom = known.where(F.col("n") > bound).drop("n"), known.where(F.col("n") <= bound).drop("n")
-    marks = found.drop("size").join(seldom, _CONTEXT).union(found.drop("size").join(F.broadcast(often), _CONTEXT))  # at most a million rows
+    marks = _looked_up(found.drop("size", "p"), known, _CONTEXT)
     marks = marks.select("t1", "t2", "start", "times", F.explode("_known").alias("k"))
     marks = marks.select("t1", "t2", F.struct((F.col("k.start") + F.col("start")).alias("start"), (F.col("k.end") + F.col("start") + F.col("times") - 1).alias("end")).alias("x"))
     marks = marks.groupBy("t1", "t2").agg(F.collect_set("x").alias("_spans"))
