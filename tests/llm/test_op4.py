@@ -47,8 +47,9 @@ def corpus(seed, length):
     return [" ".join(w) for w in out]
 
 
-@pytest.mark.parametrize("hot", [1000, 2])
-def test_removes_what_brute_force_removes(spark, hot):
+@pytest.mark.parametrize("hot,often", [(1000, 1000), (2, 1000), (2, 1), (2, 4)])
+def test_removes_what_brute_force_removes(spark, monkeypatch, hot, often):
+    monkeypatch.setattr(S, "OFTEN", often)
     texts = corpus(hot, 12) + [None, "", " \n", "a b", "z " * 500, "z " * 300, "é\x85ü " * 40]
     rows = list(enumerate(texts)) + [(1, texts[0]), (None, texts[0]), (None, None), (0, texts[0]), (5, texts[6])]
     df = spark.createDataFrame([(d, t, 3, 4) for d, t in rows], "doc_id long, text string, place int, _key int").repartition(5)

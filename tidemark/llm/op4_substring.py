@@ -14,7 +14,8 @@ texts are cut into shards that surely hold what a document can match:
    Match lengths of ``length`` or more are the spans to remove.
 3. An anchor in more than ``hot`` documents (a passage or a group of copies) is
    not grouped: its windows are counted one by one, with a smallest id each. At
-   most a million anchors are hot, so these can be broadcast.
+   most a million anchors are hot, so these can be broadcast. So can windows that
+   are met more often than once in a million: tasks look these up in place.
 
 Exact copies of a text with a smaller id are settled by their text's hash.
 """
@@ -32,6 +33,8 @@ from tidemark.llm.words import (as_int64, chunks, covered, flat, gram_hashes, ou
 GRAM = 20
 #: Documents beyond which an anchor is hot (its automaton would hold some 80 words of each), and how many anchors can be hot at most.
 HOT, MOST_HOT = 64, 1_000_000
+#: Meetings beyond which a hot anchor's window is looked up in place.
+OFTEN = 1_000
 
 
 class SuffixAutomaton:
@@ -151,23 +154,57 @@ def _anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return docs.select("_id", "_key", "_text").mapInArrow(rows, "anchor long, _id long, _key long, place int")
 
 
-def _hot_windows(docs: DataFrame, hot, length: int, gram: int) -> DataFrame:
+def _among(values: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where ``values`` are in the sorted ``table``, and which of them are there at all."""
+    if not len(table):
+        return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(table, values), len(table) - 1)
+    return at, table[at] == values
+
+
+def _hot_starts(batch: pa.RecordBatch, hot: np.ndarray, length: int, gram: int):
+    """Starts of the windows whose anchor is hot, their hashes, their rows, and each row's first word."""
+    words, first = _read(batch)
+    grams = gram_hashes(words, gram)
+    starts, at = anchors(grams, first, length, gram)
+    starts = starts[_among(as_int64(grams)[at], hot)[1]]
+    hashes = as_int64(gram_hashes(words, length)[starts]) if len(starts) else np.zeros(0, np.int64)
+    return starts, hashes, owner(first)[starts], first
+
+
+def _hot_windows(docs: DataFrame, hot, length: int, gram: int, without=None) -> DataFrame:
+    """The windows of hot anchors, but for those in ``without`` (sorted hashes)."""
     def rows(batches):
         for batch in chunks(batches, "_text"):
-            words, first = _read(batch)
-            grams = gram_hashes(words, gram)
-            starts, at = anchors(grams, first, length, gram)
-            here = as_int64(grams)[at]
-            pick = np.searchsorted(hot.value, here)
-            starts = starts[hot.value[np.minimum(pick, len(hot.value) - 1)] == here]
-            row = owner(first)[starts]
-            yield pa.RecordBatch.from_arrays([pa.array(as_int64(gram_hashes(words, length)[starts]) if len(starts) else pa.array([], pa.int64())),
-                                              pa.array(_column(batch, "_id")[row]), pa.array(_column(batch, "_key")[row]),
+            starts, hashes, row, first = _hot_starts(batch, hot.value, length, gram)
+            if without is not None:
+                left = ~_among(hashes, without.value[0])[1]
+                starts, hashes, row = starts[left], hashes[left], row[left]
+            yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(_column(batch, "_id")[row]), pa.array(_column(batch, "_key")[row]),
                                               pa.array((starts - first[row]).astype(np.int32))], names=["window", "_id", "_key", "place"])
 
     return docs.select("_id", "_key", "_text").mapInArrow(rows, "window long, _id long, _key long, place int")
 
 
+def _often_spans(docs: DataFrame, hot, often, length: int, gram: int) -> DataFrame:
+    """Merged spans of the windows in ``often`` (sorted hashes, and each one's smallest id) that an earlier document has."""
+    def rows(batches):
+        for batch in chunks(batches, "_text"):
+            starts, hashes, row, first = _hot_starts(batch, hot.value, length, gram)
+            at, known = _among(hashes, often.value[0])
+            known[known] = _column(batch, "_id")[row[known]] > often.value[1][at[known]]
+            a, b = runs(covered(starts[known], length, int(first[-1])))
+            # Texts touch here: a run may go on into the next one.
+            cuts = np.unique(np.concatenate([a, b, first[(np.searchsorted(a, first, side="right") > np.searchsorted(b, first, side="right"))]]))
+            inside = np.searchsorted(a, cuts[:-1], side="right") > np.searchsorted(b, cuts[:-1], side="right")
+            a, b = cuts[:-1][inside], cuts[1:][inside]
+            row = np.searchsorted(first, a, side="right") - 1
+            yield pa.RecordBatch.from_arrays([pa.array(_column(batch, "_key")[row]), pa.array((a - first[row]).astype(np.int32)), pa.array((b - first[row]).astype(np.int32))],
+                                             names=["_key", "start", "end"])
+
+    return docs.select("_id", "_key", "_text").mapInArrow(rows, "_key long, start int, end int")
+
+
 def _context_rows(joined: DataFrame, length: int, gram: int) -> DataFrame:
     """For each listed place its anchor and the words that windows around it can hold, as 32-bit hashes."""
     side = length - gram
@@ -284,10 +321,16 @@ def remove_shared_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     contexts = _context_rows(packed.join(places, "_key", "left"), length, gram)
     spans = _shard_spans(contexts, length)
     if hot_list:
-        windows = _hot_windows(able, docs.sparkSession.sparkContext.broadcast(np.array(sorted(hot_list), np.int64)), length, gram)
-        least = windows.groupBy("window").agg(F.min("_id").alias("a"), F.max("_id").alias("b")).where("a < b")
-        least = stored(least.select("window", "a"), "windows")
-        more = windows.join(least, "window").where("_id > a").select("_key", F.col("place").alias("start"), (F.col("place") + length).alias("end"))
+        hot_list = docs.sparkSession.sparkContext.broadcast(np.array(sorted(hot_list), np.int64))
+        windows = _hot_windows(able, hot_list, length, gram)
+        least = windows.groupBy("window").agg(F.min("_id").alias("a"), F.max("_id").alias("b"), F.count("*").alias("n")).where("a < b")
+        least = stored(least.select("window", "a", "n"), "windows")
+        many = F.col("n") > max(OFTEN, (least.agg(F.sum("n")).first()[0] or 0) // MOST_HOT)
+        often = least.where(many).select("window", "a").orderBy("window").toArrow()  # MOST_HOT at most
+        often = docs.sparkSession.sparkContext.broadcast(tuple(often[c].to_numpy() for c in ("window", "a")))
+        spans = spans.union(_often_spans(able, hot_list, often, length, gram))
+        windows = _hot_windows(able, hot_list, length, gram, often)
+        more = windows.join(least.where(~many).select("window", "a"), "window").where("_id > a").select("_key", F.col("place").alias("start"), (F.col("place") + length).alias("end"))
         spans = spans.union(more)
     spans = spans.distinct().groupBy("_key").agg(F.collect_list(F.struct("start", "end")).alias("_spans"))
     joined = packed.join(spans, "_key", "left").join(firsts, "_key", "left")
