@@ -2,6 +2,7 @@ import os
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import op10_order as O
@@ -48,12 +49,36 @@ def test_empty(spark, tmp_path):
     assert O.materialise(spark.read.parquet(f"{tmp_path}/docs"), f"{tmp_path}/out", 7).count() == 0
 
 
-def test_changed_splits_fail(spark, tmp_path):
+def test_changed_splits_fail(spark, tmp_path, monkeypatch):
     spark.createDataFrame([(1, "a")], "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
     docs = spark.read.parquet(f"{tmp_path}/docs")
-    out = O.materialise(docs, f"{tmp_path}/out", 7)
-    for f in os.listdir(f"{tmp_path}/docs"):
-        if f.endswith(".parquet"):
-            spark.createDataFrame([(1, "a b c"), (2, "d")], "doc_id long, text string").coalesce(1).toPandas().to_parquet(f"{tmp_path}/docs/{f}")
+    count = O._count
+
+    def count_and_change(*args):
+        got = count(*args)
+        for f in os.listdir(f"{tmp_path}/docs"):
+            if f.endswith(".parquet"):
+                spark.createDataFrame([(1, "a b c"), (2, "d")], "doc_id long, text string").coalesce(1).toPandas().to_parquet(f"{tmp_path}/docs/{f}")
+        return got
+
+    monkeypatch.setattr(O, "_count", count_and_change)
     with pytest.raises(Exception):
-        out.collect()
+        O.materialise(docs, f"{tmp_path}/out", 7).collect()
+
+
+def test_writes_once_whatever_is_done_with_the_manifest(spark, tmp_path):
+    spark.createDataFrame([(i, "some words " * i) for i in range(50)], "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    out = O.materialise(spark.read.parquet(f"{tmp_path}/docs"), f"{tmp_path}/out", 7, length=16, shard_rows=8)
+    before = {f: os.stat(f"{tmp_path}/out/{f}").st_mtime_ns for f in os.listdir(f"{tmp_path}/out")}
+    assert out.limit(3).count() == 3 and out.count() == out.select("slot").distinct().count()
+    assert O.read_slots(spark, f"{tmp_path}/out", 0, out.count(), length=16, shard_rows=8).count() == out.count()
+    assert before == {f: os.stat(f"{tmp_path}/out/{f}").st_mtime_ns for f in os.listdir(f"{tmp_path}/out")}
+
+
+def test_counts_by_word_are_those_of_whole_texts(monkeypatch):
+    monkeypatch.setattr(O, "MOST_WORDS", 40)
+    encoder, counts = ChunkEncoder(default_path()), O.WordCounts(default_path())
+    texts = [None, "", " \n", "don't stop, İstanbul! 漢字 x" * 20, "w" * 200_000, *[f"word{i} other-{i % 7} é" * (i % 5) for i in range(300)]]
+    for a in range(0, len(texts), 20):
+        got = counts.of(pa.array(texts[a:a + 20], pa.string()))
+        assert got.tolist() == [len(encoder.raw((t or "").encode())) // 4 for t in texts[a:a + 20]]

@@ -8,30 +8,35 @@
    records one after another. Record i of a shard begins at i times the stride,
    so a reader can start, or go on, at any slot.
 
-The second pass cuts the texts again instead of storing the ids: this halves the
-disk it needs. Its splits must be those that were counted; each task checks that
-they are and fails otherwise. A shard is written under another name and renamed
-when it is whole, so a lost executor leaves no half of one.
+The first pass needs no ids, only how many each word has: words are hashed over
+whole Arrow buffers and looked up, and just new ones are tokenised. The second
+pass cuts the texts instead of reading stored ids, which halves the disk. Its
+splits must be those that were counted, and its counts the same; each task checks
+that they are and fails otherwise. A shard is written under another name and
+renamed when it is whole, so a lost executor leaves no half of one.
 """
 
 from __future__ import annotations
 
 import uuid
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.store import tables
+from tidemark.llm.store import stored, tables
 from tidemark.llm.tokens import ChunkEncoder, chunk_encoder, default_path
-from tidemark.llm.words import chunks, mix, out_schema
+from tidemark.llm.words import chunks, flat, mix, out_schema, word_bounds, word_hashes
 from tidemark.session import scratch_dir
 
 LENGTH, SHARD_ROWS, ROUNDS = 256, 1 << 16, 6
 #: Fills up a record. No id has this value: the vocabulary must be smaller.
 PAD = 0xFFFF
+#: Words whose length a Python worker remembers, and bytes of text counted at once.
+MOST_WORDS, COUNT_BYTES = 2_000_000, 8 << 20
 
 
 def feistel(x: np.ndarray, n: int, key: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -59,13 +64,48 @@ def _records(encoder: ChunkEncoder, text: bytes | None, length: int, end: bytes)
     return [raw[a:a + 2 * length] for a in range(0, len(raw), 2 * length)]
 
 
+class WordCounts:
+    """How many ids each text has, by a sorted table of word hashes; one for all tasks of a Python worker."""
+
+    def __init__(self, path: str):
+        self.encoder = chunk_encoder(path)
+        self._empty()
+
+    def _empty(self) -> None:
+        self.hashes, self.lengths = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def of(self, column: pa.Array) -> np.ndarray:
+        data, bounds = flat(column)
+        starts, ends, first = word_bounds(data, bounds)
+        hashes = word_hashes(data, starts, ends)
+        own, where, code = np.unique(hashes, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hashes, own)
+        known = at < len(self.hashes)
+        known[known] = self.hashes[at[known]] == own[known]
+        size = np.zeros(len(own), np.int64)
+        size[known] = self.lengths[at[known]]
+        raw, new = data.tobytes(), np.flatnonzero(~known)
+        self.encoder.turn()
+        size[new] = [self.encoder.length(raw[a:b]) for a, b in zip(starts[where[new]].tolist(), ends[where[new]].tolist())]
+        if len(self.hashes) + len(new) > MOST_WORDS:
+            self._empty()
+            at = np.zeros_like(at)
+        self.hashes, self.lengths = np.insert(self.hashes, at[new], own[new]), np.insert(self.lengths, at[new], size[new])
+        sums = np.concatenate([[0], np.cumsum(size[code])])
+        return sums[first[1:]] - sums[first[:-1]]
+
+
+@lru_cache(maxsize=2)
+def _word_counts(path: str) -> WordCounts:
+    return WordCounts(path)
+
+
 def _count(picked: DataFrame, path: str, length: int, end: bytes) -> dict[int, tuple[int, int]]:
     def rows(batches):
-        encoder, n, texts = chunk_encoder(path), 0, 0
-        for batch in chunks(batches, "_text"):
-            for text in batch.column(1).cast(pa.large_binary()).to_pylist():
-                n += -(-(len(encoder.raw(text)) + len(end)) // (4 * length))
-                texts += 1
+        counts, n, texts = _word_counts(path), 0, 0
+        for batch in chunks(batches, "_text", COUNT_BYTES):
+            n += int((-(-(counts.of(batch.column(1)) + len(end) // 4) // length)).sum())
+            texts += batch.num_rows
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([texts]), pa.array([n])], names=["split", "texts", "n"])
 
     # One row for each input split.
@@ -74,7 +114,7 @@ def _count(picked: DataFrame, path: str, length: int, end: bytes) -> dict[int, t
 
 def materialise(docs: DataFrame, out_dir: str, key: int, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
                 shard_rows: int = SHARD_ROWS, tokenizer: str | None = None, end_id: int = 1) -> DataFrame:
-    """Write ``docs`` as shards of ``length`` ids a record and return the manifest, which does the writing when it is run.
+    """Write ``docs`` as shards of ``length`` ids a record and return the manifest, written and read back.
 
     Manifest: ``id_col``, ``piece``, ``slot``, ``shard``, ``place`` (record in the
     shard), ``n_tokens``, ``ids_crc32`` (of the unsigned 16-bit little-endian ids
@@ -139,7 +179,7 @@ def materialise(docs: DataFrame, out_dir: str, key: int, id_col: str = "doc_id",
                                              names=[kind.name, "piece", "slot", "shard", "place", "n_tokens", "ids_crc32"])
         _finish(fs, folder, open_, temporary, number)
 
-    return dealt.mapInArrow(write, out_schema("piece int, slot long, shard int, place long, n_tokens int, ids_crc32 long", [kind]))
+    return stored(dealt.mapInArrow(write, out_schema("piece int, slot long, shard int, place long, n_tokens int, ids_crc32 long", [kind])), "manifest")
 
 
 def _file_system(uri: str):

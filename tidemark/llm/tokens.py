@@ -93,9 +93,16 @@ class ChunkEncoder:
         word, signs = found.groups()
         return self._words[word.lower()] + self._signs[signs] if signs else self._words[word.lower()]
 
-    def raw(self, text: bytes | None) -> bytes:
+    def turn(self) -> None:
         for cache in (self._chunks, self._words, self._signs):
             cache.turn()
+
+    def length(self, chunk: bytes) -> int:
+        """How many ids a chunk without white space has, for callers that remember it themselves."""
+        return len(self._chunk(chunk)) // 4
+
+    def raw(self, text: bytes | None) -> bytes:
+        self.turn()
         return b"".join(map(self._chunks.__getitem__, (text or b"").split()))
 
 
