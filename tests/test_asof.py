@@ -91,3 +91,61 @@ def test_plan_shuffles_the_big_side_once(spark):
     # to meet the join: never a second shuffle of the windowed rows.
     assert "SortMergeJoin" in plan
     assert len(by_key_bucket) == 3 and len(exchanges) == 4
+
+
+KINDS = {"view": "user_id string, timestamp timestamp_ntz, event_id string, price double, view_item string",
+         "cart": "user_id string, timestamp timestamp_ntz, event_id string, price double, cart_item string",
+         "buy": "user_id string, timestamp timestamp_ntz, event_id string, price double, order_id string"}
+
+
+def _journeys(spark, rows, **options):
+    from tidemark.operators.asof import customer_journey
+    return customer_journey(*[spark.createDataFrame(rows[k], KINDS[k]) for k in ("view", "cart", "buy")], **options)
+
+
+def test_journey_in_one_pass_against_brute_force(spark):
+    rnd = random.Random(11)
+    users = ["a", "b", "c", None]
+    rows = {k: [(rnd.choice(users), rnd.choice([None, *[ts(rnd.randrange(0, 3000)) for _ in range(12)]]), f"{i:04d}", float(i), f"{k}{i}") for i in range(200)]
+            for k in KINDS}
+    rows["buy"] += rows["buy"][:3]
+
+    def last(events, user, at, tol):
+        able = [e for e in events if user is not None and at is not None and e[0] == user and e[1] is not None and e[1] <= at]
+        best = max(able, key=lambda e: (e[1], e[2]), default=None)
+        return best if best and (tol is None or best[1] >= at - tol) else None
+
+    for tol in (None, dt.timedelta(minutes=40)):
+        want = []
+        for b in rows["buy"]:
+            c = last(rows["cart"], b[0], b[1], tol)
+            v = last(rows["view"], c[0], c[1], tol) if c else None
+            want.append((*b[:4], v and v[4], c and c[4], b[4]))
+        for bucket in ("minute", "hour", "month"):
+            got = _journeys(spark, rows, bucket=bucket, tolerance=tol and "40 MINUTES")
+            assert got.columns == ["user_id", "timestamp", "event_id", "price", "view_item", "cart_item", "order_id"]
+            assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_journey_scans_each_input_once(spark, tmp_path):
+    import contextlib
+    import io
+    import re
+
+    from tidemark.operators.asof import customer_journey
+    for k, kind in KINDS.items():
+        spark.createDataFrame([("u", ts(i), f"{i}", 1.0, "x") for i in range(5)], kind).write.parquet(f"{tmp_path}/{k}")
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            customer_journey(*[spark.read.parquet(f"{tmp_path}/{k}") for k in KINDS]).explain("formatted")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    tree = buf.getvalue().split("\n\n")[0]
+    assert len(re.findall(r"Scan parquet", tree)) == 3
+    assert len(re.findall(r"\bExchange\b", tree)) == 3 and len(re.findall(r"ReusedExchange", tree)) == 1

@@ -36,6 +36,7 @@ _L = "__ao_l"
 _R = "__ao_r"
 _BUCKET = "__ao_bucket"
 _SALT = "__ao_salt"
+_KEY = "__ao_key"
 _SALT_BUCKETS = 4096
 
 
@@ -135,7 +136,71 @@ def customer_journey(views: DataFrame, carts: DataFrame, purchases: DataFrame,
 
     The view attached is the latest one before the *cart*, not the purchase;
     names the three share (event_id, user_id, timestamp, price) keep the
-    purchase's values.
+    purchase's values. Rules of matching are those of ``asof_join``.
+
+    All three kinds go through one exchange by (key, bucket) and one sort: a
+    first running ``last`` gives every cart its view, a second one, over the same
+    order, gives every purchase its cart with that view. Both the purchases and
+    the summary that carries views and carts on to later buckets are read from
+    this one exchange, so each input is scanned once. The keys are one struct,
+    which is never NULL: a join on it puts no filter of its own into one branch.
     """
-    cart_view = asof_join(carts, views, by, on, tolerance=tolerance, tiebreak=tiebreak, bucket=bucket)
-    return asof_join(purchases, cart_view, by, on, tolerance=tolerance, tiebreak=tiebreak, bucket=bucket)
+    keys = _keys(by)
+    own = set(purchases.columns)
+    cart_cols = [c for c in carts.columns if c not in own]
+    view_cols = [c for c in views.columns if c not in own and c not in set(carts.columns)]
+    view, cart, buy = "__ao_view", "__ao_cart", "__ao_buy"
+
+    def payload(df: DataFrame, cols: list[str]) -> Column:
+        return F.struct(*[F.col(f"`{c}`") for c in cols], F.col(f"`{on}`").alias(_TS))
+
+    packed = {view: (views, payload(views, view_cols)), cart: (carts, payload(carts, cart_cols)),
+              buy: (purchases, F.struct(*[F.col(f"`{c}`") for c in purchases.columns]))}
+    types = {name: df.select(value.alias(name)).schema[name].dataType for name, (df, value) in packed.items()}
+
+    def rows(name: str, side: int) -> DataFrame:
+        df, value = packed[name]
+        able = F.col(f"`{on}`").isNotNull()
+        for k in keys:
+            able = able & F.col(f"`{k}`").isNotNull()
+        # Purchases that can never match are spread by a row hash; others of the kind are left out.
+        spread = F.timestamp_micros(F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(_SALT_BUCKETS)) + 1)
+        tb = F.col(f"`{tiebreak}`") if tiebreak else F.lit(None).cast("string")
+        return (df if side == 2 else df.where(able)).select(
+            F.struct(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)]).alias(_KEY), F.col(f"`{on}`").alias(_TS), F.lit(side).alias(_SIDE), tb.alias(_TB),
+            F.when(able, F.date_trunc(bucket, F.col(f"`{on}`"))).otherwise(spread).alias(_BUCKET),
+            *[(value if n == name else F.lit(None).cast(types[n])).alias(n) for n in (view, cart, buy)])
+
+    every = rows(view, 0).unionByName(rows(cart, 1)).unionByName(rows(buy, 2))
+    so_far = (Window.partitionBy(_KEY, _BUCKET).orderBy(_TS, _SIDE, _TB)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    seen = every.withColumn("__ao_v", F.last(view, ignorenulls=True).over(so_far))
+    seen = seen.withColumn("__ao_c", F.when(F.col(_SIDE) == 1, F.struct(F.col(cart).alias("c"), F.col("__ao_v").alias("v"))))
+    within = seen.withColumn("__ao_in", F.last("__ao_c", ignorenulls=True).over(so_far)).where(F.col(_SIDE) == 2)
+
+    def latest(value: str, side: int) -> Column:
+        return F.max_by(F.when(F.col(_SIDE) == side, F.col(value)), F.when(F.col(_SIDE) == side, F.struct(_TS, _TB)))
+
+    # The count leaves both branches with the same columns, so that they share the exchange.
+    summary = seen.groupBy(_KEY, _BUCKET).agg(latest(view, 0).alias("v"), latest("__ao_c", 1).alias("c"), F.count(buy).alias("n"))
+    before = Window.partitionBy(_KEY).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    carried = summary.withColumn("__ao_pv", F.last("v", ignorenulls=True).over(before))
+    carried = carried.withColumn("c", F.when(F.col("c").isNotNull(), F.struct(F.col("c.c"), F.coalesce(F.col("c.v"), F.col("__ao_pv")).alias("v"))))
+    carried = carried.withColumn("__ao_pc", F.last("c", ignorenulls=True).over(before)).where("n > 0").select(_KEY, _BUCKET, "__ao_pv", "__ao_pc")
+
+    here = F.when(F.col("__ao_in").isNotNull(), F.struct(F.col("__ao_in.c"), F.coalesce(F.col("__ao_in.v"), F.col("__ao_pv")).alias("v")))
+    able = F.col(f"{buy}.`{on}`").isNotNull()
+    for k in keys:
+        able = able & F.col(f"{buy}.`{k}`").isNotNull()
+    match = F.when(able, F.coalesce(here, F.col("__ao_pc")))
+    if tolerance:
+        match = F.when(F.col(f"{buy}.`{on}`") - F.expr(f"INTERVAL {tolerance}") <= match["c"][_TS], match)
+    found = within.join(carried, on=[_KEY, _BUCKET], how="left").select(buy, match.alias("m"))
+    seen_view = F.col("m.v")
+    if tolerance:
+        seen_view = F.when(F.col(f"m.c.{_TS}") - F.expr(f"INTERVAL {tolerance}") <= F.col(f"m.v.{_TS}"), seen_view)
+    found = found.select(buy, F.col("m.c").alias(cart), seen_view.alias(view))
+
+    names = views.columns + [c for c in carts.columns if c not in set(views.columns)]
+    names += [c for c in purchases.columns if c not in set(names)]
+    return found.select(*[F.col(f"{buy if c in own else cart if c in set(cart_cols) else view}.`{c}`").alias(c) for c in names])
