@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import merge as M
+from tidemark.plans import entities as E
 from tidemark.plans import q_merge as QM
 from tidemark.plans.registry import register
 from tidemark.session import scratch_dir
@@ -16,12 +17,13 @@ from tidemark.table import VersionedTable
 
 _BUCKETS = 16
 _UPSERT = M.merge_options(when_matched_update_all=True, when_not_matched_insert_all=True)
-_TARGET_SQL = f"SELECT {', '.join(QM.COLS)} FROM {QM.T_SQL} t"
+_ALL_SQL = f"SELECT {', '.join(QM.COLS)} FROM ({E.CLICKSTREAM_SQL}) t"
 
 
-def _loaded(spark, sf, name):
+def _loaded(spark, sf, name, rows=QM.target_clicks):
+    """A table of the events before the merges' cut date, or of all of them with ``rows=E.clickstream``."""
     t = VersionedTable(spark, scratch_dir(spark, name))
-    t.write(QM.target_clicks(spark, sf), bucket_by="event_id", num_buckets=_BUCKETS)
+    t.write(rows(spark, sf), bucket_by="event_id", num_buckets=_BUCKETS)
     return t
 
 
@@ -45,16 +47,16 @@ def q_table_metrics(spark, sf):
         *[F.col("metrics")[c].alias(c) for c in cols])
 
 
-@register("table_time_travel", _TARGET_SQL, "S10 version")
+@register("table_time_travel", _ALL_SQL, "S10 version")
 def q_time_travel(spark, sf):
-    t = _loaded(spark, sf, "table_tt")
+    t = _loaded(spark, sf, "table_tt", E.clickstream)
     t.merge(QM.source_clicks(spark, sf), _UPSERT, predicate="source.event_id = target.event_id")
     return t.read(version=0)
 
 
-@register("table_time_travel_ts", _TARGET_SQL, "S10 timestamp")
+@register("table_time_travel_ts", _ALL_SQL, "S10 timestamp")
 def q_time_travel_ts(spark, sf):
-    t = _loaded(spark, sf, "table_tt_ts")
+    t = _loaded(spark, sf, "table_tt_ts", E.clickstream)
     v0_time = t.log()[0]["timestamp"]
     t.merge(QM.source_clicks(spark, sf), _UPSERT, predicate="source.event_id = target.event_id")
     return t.read(timestamp=v0_time)
@@ -75,9 +77,9 @@ def q_insert_only(spark, sf):
 @register("table_overwrite_schema", f"""
 SELECT event_id, user_id, session_id, event_type, event_timestamp,
        CAST(round(value * 100) AS BIGINT) AS value_cents
-FROM {QM.T_SQL} t""", "K13")
+FROM ({E.CLICKSTREAM_SQL}) t""", "K13")
 def q_overwrite_schema(spark, sf):
-    t = _loaded(spark, sf, "table_schema")
+    t = _loaded(spark, sf, "table_schema", E.clickstream)
     new = t.read().select("event_id", "user_id", "session_id", "event_type", "event_timestamp",
                           F.round(F.col("value") * 100).cast("bigint").alias("value_cents"))
     # Version 1 is written to its own folder, so reading version 0 while
@@ -86,11 +88,11 @@ def q_overwrite_schema(spark, sf):
     return t.read()
 
 
-@register("compact_table", _TARGET_SQL, "M13")
+@register("compact_table", _ALL_SQL, "M13")
 def q_compact(spark, sf):
     path = scratch_dir(spark, "table_compact")
     t = VersionedTable(spark, path)
-    clicks = QM.target_clicks(spark, sf)
+    clicks = E.clickstream(spark, sf)
     # Five appends that hold all rows: every bucket collects one folder per append.
     fifth = F.pmod(F.xxhash64("event_id"), F.lit(5))
     t.write(clicks.where(fifth == 0), bucket_by="event_id", num_buckets=4)
@@ -100,11 +102,11 @@ def q_compact(spark, sf):
     return t.read()
 
 
-@register("table_upsert_idempotent", _TARGET_SQL, "M11 idempotence: the same batch merged twice")
+@register("table_upsert_idempotent", _ALL_SQL, "M11 idempotence: the same batch merged twice")
 def q_idempotent(spark, sf):
     t = VersionedTable(spark, scratch_dir(spark, "table_idem"))
-    empty = spark.createDataFrame([], QM.target_clicks(spark, sf).schema)
+    empty = spark.createDataFrame([], E.clickstream(spark, sf).schema)
     t.write(empty, bucket_by="event_id", num_buckets=_BUCKETS)
     for _ in range(2):
-        t.merge(QM.target_clicks(spark, sf), _UPSERT, predicate="source.event_id = target.event_id")
+        t.merge(E.clickstream(spark, sf), _UPSERT, predicate="source.event_id = target.event_id")
     return t.read()
