@@ -85,3 +85,38 @@ def test_time_functions_ignore_session_zone(spark):
             assert row["e"] == dt.datetime(1970, 1, 1)
     finally:
         spark.conf.set(key, old)
+
+
+def test_exact_numbers_keep_their_digits(spark):
+    from decimal import Decimal
+    a = spark.sql("SELECT 12345678901234567.89BD AS x, 9007199254740993L AS n")
+    b = spark.sql("SELECT 1234567.891BD AS x, 0.5BD AS n")
+    got = union_relaxed(a, b)
+    assert {r.x for r in got.collect()} == {Decimal("12345678901234567.890"), Decimal("1234567.891")}
+    assert {r.n for r in got.collect()} == {Decimal("9007199254740993.0"), Decimal("0.5")}
+    assert supertype(T.DecimalType(38, 0), T.DecimalType(38, 10)) == T.DecimalType(38, 0)
+    assert supertype(T.DecimalType(20, 2), T.IntegerType()) == T.DecimalType(20, 2)
+    assert supertype(T.DecimalType(20, 2), T.DoubleType()) == T.DoubleType()
+
+
+def test_drain_returns_what_an_earlier_one_failed_to_return(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from tidemark.sources.kafka import drain
+
+    for k in range(4):
+        spark.range(10 * k, 10 * k + 10).coalesce(1).write.mode("append").parquet(f"{tmp_path}/topic")
+    bad = F.udf(lambda x: 1 / 0 if x == 25 else x, "bigint")
+
+    def rows(fail):
+        read = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).option("latestFirst", False).parquet(f"{tmp_path}/topic")
+        return read.select((bad("id") if fail else F.col("id")).alias("id"))
+
+    paths = (f"{tmp_path}/sink", f"{tmp_path}/checkpoint")
+    import pytest
+    with pytest.raises(Exception):
+        drain(rows(True), *paths)
+    assert sorted(r.id for r in drain(rows(False), *paths).collect()) == list(range(40))
+    empty = drain(rows(False), *paths)
+    assert empty.columns == ["id"] and empty.count() == 0
+    spark.range(100, 105).coalesce(1).write.mode("append").parquet(f"{tmp_path}/topic")
+    assert sorted(r.id for r in drain(rows(False), *paths).collect()) == list(range(100, 105))

@@ -3,7 +3,10 @@
 Each column is cast to a common supertype before ``unionByName``, because under
 ANSI Spark would otherwise widen e.g. int + string to bigint and fail at run
 time. Supertypes: NULL (void) < any type; integers widen to the wider integer;
-integer + fractional -> double; timestamp_ntz + timestamp -> timestamp; anything
+decimals, and integers with decimals, to a decimal that holds every digit of both
+(of more than 38 digits, as many places as are left beside the whole digits);
+float or double with any other number -> double, whose 53 bits do not hold every
+bigint or decimal; timestamp_ntz + timestamp -> timestamp; anything
 else that differs -> string. Duplicates are kept.
 """
 
@@ -18,6 +21,17 @@ from pyspark.sql import types as T
 _INT_RANK = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 3, T.LongType: 4}
 
 
+#: Digits of the integer types.
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def _decimal(t: T.DataType) -> tuple[int, int] | None:
+    """Whole digits and decimal places of an exact number."""
+    if isinstance(t, T.DecimalType):
+        return t.precision - t.scale, t.scale
+    return (_DIGITS[type(t)], 0) if type(t) in _DIGITS else None
+
+
 def supertype(a: T.DataType, b: T.DataType) -> T.DataType:
     if a == b:
         return a
@@ -28,6 +42,10 @@ def supertype(a: T.DataType, b: T.DataType) -> T.DataType:
     ra, rb = _INT_RANK.get(type(a)), _INT_RANK.get(type(b))
     if ra and rb:
         return a if ra >= rb else b
+    da, db = _decimal(a), _decimal(b)
+    if da and db:
+        whole, scale = max(da[0], db[0]), max(da[1], db[1])
+        return T.DecimalType(min(38, whole + scale), min(scale, max(0, 38 - whole)))
     numeric = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
     if isinstance(a, numeric) and isinstance(b, numeric):
         return T.DoubleType()

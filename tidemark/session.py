@@ -92,6 +92,13 @@ def list_files(spark: SparkSession, folder: str) -> list[str]:
     return sorted(st.getPath().toString() for st in fs.listStatus(p) if st.isFile())
 
 
+def list_folders(spark: SparkSession, folder: str) -> list[str]:
+    p, fs = _fs(spark, folder)
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().toString() for st in fs.listStatus(p) if st.isDirectory())
+
+
 def read_small_file(spark: SparkSession, path: str) -> str:
     """A small metadata file's text (for the table log; data never goes this way)."""
     jvm = spark.sparkContext._jvm

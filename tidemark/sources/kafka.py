@@ -8,13 +8,11 @@ the given schema; an empty topic yields an empty frame *with* that schema.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.operators.fanout import decode, encode
-from tidemark.session import path_exists
+from tidemark.session import list_files, list_folders, write_new_file
 
 
 def kafka_stream(spark: SparkSession, servers: str, topics: str | list[str],
@@ -42,12 +40,22 @@ def kafka_batch(spark: SparkSession, servers: str, topics: str | list[str],
 
 def drain_topic(spark: SparkSession, servers: str, topic: str, schema: T.StructType, sink_path: str,
                 checkpoint: str, options: dict | None = None) -> DataFrame:
-    """Consume what is new since the last drain (the checkpoint is the consumer
-    group) into a folder of this drain under ``sink_path`` as parquet, and return
-    what this drain read."""
-    here = f"{sink_path.rstrip('/')}/drain={uuid.uuid4().hex}"
+    """What came to ``topic`` since the last drain that ended well; see ``drain``."""
     env = kafka_stream(spark, servers, topic, options=options)
-    rows = decode(env, schema, keep=("key", "timestamp"))
+    return drain(decode(env, schema, keep=("key", "timestamp")), sink_path, checkpoint)
+
+
+def drain(rows: DataFrame, sink_path: str, checkpoint: str) -> DataFrame:
+    """Run the stream ``rows`` to its present end and return what no drain has returned yet.
+
+    The checkpoint is the consumer group: ``sink_path`` belongs to it alone. Each
+    micro-batch lands in a Parquet folder named by its id in the checkpoint, so
+    one that is run again overwrites itself. A marker file says up to which batch
+    rows were returned, and is written only after the stream has ended well. A
+    drain that fails in a later batch therefore loses nothing: the next one
+    returns the earlier batches too. Nothing new gives an empty frame with the schema.
+    """
+    spark, here = rows.sparkSession, sink_path.rstrip("/")
 
     def land(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{here}/batch={batch_id}")
@@ -55,8 +63,12 @@ def drain_topic(spark: SparkSession, servers: str, topic: str, schema: T.StructT
     # foreachBatch rather than a file sink, whose log would tie the folder to the checkpoint.
     q = rows.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-    empty = spark.createDataFrame([], rows.schema)
-    return spark.read.schema(rows.schema).parquet(here).select(*rows.columns) if path_exists(spark, here) else empty
+    done = max([-1, *(int(name.rsplit("=", 1)[1]) for name in list_files(spark, f"{here}/_returned"))])
+    new = sorted(n for n in (int(f.rsplit("=", 1)[1]) for f in list_folders(spark, here) if "/batch=" in f) if n > done)
+    if not new:
+        return spark.createDataFrame([], rows.schema)
+    write_new_file(spark, f"{here}/_returned/upto={new[-1]}", "")
+    return spark.read.schema(rows.schema).parquet(*[f"{here}/batch={n}" for n in new]).select(*rows.columns)
 
 
 def write_kafka_stream(rows: DataFrame, servers: str, topic: str, checkpoint: str, key: str | None = None,
