@@ -133,3 +133,37 @@ def test_dedupe_latest_keeps_every_null_key_row(spark):
     df = spark.createDataFrame([(None, 1), (None, 1), (1, 1), (1, 3)], "k int, o int")
     out = M.dedupe_latest(df, ["k"], ["o"])
     assert rows(out) == sorted([(None, 1), (None, 1), (1, 3)], key=repr)
+
+
+def test_large_source_meets_the_target_in_one_join(spark, tmp_path):
+    import contextlib
+    import io
+    import random
+
+    from tidemark.operators import merge as M
+    r = random.Random(2)
+    t = [(r.choice([None, *range(40)]), f"t{i}", i) for i in range(60)]
+    s = [(k, f"s{k}", -k) for k in range(20, 70)] + [(None, "null", 0), (None, "null", 1)]
+    spark.createDataFrame(t, "k int, v string, n int").write.parquet(f"{tmp_path}/t")
+    spark.createDataFrame(s, "k int, v string, n int").write.parquet(f"{tmp_path}/s")
+    target, source = spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/s")
+    options = M.merge_options(when_matched_update_all=True, when_not_matched_insert_all=True)
+    by_key = {x[0]: x for x in s if x[0] is not None}
+    want = [by_key.get(x[0], x) for x in t] + [x for x in s if x[0] is None or x[0] not in {y[0] for y in t}]
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        small = M.merge(target, source, options, on=["k"])
+        assert sorted(map(tuple, small.collect()), key=repr) == sorted(want, key=repr)
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        large = M.merge(target, source, options, on=["k"])
+        assert sorted(map(tuple, large.collect()), key=repr) == sorted(want, key=repr)
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            large.explain("formatted")
+        tree = buf.getvalue().split("\n\n")[0]
+        assert tree.count("Scan parquet") == 2 and tree.count("Exchange") == 2 and tree.count("SortMergeJoin") == 1
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -282,6 +282,13 @@ def duplicate_matches(target: DataFrame, source: DataFrame, keys: list[tuple[str
     return dups.alias("__d").join(target.alias("__t"), cond, "left_semi")
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's estimate of ``df`` is within the session's broadcast threshold."""
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= conf.autoBroadcastJoinThreshold()
+
+
 def merge_plan(
     target: DataFrame,
     source: DataFrame,
@@ -341,6 +348,7 @@ def merge_plan(
     cond = F.expr(predicate)
 
     has_matched = any(c.method in _MATCHED for c in clauses)
+    has_inserts = any(c.method in _NOT_MATCHED for c in clauses)
     only_inserts = all(c.method in _NOT_MATCHED for c in clauses)
 
     if keys:
@@ -363,7 +371,10 @@ def merge_plan(
         return s_w.join(t_w, cond, "left_anti")
 
     inserts = None
-    if any(c.method in _NOT_MATCHED for c in clauses):
+    # A source too large to broadcast meets the target in one full join; a small
+    # one leaves the target where it is, whose keys are then read once more.
+    once = has_inserts and not only_inserts and bool(keys) and whole and not fits_broadcast(source)
+    if has_inserts and not once:
         inserts = unmatched_source().select(F.lit(None).cast(t_struct_type).alias(T), F.col(S),
                                             F.lit(None).cast("boolean").alias(_T_FLAG), F.col(_S_FLAG))
     if only_inserts:
@@ -371,7 +382,7 @@ def merge_plan(
         joined = t_w.select(F.col(T), F.lit(None).cast(s_struct_type).alias(S), F.col(_T_FLAG),
                             F.lit(None).cast("boolean").alias(_S_FLAG))
     else:
-        joined = t_w.join(s_w, cond, "left").select(T, S, _T_FLAG, _S_FLAG)
+        joined = t_w.join(s_w, cond, "full_outer" if once else "left").select(T, S, _T_FLAG, _S_FLAG)
     if inserts is not None:
         joined = joined.unionByName(inserts)
 
