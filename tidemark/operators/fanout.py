@@ -8,6 +8,8 @@ Kafka sink routes rows by the ``topic`` column.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,24 +62,33 @@ def _times_as_text(kind: T.DataType) -> T.DataType:
     return kind
 
 
-def _parsed(value: Column, kind: T.DataType) -> Column:
+def _parsed(value: Column, kind: T.DataType, strict: bool = True) -> Column:
     if isinstance(kind, T.TimestampNTZType):
-        return parse_utc(value)
+        return parse_utc(value, strict)
     if isinstance(kind, T.TimestampType):
-        return utc_instant(parse_utc(value))
+        return utc_instant(parse_utc(value, strict))
     if isinstance(kind, T.StructType) and _times_as_text(kind) != kind:
-        return F.when(value.isNotNull(), F.struct(*[_parsed(value[f.name], f.dataType).alias(f.name) for f in kind.fields]))
+        return F.when(value.isNotNull(), F.struct(*[_parsed(value[f.name], f.dataType, strict).alias(f.name) for f in kind.fields]))
     return value
 
 
+def _no_time(value: Column, kind: T.DataType) -> Column:
+    """Whether a text that should be a time is none."""
+    if isinstance(kind, _TIMES):
+        return value.isNotNull() & parse_utc(value, False).isNull()
+    if isinstance(kind, T.StructType):
+        return reduce(lambda a, b: a | b, [_no_time(value[f.name], f.dataType) for f in kind.fields], F.lit(False))
+    return F.lit(False)
+
+
 def decode(envelope: DataFrame, schema: T.StructType | str, keep: tuple[str, ...] = (), on_malformed: str = "fail") -> DataFrame:
     """Kafka envelope rows to typed columns: ``from_json(value, schema)``.
 
     Times are read as text and parsed by ``parse_utc``, so every ISO-8601 style
     (``Z``, an offset, none, with or without a fraction) keeps its instant. JSON
-    that does not parse fails the query; with ``on_malformed="keep"`` its text
-    is in an extra column ``malformed`` (NULL elsewhere), for the caller to
-    route. ``keep`` carries envelope columns such as ``key`` or ``timestamp``.
+    that does not parse, or a time that is none, fails the query; with
+    ``on_malformed="keep"`` the message's text is in an extra column ``malformed``
+    (NULL elsewhere), for the caller to route. ``keep`` carries envelope columns such as ``key`` or ``timestamp``.
     """
     if on_malformed not in ("fail", "keep"):
         raise ValueError(f"on_malformed must be fail or keep, not {on_malformed!r}")
@@ -86,9 +97,11 @@ def decode(envelope: DataFrame, schema: T.StructType | str, keep: tuple[str, ...
     if on_malformed == "keep":
         read = T.StructType([*read.fields, T.StructField("malformed", T.StringType())])
     mode = {"mode": "FAILFAST"} if on_malformed == "fail" else {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"}
-    rows = envelope.select(*keep, F.from_json(text, read, {**_JSON_OPTS, **mode}).alias("__v"))
-    out = [_parsed(F.col(f"__v.`{f.name}`"), f.dataType).alias(f.name) for f in schema.fields]
-    return rows.select(*keep, *out, *[F.col("__v.malformed")] * (on_malformed == "keep"))
+    rows = envelope.select(*keep, F.from_json(text, read, {**_JSON_OPTS, **mode}).alias("__v"), text.alias("__text"))
+    out = [_parsed(F.col(f"__v.`{f.name}`"), f.dataType, on_malformed == "fail").alias(f.name) for f in schema.fields]
+    if on_malformed == "keep":
+        out.append(F.when(F.col("__v.malformed").isNotNull() | _no_time(F.col("__v"), schema), F.col("__text")).alias("malformed"))
+    return rows.select(*keep, *out)
 
 
 def fan_out(bundles: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.timestamps import to_utc_ntz, utc_instant
+from tidemark.operators import fanout as FO
 from tidemark.plans import entities as E
 from tidemark.plans import q_asof as QA
 from tidemark.plans.registry import register
@@ -51,6 +52,40 @@ def q_stream_upsert(spark, sf):
     return table.read().drop("seq")
 
 
+def _envelope_upsert(spark, sf):
+    """All events as JSON messages, purchases sent again with a corrected value, and messages that cannot be read among them."""
+    clicks = E.clickstream(spark, sf).withColumn("seq", F.lit(0))
+    sent = clicks.unionByName(clicks.where(F.col("event_type") == "purchase").withColumn("value", F.col("value") * 10).withColumn("seq", F.lit(1)))
+    n = F.col("event_id").cast("bigint")
+    messages = FO.encode(sent, key="user_id").select("value")
+    messages = messages.union(clicks.where(n % 10 == 0).select(F.concat(F.lit("not json "), "event_id")))
+    messages = messages.union(clicks.where(n % 25 == 0).select(F.concat(F.lit('{"event_id":"'), "event_id", F.lit('","event_timestamp":"yesterday"}'))))
+    messages = messages.union(clicks.where(n % 30 == 0).select(F.concat(F.lit('{"user_id":"'), "event_id", F.lit('"}'))))
+    root = scratch_dir(spark, "envelope_upsert")
+    messages.repartition(6, F.xxhash64("value")).write.parquet(f"{root}/topic")
+    table = VersionedTable(spark, f"{root}/table")
+    table.write(spark.createDataFrame([], clicks.schema), bucket_by="event_id", num_buckets=16)
+    stream = SRC.chunk_stream(spark, f"{root}/topic", messages.schema, max_files=3)
+    _run_to_end(UP.start_envelope_upsert(stream, clicks.schema, table, "event_id", f"{root}/ckpt", f"{root}/dead", order_by="seq"))
+    return table.read().drop("seq"), spark.read.schema("value string").parquet(f"{root}/dead").select("value")
+
+
+@register("stream_envelope_upsert", f"""
+SELECT event_id, user_id, session_id, event_type, event_timestamp,
+       CASE WHEN event_type = 'purchase' THEN value * 10 ELSE value END AS value
+FROM ({E.CLICKSTREAM_SQL}) c""", "S20 M11 topic messages, bad ones among them, upserted")
+def q_envelope_upsert(spark, sf):
+    return _envelope_upsert(spark, sf)[0]
+
+
+@register("stream_dead_letters", """
+SELECT 'not json ' || event_id AS value FROM events WHERE event_id % 10 = 0
+UNION ALL SELECT '{"event_id":"' || event_id || '","event_timestamp":"yesterday"}' FROM events WHERE event_id % 25 = 0
+UNION ALL SELECT '{"user_id":"' || event_id || '"}' FROM events WHERE event_id % 30 = 0""", "S20 messages that cannot be read")
+def q_dead_letters(spark, sf):
+    return _envelope_upsert(spark, sf)[1]
+
+
 @register("stream_sessions_daily", f"""
 WITH c AS ({E.CLICKSTREAM_SQL}),
 d AS (SELECT date_trunc('day', event_timestamp) AS window_start, count(DISTINCT session_id) AS active_sessions

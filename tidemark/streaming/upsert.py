@@ -12,8 +12,10 @@ than multiply rows with every replay.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.operators import merge as M
+from tidemark.operators.fanout import decode
 from tidemark.table import VersionedTable
 
 
@@ -40,6 +42,27 @@ def _upsert(table: VersionedTable, batch: DataFrame, key: str, order_by: str | N
     return table.merge(batch, clauses, predicate=pred, on_duplicate="error")
 
 
+def start_envelope_upsert(envelopes: DataFrame, schema, table: VersionedTable, key: str, checkpoint: str, dead_letters: str,
+                          order_by: str | None = None, partitions: int | None = None):
+    """Upsert a topic's JSON messages; those that cannot be read go to ``dead_letters`` and end nothing.
+
+    Per micro-batch the readable rows are merged, and the text of the others
+    (no JSON of ``schema``, a time that is none, no ``key``) is written to a
+    Parquet folder named by the batch's id. A batch that is run again
+    overwrites its folder and merges the same rows, so both outputs stay the same.
+    """
+    def each(batch: DataFrame, batch_id: int) -> None:
+        text = F.col("value").cast("string").alias("__message")  # a message's own fields may be called value
+        rows = decode(batch.select("value", text), schema, keep=("__message",), on_malformed="keep")
+        bad = F.col("malformed").isNotNull() | F.col(key).isNull()
+        rows.where(bad).select(F.col("__message").alias("value")).write.mode("overwrite").parquet(f"{dead_letters}/batch={batch_id}")
+        upsert_batch(table, rows.where(~bad).drop("__message", "malformed"), key, order_by)
+
+    w = envelopes.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    from tidemark.streaming.sources import start_with_partitions
+    return start_with_partitions(w, envelopes.sparkSession, partitions)
+
+
 def start_upsert_stream(stream: DataFrame, table: VersionedTable, key: str, checkpoint: str,
                         order_by: str | None = None, available_now: bool = True,
                         processing_time: str | None = None, partitions: int | None = None):
