@@ -172,20 +172,35 @@ def _hot_starts(batch: pa.RecordBatch, hot: np.ndarray, length: int, gram: int):
     return starts, hashes, owner(first)[starts], first
 
 
-def _hot_windows(docs: DataFrame, hot, length: int, gram: int, without=None) -> DataFrame:
+def _hot_windows(docs: DataFrame, hot, length: int, gram: int, without) -> DataFrame:
     """The windows of hot anchors, but for those in ``without`` (sorted hashes)."""
     def rows(batches):
         for batch in chunks(batches, "_text"):
             starts, hashes, row, first = _hot_starts(batch, hot.value, length, gram)
-            if without is not None:
-                left = ~_among(hashes, without.value[0])[1]
-                starts, hashes, row = starts[left], hashes[left], row[left]
+            left = ~_among(hashes, without.value[0])[1]
+            starts, hashes, row = starts[left], hashes[left], row[left]
             yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(_column(batch, "_id")[row]), pa.array(_column(batch, "_key")[row]),
                                               pa.array((starts - first[row]).astype(np.int32))], names=["window", "_id", "_key", "place"])
 
     return docs.select("_id", "_key", "_text").mapInArrow(rows, "window long, _id long, _key long, place int")
 
 
+def _hot_counts(docs: DataFrame, hot, length: int, gram: int) -> DataFrame:
+    """Smallest and largest id and number of the hot anchors' windows, summed up in each chunk."""
+    def rows(batches):
+        for batch in chunks(batches, "_text"):
+            _, hashes, row, _ = _hot_starts(batch, hot.value, length, gram)
+            ids = _column(batch, "_id")[row]
+            order = np.lexsort((ids, hashes))
+            hashes, ids = hashes[order], ids[order]
+            begin = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]][:len(hashes)])
+            end = np.append(begin[1:], len(hashes))
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[begin]), pa.array(ids[begin]), pa.array(ids[end[:len(begin)] - 1]), pa.array((end[:len(begin)] - begin).astype(np.int64))],
+                                             names=["window", "a", "b", "n"])
+
+    return docs.select("_id", "_text").mapInArrow(rows, "window long, a long, b long, n long")
+
+
 def _often_spans(docs: DataFrame, hot, often, length: int, gram: int) -> DataFrame:
     """Merged spans of the windows in ``often`` (sorted hashes, and each one's smallest id) that an earlier document has."""
     def rows(batches):
@@ -322,8 +337,8 @@ def remove_shared_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spans = _shard_spans(contexts, length)
     if hot_list:
         hot_list = docs.sparkSession.sparkContext.broadcast(np.array(sorted(hot_list), np.int64))
-        windows = _hot_windows(able, hot_list, length, gram)
-        least = windows.groupBy("window").agg(F.min("_id").alias("a"), F.max("_id").alias("b"), F.count("*").alias("n")).where("a < b")
+        least = _hot_counts(able, hot_list, length, gram).groupBy("window")
+        least = least.agg(F.min("a").alias("a"), F.max("b").alias("b"), F.sum("n").alias("n")).where("a < b")
         least = stored(least.select("window", "a", "n"), "windows")
         many = F.col("n") > max(OFTEN, (least.agg(F.sum("n")).first()[0] or 0) // MOST_HOT)
         often = least.where(many).select("window", "a").orderBy("window").toArrow()  # MOST_HOT at most
