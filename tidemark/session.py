@@ -108,3 +108,16 @@ def read_small_file(spark: SparkSession, path: str) -> str:
         return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder with all in it; nothing if it is not there."""
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def move_file(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a file within its file system; fails rather than replace another."""
+    p, fs = _fs(spark, path)
+    if not fs.rename(p, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"{path} could not be moved to {to}")
