@@ -101,3 +101,64 @@ def test_envelope_upsert_again_changes_nothing(spark, tmp_table):
         rows = sorted(map(tuple, table.read().collect()))
         seen.append((rows, sorted(r.value for r in spark.read.schema("value string").parquet(f"{root}/dead").select("value").collect())))
     assert seen[0] == seen[1] and len(seen[0][0]) == 20 and seen[0][1] == sorted(bad)
+
+
+def test_late_split_is_the_same_when_a_batch_runs_again(spark, tmp_table):
+    from tidemark.streaming import late as LA
+
+    root = tmp_table("late")
+    kind = "id int, at timestamp_ntz"
+    schema = spark.createDataFrame([], kind).schema
+    batches = [[(1, 10), (2, None), (3, 2)], [(4, 1), (5, 30)], [(6, 19), (7, 20), (8, None), (9, 21)]]
+    for i, rows in enumerate(batches):
+        df = spark.createDataFrame([(k, T0 + dt.timedelta(days=d) if d is not None else None) for k, d in rows], kind)
+        df.coalesce(1).write.parquet(f"{root}/in/chunk={i}")
+        LA.start_late_split(SRC.chunk_stream(spark, f"{root}/in", schema), "at", "10 days", f"{root}/out", f"{root}/ckpt").awaitTermination()
+    want = {4: False, 6: True}  # marks: none, day 0, day 20
+    read = lambda: {r.id: r.late for r in LA.split_rows(spark, f"{root}/out", schema).collect()}
+    first = read()
+    assert first == {i: want.get(i, False) for i in range(1, 10)}
+    # A new checkpoint sends every batch again under the same ids.
+    LA.start_late_split(SRC.chunk_stream(spark, f"{root}/in", schema), "at", "10 days", f"{root}/out", f"{root}/ckpt2").awaitTermination()
+    assert read() == first
+
+
+def test_dedup_drops_events_sent_again_and_its_state_empties(spark, tmp_table):
+    v, c, b = _events(spark)
+    ts_us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("timestamp"))
+    tagged = J.tag_views(v, ts_us).unionByName(J.tag_carts(c, ts_us)).unionByName(J.tag_purchases(b, ts_us))
+    # Without an id, equal rows are one event; rows that differ are not.
+    nameless = tagged.where("event_id = 'b1'").withColumn("event_id", F.lit(None).cast("string"))
+    tagged = tagged.union(nameless).union(nameless.withColumn("order_id", F.lit("o9")))
+    root = tmp_table("dedup")
+    for i in range(2):
+        tagged.coalesce(1).write.parquet(f"{root}/in/chunk={i}")
+    flush = spark.createDataFrame([(J.FLUSH_USER, J.VIEW, 7_258_118_400_000_000)], "user_id string, side int, ts_us bigint")
+    J._tag(flush, J.VIEW, F.col("ts_us")).write.parquet(f"{root}/in/chunk=9")
+    stream = SRC.chunk_stream(spark, f"{root}/in", tagged.schema)
+    rows = J.journey_stream(stream.withColumn("event_time", F.timestamp_micros("ts_us")), delay="30 days", dedup=True)
+    q = (rows.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/ckpt")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = J.journey_output(spark.read.schema(rows.schema).parquet(f"{root}/out"))
+    want = [("None", "o1", "p1"), ("None", "o9", "p1"), ("b1", "o1", "p1"), ("b2", "o2", "p2"), ("b3", "o3", None)]
+    assert sorted((str(r.event_id), r.order_id, r.cart_product_id) for r in got.collect()) == want
+    seen = [o.numRowsTotal for o in q.lastProgress.stateOperators if "dedup" in o.operatorName.lower()]
+    assert seen == [1]  # only the flush row's own id
+
+
+def test_handoff_goes_on_after_both_queries_were_stopped(spark, tmp_table):
+    root = tmp_table("handoff")
+    kind = "event_id string, user_id string, timestamp timestamp_ntz, n double"
+    schema = spark.createDataFrame([], kind).schema
+    gold = VersionedTable(spark, f"{root}/gold")
+    gold.write(spark.createDataFrame([], schema), bucket_by="event_id", num_buckets=2)
+    for run in range(3):
+        rows = [(str(i), "u", T0 + dt.timedelta(hours=run), float(run)) for i in range(run, run + 3)]
+        spark.createDataFrame(rows, kind).coalesce(1).write.parquet(f"{root}/in/chunk={run}")
+        UP.start_publish(SRC.chunk_stream(spark, f"{root}/in", schema), f"{root}/topic", "user_id", f"{root}/one").awaitTermination()
+        if run != 1:  # the second query misses a run
+            UP.start_envelope_upsert(UP.published(spark, f"{root}/topic"), schema, gold, "event_id", f"{root}/two", f"{root}/dead",
+                                     order_by="timestamp").awaitTermination()
+    assert sorted((r.event_id, r.n) for r in gold.read().collect()) == [("0", 0.0), ("1", 1.0), ("2", 2.0), ("3", 2.0), ("4", 2.0)]
+    assert spark.read.parquet(f"{root}/topic").count() == 9

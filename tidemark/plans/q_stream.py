@@ -16,6 +16,7 @@ from tidemark.plans import q_asof as QA
 from tidemark.plans.registry import register
 from tidemark.session import scratch_dir
 from tidemark.streaming import journey as J
+from tidemark.streaming import late as LA
 from tidemark.streaming import sessions as SS
 from tidemark.streaming import sources as SRC
 from tidemark.streaming import upsert as UP
@@ -110,20 +111,28 @@ def q_stream_sessions(spark, sf):
     return spark.read.schema(out.schema).parquet(f"{root}/out")
 
 
-def _journey_stream(spark, sf, mode, to_table: bool = False, tolerance_us: int | None = None):
+def _tagged(spark, sf):
     ts_us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("timestamp"))
-    tagged = (J.tag_views(E.product_views(spark, sf), ts_us)
-              .unionByName(J.tag_carts(E.carts(spark, sf), ts_us))
-              .unionByName(J.tag_purchases(E.purchases(spark, sf), ts_us)))
+    return (J.tag_views(E.product_views(spark, sf), ts_us)
+            .unionByName(J.tag_carts(E.carts(spark, sf), ts_us))
+            .unionByName(J.tag_purchases(E.purchases(spark, sf), ts_us)))
+
+
+def _flush(spark, root, last):
+    """End of the bounded replay: one row far in the future moves the watermark
+    past every real row (its own user is filtered from the output)."""
+    flush = spark.createDataFrame([(J.FLUSH_USER, J.VIEW, last + 366 * 86_400_000_000)], "user_id string, side int, ts_us bigint")
+    J._tag(flush, J.VIEW, F.col("ts_us")).write.parquet(f"{root}/in/chunk=99999")
+
+
+def _journey_stream(spark, sf, mode, to_table: bool = False, tolerance_us: int | None = None):
+    tagged = _tagged(spark, sf)
     week = F.date_trunc("week", F.timestamp_micros(F.col("ts_us")))
     weeks = sorted((r[0] for r in tagged.select(week.alias("w")).distinct().collect()), key=lambda w: (w is not None, w))
     last = tagged.agg(F.max("ts_us")).first()[0] or 0
     root = scratch_dir(spark, f"journey_{mode}")
     SRC.stage_chunks(tagged, f"{root}/in", week, weeks, key="user_id" if mode == "on_arrival" else None)
-    # End of the bounded replay: one row far in the future moves the watermark
-    # past every real row (its own user is filtered from the output).
-    flush = spark.createDataFrame([(J.FLUSH_USER, J.VIEW, last + 366 * 86_400_000_000)], "user_id string, side int, ts_us bigint")
-    J._tag(flush, J.VIEW, F.col("ts_us")).write.parquet(f"{root}/in/chunk=99999")
+    _flush(spark, root, last)
     # Chunks are time-ordered; a micro-batch may take several files, and the
     # 8-day watermark delay covers a week's chunk.
     stream = SRC.chunk_stream(spark, f"{root}/in", tagged.schema, max_files=8)
@@ -164,3 +173,69 @@ def q_journey_grace(spark, sf):
 @register("customer_journey_gold", QA.JOURNEY_SQL, "ST7 M11 journey stream merged into the gold table per micro-batch")
 def q_journey_gold(spark, sf):
     return _journey_stream(spark, sf, "on_watermark", to_table=True)
+
+
+@register("journey_handoff", QA.JOURNEY_SQL, "ST7 ST2 journey stream -> published envelopes -> second stream -> upsert, both stopped and restarted")
+def q_journey_handoff(spark, sf):
+    tagged = _tagged(spark, sf)
+    week = F.date_trunc("week", F.timestamp_micros(F.col("ts_us")))
+    weeks = sorted((r[0] for r in tagged.select(week.alias("w")).distinct().collect()), key=lambda w: (w is not None, w))
+    last = tagged.agg(F.max("ts_us")).first()[0] or 0
+    root = scratch_dir(spark, "journey_handoff")
+    half = len(weeks) // 2
+    gold = None
+    # Each half is a run of both queries, which go on from their checkpoints.
+    for first, part in ((0, weeks[:half]), (half, weeks[half:])):
+        SRC.stage_chunks(tagged, f"{root}/in", week, part, first=first)
+        if first == half:
+            _flush(spark, root, last)
+        stream = SRC.chunk_stream(spark, f"{root}/in", tagged.schema, max_files=8)
+        rows = J.journey_output(J.journey_stream(stream.withColumn("event_time", F.timestamp_micros("ts_us"))))
+        _run_to_end(UP.start_publish(rows, f"{root}/topic", "user_id", f"{root}/ckpt_publish", partitions=spark.sparkContext.defaultParallelism))
+        if gold is None:
+            gold = VersionedTable(spark, f"{root}/gold")
+            gold.write(spark.createDataFrame([], rows.schema), bucket_by="event_id", num_buckets=16)
+        _run_to_end(UP.start_envelope_upsert(UP.published(spark, f"{root}/topic"), rows.schema, gold, "event_id",
+                                             f"{root}/ckpt_upsert", f"{root}/dead", order_by="timestamp"))
+    return gold.read()
+
+
+@register("journey_dedup_stream", QA.JOURNEY_SQL, "ST6 three tenths of the events delivered again, dropped within the watermark")
+def q_journey_dedup(spark, sf):
+    tagged = _tagged(spark, sf)
+    week = F.date_trunc("week", F.timestamp_micros(F.col("ts_us")))
+    again = F.pmod(F.xxhash64("event_id"), F.lit(10))
+    # One tenth comes again in its own week's chunk, two in the next one's.
+    sent = tagged.withColumn("sent", week).union(tagged.where(again == 0).withColumn("sent", week))
+    sent = sent.union(tagged.where(again.isin(1, 2)).withColumn("sent", week + F.expr("INTERVAL 7 DAYS")))
+    weeks = sorted((r[0] for r in sent.select("sent").distinct().collect()), key=lambda w: (w is not None, w))
+    root = scratch_dir(spark, "journey_dedup")
+    SRC.stage_chunks(sent, f"{root}/in", F.col("sent"), weeks)
+    _flush(spark, root, tagged.agg(F.max("ts_us")).first()[0] or 0)
+    stream = SRC.chunk_stream(spark, f"{root}/in", tagged.schema, max_files=8)
+    rows = J.journey_stream(stream.withColumn("event_time", F.timestamp_micros("ts_us")), dedup=True)
+    w = (rows.writeStream.format("parquet").outputMode("append").option("path", f"{root}/out")
+         .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True))
+    _run_to_end(SRC.start_with_partitions(w, spark, spark.sparkContext.defaultParallelism))
+    return J.journey_output(spark.read.schema(rows.schema).parquet(f"{root}/out"))
+
+
+@register("stream_late_rows", f"""
+WITH c AS (SELECT event_id, user_id, event_timestamp FROM ({E.CLICKSTREAM_SQL}) c),
+d AS (SELECT *, date_trunc('week', event_timestamp + CASE WHEN CAST(event_id AS BIGINT) % 20 = 0 THEN INTERVAL 21 DAYS ELSE INTERVAL 0 DAYS END) AS sent FROM c),
+m AS (SELECT sent, max(event_timestamp) AS top FROM d GROUP BY sent),
+w AS (SELECT sent, max(top) OVER (ORDER BY sent ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 8 DAYS AS mark FROM m)
+SELECT event_id, user_id, event_timestamp, coalesce(event_timestamp < mark, false) AS late
+FROM d LEFT JOIN w ON d.sent = w.sent""", "ST5 rows behind the watermark leave on a side channel; on-time and late rows are all rows")
+def q_late_rows(spark, sf):
+    clicks = E.clickstream(spark, sf).select("event_id", "user_id", "event_timestamp")
+    held = F.col("event_id").cast("bigint") % 20 == 0
+    sent = F.date_trunc("week", F.when(held, F.col("event_timestamp") + F.expr("INTERVAL 21 DAYS")).otherwise(F.col("event_timestamp")))
+    weeks = sorted((r[0] for r in clicks.select(sent.alias("w")).distinct().collect()), key=lambda w: (w is not None, w))
+    root = scratch_dir(spark, "late_rows")
+    # A run a week, so that each week's delivery is one micro-batch.
+    for i, w in enumerate(weeks):
+        SRC.stage_chunks(clicks, f"{root}/in", sent, [w], first=i)
+        stream = SRC.chunk_stream(spark, f"{root}/in", clicks.schema, max_files=1_000_000)
+        _run_to_end(LA.start_late_split(stream, "event_timestamp", "8 days", f"{root}/out", f"{root}/ckpt"))
+    return LA.split_rows(spark, f"{root}/out", clicks.schema)

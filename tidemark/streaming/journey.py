@@ -272,14 +272,22 @@ def _ensure_rocksdb(spark) -> None:
 
 
 def journey_stream(tagged: DataFrame, mode: str = "on_watermark", tolerance_us: int | None = None,
-                   time_col: str = "event_time", delay: str = "8 days") -> DataFrame:
+                   time_col: str = "event_time", delay: str = "8 days", dedup: bool = False) -> DataFrame:
     """Tagged union (see ``tag_*``) with an event-time column -> journey rows.
 
     ``time_col`` must be a ``timestamp`` (instant) column for the watermark.
+    With ``dedup`` an event that is delivered again within ``delay`` counts once:
+    the ids seen are kept until the watermark is ``delay`` past their time. Rows
+    without an id count once if all their columns are the same. (Purchases that
+    match nothing for want of a user or a time are passed on as often as they come.)
     """
     _ensure_rocksdb(tagged.sparkSession)
     able = F.col("user_id").isNotNull() & F.col("ts_us").isNotNull() & F.col(time_col).isNotNull()
     keyed = tagged.where(able).withWatermark(time_col, delay)
+    if dedup:
+        row = F.xxhash64(*[F.col(c) for c in _INPUT_COLS]).cast("string")
+        known = F.struct("side", F.col("event_id").isNull(), F.coalesce("event_id", row))
+        keyed = keyed.withColumn("_event", known).dropDuplicatesWithinWatermark(["user_id", "_event"]).drop("_event")
     out = keyed.groupBy("user_id").transformWithStateInPandas(
         JourneyProcessor(mode, tolerance_us), OUTPUT_SCHEMA, "append", "EventTime")
     attached = {*VIEW_COLS, *CART_COLS}

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 
 def stage_chunks(df: DataFrame, root: str, chunk_of: Column, chunks: list | None = None,
-                 key: str | None = None, files: int = 8) -> list[str]:
+                 key: str | None = None, files: int = 8, first: int = 0) -> list[str]:
     """Write ``df`` rows with ``chunk_of == c`` into ``root/chunk=<i>`` in the order
-    of ``chunks``; returns the folders.
+    of ``chunks``, numbered from ``first``; returns the folders.
 
     Without ``chunks`` (consumers that do not depend on arrival order) all
     chunks are staged by one partitioned write: one scan of ``df``. With ``key``
@@ -27,7 +27,7 @@ def stage_chunks(df: DataFrame, root: str, chunk_of: Column, chunks: list | None
         df.withColumn("chunk", chunk_of).write.partitionBy("chunk").parquet(root)
         return [root]
     out = []
-    for i, c in enumerate(chunks):
+    for i, c in enumerate(chunks, first):
         path = f"{root}/chunk={i:05d}"
         rows = df.where(chunk_of.eqNullSafe(F.lit(c)))
         (rows.repartition(files, key) if key else rows).write.parquet(path)

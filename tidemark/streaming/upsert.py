@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import merge as M
-from tidemark.operators.fanout import decode
+from tidemark.operators.fanout import decode, encode
 from tidemark.table import VersionedTable
 
 
@@ -63,6 +63,25 @@ def start_envelope_upsert(envelopes: DataFrame, schema, table: VersionedTable, k
     return start_with_partitions(w, envelopes.sparkSession, partitions)
 
 
+def start_publish(rows: DataFrame, folder: str, key: str, checkpoint: str, partitions: int | None = None):
+    """Publish a stream's rows as envelopes (``key``, JSON ``value``) in a folder, the first of two chained queries.
+
+    ``published`` reads it by the file sink's commit log: files of a micro-batch
+    that did not commit are not seen, so each row is handed on once however
+    often either query is stopped and started again from its checkpoint.
+    """
+    w = (encode(rows, key=key).writeStream.format("parquet").outputMode("append").option("path", folder)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True))
+    from tidemark.streaming.sources import start_with_partitions
+    return start_with_partitions(w, rows.sparkSession, partitions)
+
+
+def published(spark, folder: str, max_files: int | None = None) -> DataFrame:
+    """The envelopes of ``start_publish`` as a stream, for a query with a checkpoint of its own."""
+    r = spark.readStream.schema("key string, value string")
+    return (r if max_files is None else r.option("maxFilesPerTrigger", max_files)).parquet(folder)
+
+
 def start_upsert_stream(stream: DataFrame, table: VersionedTable, key: str, checkpoint: str,
                         order_by: str | None = None, available_now: bool = True,
                         processing_time: str | None = None, partitions: int | None = None):
