@@ -82,3 +82,22 @@ def test_counts_by_word_are_those_of_whole_texts(monkeypatch):
     for a in range(0, len(texts), 20):
         got = counts.of(pa.array(texts[a:a + 20], pa.string()))
         assert got.tolist() == [len(encoder.raw((t or "").encode())) // 4 for t in texts[a:a + 20]]
+
+
+def test_records_are_those_of_whole_texts(monkeypatch):
+    encoder = ChunkEncoder(default_path())
+    texts = [None, "", " \n", "don't stop, İstanbul! 漢字 x" * 20, "w" * 200_000, *[f"word{i} other-{i % 7} é" * (i % 5) for i in range(300)]]
+    want = []
+    for i, t in enumerate(texts):
+        ids = [*np.frombuffer(encoder.raw((t or "").encode()), "<u4").tolist(), 1]
+        want += [(i, p, np.array(ids[a:a + 16], "<u2").tobytes()) for p, a in enumerate(range(0, len(ids), 16))]
+    plain = O.word_hashes
+    # A table that begins anew in every batch, and hashes that several words share.
+    for most, shift in ((2_000_000, 0), (40, 0), (2_000_000, 56)):
+        monkeypatch.setattr(O, "MOST_WORDS", most)
+        monkeypatch.setattr(O, "word_hashes", lambda *a, s=shift: plain(*a) >> np.uint64(s))
+        words, got = O.WordCounts(default_path()), []
+        for a in range(0, len(texts), 20):
+            row, piece, ids = O.cut_records(*words.ids(pa.array(texts[a:a + 20], pa.string()), 1), 16)
+            got += zip((row + a).tolist(), piece.tolist(), ids.to_pylist())
+        assert got == want

@@ -8,9 +8,10 @@
    records one after another. Record i of a shard begins at i times the stride,
    so a reader can start, or go on, at any slot.
 
-The first pass needs no ids, only how many each word has: words are hashed over
-whole Arrow buffers and looked up, and just new ones are tokenised. The second
-pass cuts the texts instead of reading stored ids, which halves the disk. Its
+Both passes hash words over whole Arrow buffers and look them up in a table that
+a Python worker keeps; just new ones are tokenised. The first one needs only how
+many ids each word has. The second pass cuts the texts instead of reading stored
+ids, which halves the disk. Its
 splits must be those that were counted, and its counts the same; each task checks
 that they are and fails otherwise. A shard is written under another name and
 renamed when it is whole, so a lost executor leaves no half of one.
@@ -23,6 +24,7 @@ import zlib
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -35,8 +37,8 @@ from tidemark.session import scratch_dir
 LENGTH, SHARD_ROWS, ROUNDS = 256, 1 << 16, 6
 #: Fills up a record. No id has this value: the vocabulary must be smaller.
 PAD = 0xFFFF
-#: Words whose length a Python worker remembers, and bytes of text counted at once.
-MOST_WORDS, COUNT_BYTES = 2_000_000, 8 << 20
+#: Words whose length a Python worker remembers, and bytes of text counted and cut at once.
+MOST_WORDS, COUNT_BYTES, CUT_BYTES = 2_000_000, 8 << 20, 4 << 20
 
 
 def feistel(x: np.ndarray, n: int, key: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -59,52 +61,108 @@ def feistel(x: np.ndarray, n: int, key: int, rounds: int = ROUNDS) -> np.ndarray
     return out.astype(np.int64)
 
 
-def _records(encoder: ChunkEncoder, text: bytes | None, length: int, end: bytes) -> list[bytes]:
-    raw = np.frombuffer(encoder.raw(text) + end, "<u4").astype("<u2").tobytes()
-    return [raw[a:a + 2 * length] for a in range(0, len(raw), 2 * length)]
+def _ends(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first and the last eight bytes of each word (all of a shorter one) as numbers."""
+    padded = np.concatenate([np.zeros(8, np.uint8), data, np.zeros(8, np.uint8)])
+    eight = np.lib.stride_tricks.as_strided(padded[:8].view("<u8"), (len(padded) - 7,), (1,))
+    beyond = (8 * (8 - np.minimum(ends - starts, 8))).astype(np.uint64)
+    return eight[starts + 8] << beyond, eight[ends] >> beyond
+
+
+def cut_records(ids: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Text and piece of each record of ``length`` ids, and its ids as little-endian bytes."""
+    pieces = -(-np.diff(bounds) // length)
+    row = np.repeat(np.arange(len(pieces)), pieces)
+    piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    offsets = np.append(bounds[row] + piece * length, bounds[-1]) * 2
+    return row, piece, pa.Array.from_buffers(pa.large_binary(), len(row), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(ids.tobytes())]).cast(pa.binary())
 
 
 class WordCounts:
-    """How many ids each text has, by a sorted table of word hashes; one for all tasks of a Python worker."""
+    """Ids of texts, and how many each has, by a sorted table of word hashes; one for all tasks of a Python worker.
+
+    Only words that the table lacks are encoded. Beyond ``MOST_WORDS`` it begins anew.
+    """
 
     def __init__(self, path: str):
         self.encoder = chunk_encoder(path)
         self._empty()
 
     def _empty(self) -> None:
-        self.hashes, self.lengths = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.hashes, self.slots, self.pool = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint16)
+        self.begin, self.size, self.width = (np.zeros(0, np.int64) for _ in range(3))
+        self.head, self.tail = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
 
-    def of(self, column: pa.Array) -> np.ndarray:
-        data, bounds = flat(column)
-        starts, ends, first = word_bounds(data, bounds)
+    def _words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The table's slot of each word."""
         hashes = word_hashes(data, starts, ends)
-        own, where, code = np.unique(hashes, return_index=True, return_inverse=True)
+        code, own = pd.factorize(hashes)  # by a table: most words come again, so a sort of all would be dear
         at = np.searchsorted(self.hashes, own)
         known = at < len(self.hashes)
         known[known] = self.hashes[at[known]] == own[known]
-        size = np.zeros(len(own), np.int64)
-        size[known] = self.lengths[at[known]]
-        raw, new = data.tobytes(), np.flatnonzero(~known)
-        self.encoder.turn()
-        size[new] = [self.encoder.length(raw[a:b]) for a, b in zip(starts[where[new]].tolist(), ends[where[new]].tolist())]
-        if len(self.hashes) + len(new) > MOST_WORDS:
+        new = np.flatnonzero(~known)
+        if len(self.hashes) and len(self.hashes) + len(new) > MOST_WORDS:
             self._empty()
-            at = np.zeros_like(at)
-        self.hashes, self.lengths = np.insert(self.hashes, at[new], own[new]), np.insert(self.lengths, at[new], size[new])
-        sums = np.concatenate([[0], np.cumsum(size[code])])
+            return self._words(data, starts, ends)
+        if len(new):
+            new = new[np.argsort(own[new])]
+            where = np.empty(len(own), np.int64)
+            where[code] = np.arange(len(code))
+            first, last = starts[where[new]], ends[where[new]]
+            self.encoder.turn()
+            made = [self.encoder.once(data[a:b].tobytes()) for a, b in zip(first.tolist(), last.tolist())]
+            size = np.array([len(x) // 4 for x in made], np.int64)
+            fresh = len(self.size) + np.arange(len(new))
+            self.hashes, self.slots = np.insert(self.hashes, at[new], own[new]), np.insert(self.slots, at[new], fresh)
+            self.begin = np.append(self.begin, len(self.pool) + np.cumsum(size) - size)
+            self.pool = np.append(self.pool, np.frombuffer(b"".join(made), "<u4").astype(np.uint16))
+            head, tail = _ends(data, first, last)
+            self.size, self.width = np.append(self.size, size), np.append(self.width, last - first)
+            self.head, self.tail = np.append(self.head, head), np.append(self.tail, tail)
+            at = np.searchsorted(self.hashes, own)
+        return self.slots[at][code]
+
+    def of(self, column: pa.Array) -> np.ndarray:
+        """How many ids each text has."""
+        data, bounds = flat(column)
+        starts, ends, first = word_bounds(data, bounds)
+        slot = self._words(data, starts, ends)  # before the sizes are read: it adds to them
+        sums = np.concatenate([[0], np.cumsum(self.size[slot])])
         return sums[first[1:]] - sums[first[:-1]]
 
+    def ids(self, column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """The texts' ids one after another, each text's closed by ``end``, and where each starts (one more than texts).
+
+        Every word is held against the table's by length and by its first and
+        last eight bytes, which is all of a word of up to 16; where two differ,
+        these texts are encoded one by one.
+        """
+        data, bounds = flat(column)
+        starts, ends, first = word_bounds(data, bounds)
+        slot = self._words(data, starts, ends)
+        head, tail = _ends(data, starts, ends)
+        if not ((self.width[slot] == ends - starts) & (self.head[slot] == head) & (self.tail[slot] == tail)).all():
+            raw = data.tobytes()
+            each = [np.append(np.frombuffer(self.encoder.raw(raw[a:b]), "<u4"), end) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+            return np.concatenate(each).astype("<u2"), np.concatenate([[0], np.cumsum([len(x) for x in each])])
+        # The end of a text is a word of one id.
+        begin = np.insert(self.begin[slot], first[1:], len(self.pool))
+        size = np.insert(self.size[slot], first[1:], 1)
+        stop = np.cumsum(size)
+        place = np.arange(int(size.sum())) + np.repeat(begin - (stop - size), size)
+        return np.append(self.pool, np.uint16(end))[place].astype("<u2"), np.concatenate([[0], stop[first[1:] + np.arange(len(first) - 1)]])
+
 
 @lru_cache(maxsize=2)
 def _word_counts(path: str) -> WordCounts:
     return WordCounts(path)
 
 
-def _count(picked: DataFrame, path: str, length: int, end: bytes) -> dict[int, tuple[int, int]]:
+def _count(picked: DataFrame, path: str, length: int) -> dict[int, tuple[int, int]]:
     def rows(batches):
         counts, n, texts = _word_counts(path), 0, 0
         for batch in chunks(batches, "_text", COUNT_BYTES):
-            n += int((-(-(counts.of(batch.column(1)) + len(end) // 4) // length)).sum())
+            n += int((-(-(counts.of(batch.column(1)) + 1) // length)).sum())
             texts += batch.num_rows
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([texts]), pa.array([n])], names=["split", "texts", "n"])
 
@@ -129,9 +187,9 @@ def materialise(docs: DataFrame, out_dir: str, key: int, id_col: str = "doc_id",
     from tokenizers import Tokenizer
     if Tokenizer.from_file(path).get_vocab_size() > PAD:
         raise ValueError("ids do not fit 16 bits")
-    end, spark = end_id.to_bytes(4, "little"), docs.sparkSession
+    spark = docs.sparkSession
     picked = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").alias("_text"))
-    counted = _count(picked, path, length, end)
+    counted = _count(picked, path, length)
     begins, total = {}, 0
     for split in sorted(counted):
         begins[split] = total
@@ -141,18 +199,13 @@ def materialise(docs: DataFrame, out_dir: str, key: int, id_col: str = "doc_id",
 
     def rows(batches):
         begins, counted = shared.value
-        encoder, split = chunk_encoder(path), TaskContext.get().partitionId()
+        words, split = _word_counts(path), TaskContext.get().partitionId()
         at, texts = begins.get(split, 0), 0
-        for batch in chunks(batches, "_text"):
-            row, piece, ids = [], [], []
-            for r, text in enumerate(batch.column(1).cast(pa.large_binary()).to_pylist()):
-                for p, record in enumerate(_records(encoder, text, length, end)):
-                    row.append(r)
-                    piece.append(p)
-                    ids.append(record)
+        for batch in chunks(batches, "_text", CUT_BYTES):
+            row, piece, ids = cut_records(*words.ids(batch.column(1), end_id), length)
             slot = feistel(np.arange(at, at + len(row)), total, key)
             at, texts = at + len(row), texts + batch.num_rows
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(slot), pa.array((slot // shard_rows).astype(np.int32)), pa.array(ids, pa.binary())],
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece.astype(np.int32)), pa.array(slot), pa.array((slot // shard_rows).astype(np.int32)), ids],
                                              names=[kind.name, "piece", "slot", "shard", "ids"])
         if (texts, at - begins.get(split, 0)) != counted.get(split, (0, 0)):
             raise RuntimeError("the input's splits changed between the two passes; run again")

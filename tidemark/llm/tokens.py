@@ -97,9 +97,9 @@ class ChunkEncoder:
         for cache in (self._chunks, self._words, self._signs):
             cache.turn()
 
-    def length(self, chunk: bytes) -> int:
-        """How many ids a chunk without white space has, for callers that remember it themselves."""
-        return len(self._chunk(chunk)) // 4
+    def once(self, chunk: bytes) -> bytes:
+        """The ids of a chunk without white space, for callers that remember it themselves."""
+        return self._chunk(chunk)
 
     def raw(self, text: bytes | None) -> bytes:
         self.turn()
