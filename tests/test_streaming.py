@@ -6,6 +6,7 @@ from tidemark.operators.asof import customer_journey
 from tidemark.session import scratch_dir
 from tidemark.streaming import journey as J
 from tidemark.streaming import sources as SRC
+from tidemark.streaming import trailing as TR
 from tidemark.streaming import upsert as UP
 from tidemark.table import VersionedTable
 
@@ -162,3 +163,30 @@ def test_handoff_goes_on_after_both_queries_were_stopped(spark, tmp_table):
                                      order_by="timestamp").awaitTermination()
     assert sorted((r.event_id, r.n) for r in gold.read().collect()) == [("0", 0.0), ("1", 1.0), ("2", 2.0), ("3", 2.0), ("4", 2.0)]
     assert spark.read.parquet(f"{root}/topic").count() == 9
+
+
+def test_trailing_sessions_from_minutes(spark):
+    import random
+
+    r = random.Random(3)
+    schema = "session_id string, event_time timestamp"
+    at = lambda x: dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(seconds=x)
+    rows = [(r.choice([None, *(f"s{i}" for i in range(4000))]), at(r.randrange(0, 30 * 3600))) for _ in range(9000)]
+    rows += [("unseen", None), ("s1", at(100)), ("s1", at(100))]
+    root = scratch_dir(spark, "test-trailing")
+    early = [x for x in rows if x[1] and x[1] < at(50_000)]
+    late = [x for x in rows if x not in early] + [("flush", at(40 * 3600))]
+    for i, part in enumerate((early, late)):
+        spark.createDataFrame(part, schema).repartition(2).write.parquet(f"{root}/in/chunk={i}")
+        q = TR.start_minutes(SRC.chunk_stream(spark, f"{root}/in", "session_id string, event_time timestamp", max_files=100), f"{root}/out", f"{root}/ckpt")
+        q.awaitTermination()
+        assert q.exception() is None
+    ends = [(30 * 3600, "15 MINUTES", 900), (30 * 3600 - 17, "15 MINUTES", 900), (30 * 3600 - 17, "1 DAY", 86_400), (90 * 3600, "15 MINUTES", 900)]
+    for end, window, size in ends:
+        want = len({s for s, t in rows if t and t >= at(end - size)})
+        as_of = str(at(end).replace(tzinfo=None))
+        assert TR.sessions_exact(spark, f"{root}/out", as_of, window).first()[0] == want
+        assert abs(TR.sessions_sketched(spark, f"{root}/out", as_of, window).first()[0] - want) <= 0.02 * want
+    # A figure reads only the days in its range.
+    plan = TR.sessions_exact(spark, f"{root}/out", "2024-01-02 06:00:00")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan

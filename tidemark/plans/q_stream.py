@@ -13,12 +13,14 @@ from tidemark.functions.timestamps import to_utc_ntz, utc_instant
 from tidemark.operators import fanout as FO
 from tidemark.plans import entities as E
 from tidemark.plans import q_asof as QA
+from tidemark.plans import q_star_kpi as QK
 from tidemark.plans.registry import register
 from tidemark.session import scratch_dir
 from tidemark.streaming import journey as J
 from tidemark.streaming import late as LA
 from tidemark.streaming import sessions as SS
 from tidemark.streaming import sources as SRC
+from tidemark.streaming import trailing as TR
 from tidemark.streaming import upsert as UP
 from tidemark.table import VersionedTable
 
@@ -239,3 +241,35 @@ def q_late_rows(spark, sf):
         stream = SRC.chunk_stream(spark, f"{root}/in", clicks.schema, max_files=1_000_000)
         _run_to_end(LA.start_late_split(stream, "event_timestamp", "8 days", f"{root}/out", f"{root}/ckpt"))
     return LA.split_rows(spark, f"{root}/out", clicks.schema)
+
+
+def _session_minutes(spark, sf):
+    """Every event through the stream, in two runs that go on from one checkpoint: the first half of the days, then the rest."""
+    root = scratch_dir(spark, "session_minutes")
+    clicks = E.clickstream(spark, sf).select("session_id", utc_instant(F.col("event_timestamp")).alias("event_time"))
+    times = clicks.agg(F.min("event_time").alias("first"), F.max("event_time").alias("last")).first()
+    half = times["first"] + (times["last"] - times["first"]) / 2 if times["first"] else None
+    early = F.coalesce(F.col("event_time") < F.lit(half), F.lit(False))
+    # End of the bounded replay: a time past all others closes their minutes; its own never closes.
+    end = clicks.agg(F.lit(None).cast("string").alias("session_id"), (F.max("event_time") + F.expr("INTERVAL 1 DAY")).alias("event_time"))
+    for i, part in enumerate((clicks.where(early), clicks.where(~early).union(end))):
+        part.write.parquet(f"{root}/in/chunk={i:05d}")
+        stream = SRC.chunk_stream(spark, f"{root}/in", clicks.schema, max_files=1_000_000)
+        _run_to_end(TR.start_minutes(stream, f"{root}/minutes", f"{root}/ckpt"))
+    return f"{root}/minutes"
+
+
+@register("stream_active_sessions_15min", QK._sessions_sql("15 MINUTES"), "ST8 T8 minute sets kept up as a stream, exact")
+def q_stream_sessions_15min(spark, sf):
+    return TR.sessions_exact(spark, _session_minutes(spark, sf), E.EVENTS_AS_OF)
+
+
+@register("stream_active_sessions_1day", f"SELECT active_sessions, true AS sketch_within_2_percent FROM ({QK._sessions_sql('1 DAY')}) s",
+          "ST8 T9 the day from the minute sets, and from merged sketches within 2 %")
+def q_stream_sessions_1day(spark, sf):
+    folder = _session_minutes(spark, sf)
+    exact = TR.sessions_exact(spark, folder, E.EVENTS_AS_OF, "1 DAY").select("active_sessions", F.lit(None).cast("bigint").alias("about"))
+    about = TR.sessions_sketched(spark, folder, E.EVENTS_AS_OF, "1 DAY").select(F.lit(None).cast("bigint").alias("active_sessions"), F.col("active_sessions").alias("about"))
+    both = exact.union(about).agg(F.max("active_sessions").alias("active_sessions"), F.max("about").alias("about"))
+    close = F.abs(F.col("about") - F.col("active_sessions")) <= 0.02 * F.col("active_sessions")
+    return both.select("active_sessions", close.alias("sketch_within_2_percent"))
