@@ -82,3 +82,15 @@ def test_suffix_array_is_sorted():
     sa = D.suffix_array(ids, np.flatnonzero(ids), 16)
     keys = [tuple(ids[i:i + 16]) for i in sa]
     assert keys == sorted(keys) and sorted(sa) == np.flatnonzero(ids).tolist()
+
+
+def test_columns_named_like_helpers(spark):
+    docs = spark.createDataFrame([(1, "a b c", "x", [7], "l", 5, "t", "dot"), (2, None, None, None, None, None, None, None)],
+                                 "doc_id long, text string, _items string, _spans array<int>, _longest string, _n_words int, _text string, `a.b` string")
+    items = spark.createDataFrame([("i", "b c")], "item_id string, text string")
+    for block in (1 << 20, 1):
+        first, second = D.find_contamination(docs, items, block_chars=block).orderBy("doc_id").collect()
+        assert (first["_items"], first["_spans"], first["_longest"], first["_n_words"], first["_text"], first["a.b"]) == ("x", [7], "l", 5, "t", "dot")
+        assert (first.n_words, first.n_hit, first.contaminated, second.n_words, second["_items"]) == (3, 2, True, 0, None)
+        assert [r.doc_id for r in D.remove_contaminated(docs, items, block_chars=block).collect()] == [2]
+    assert D.find_contamination(docs.select("text"), items).columns == ["n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hit_spans", "longest_match"]

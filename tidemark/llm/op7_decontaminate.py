@@ -16,9 +16,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.llm.store import tables
-from tidemark.llm.words import chunks, covered, flat, owner, out_schema, runs, word_bounds
+from tidemark.llm.words import chunks, covered, flat, owner, runs, word_bounds
 
 #: ASCII letters and digits, and every byte of a character beyond ASCII.
 _KEEP = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
@@ -190,7 +191,7 @@ def _block_step(df: DataFrame, text_col: str, index, last: bool) -> DataFrame:
                    pa.array(seen, pa.list_(pa.string())), pa.array(longest, kind)],
                 names=[*names, *own])
 
-    return df.mapInArrow(step, out_schema(state, passed))
+    return df.mapInArrow(step, StructType([*passed, *StructType.fromDDL(state).fields]))
 
 
 def _merged(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -212,10 +213,12 @@ def find_contamination(docs: DataFrame, items: DataFrame, text_col: str = "text"
     One row out for each row in, repeated ids too. A null or empty text, or one
     without words, has no words and is clean. Items with a null id or without
     words are left out; with no items nothing is hit. Columns of ``docs`` with
-    an added name are replaced.
+    an added name are replaced; any other name may occur.
     """
     added = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated", "hit_spans", "longest_match"]
-    docs = docs.drop(*[c for c in added if c in docs.columns and c != text_col])
+    # A row's own columns travel as one struct, so none of their names can clash with a helper's.
+    rest = [c for c in docs.columns if c != text_col and c not in added]
+    docs = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest] or [F.lit(0).alias("none")]).alias("_row"), F.col(f"`{text_col}`").alias("_text"))
     items = items.select(F.col(item_id).cast("string").alias("i"), F.col(item_text).cast("binary").alias("t")).where("i IS NOT NULL AND t IS NOT NULL")
     chars = items.agg(F.sum(F.length("t"))).first()[0] or 0
     blocks = max(1, -(-chars // block_chars))
@@ -224,16 +227,15 @@ def find_contamination(docs: DataFrame, items: DataFrame, text_col: str = "text"
         # Sized by the sum above: one block of items at a time reaches the driver.
         rows = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).collect()
         index = sc.broadcast(TestIndex(sorted((r.i, bytes(r.t)) for r in rows), window))
-        docs = _block_step(docs, text_col, index, last=k == blocks - 1)
+        docs = _block_step(docs, "_text", index, last=k == blocks - 1)
     hit = F.expr("aggregate(sequence(1, size(_spans), 2), 0L, (s, i) -> s + _spans[i] - _spans[i - 1])")
     hit = F.when(F.size("_spans") == 0, F.lit(0).cast("long")).otherwise(hit)
     names = F.array_sort(F.array_distinct("_items"))
-    return (docs.withColumn("n_words", F.col("_n_words")).withColumn("n_hit", hit)
-            .withColumn("n_items", F.size(names).cast("long"))
-            .withColumn("items_sha256", F.sha2(F.concat_ws(",", names), 256))
-            .withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
-            .withColumn("hit_spans", F.col("_spans")).withColumn("longest_match", F.col("_longest"))
-            .drop("_n_words", "_spans", "_items", "_longest"))
+    n_hit, n_words = hit.alias("n_hit"), F.col("_n_words").alias("n_words")
+    contaminated = ((hit > 0) & (20 * hit >= F.col("_n_words"))).alias("contaminated")
+    return docs.select(*[F.col("_row").getField(c).alias(c) for c in rest], n_words, n_hit, F.size(names).cast("long").alias("n_items"),
+                       F.sha2(F.concat_ws(",", names), 256).alias("items_sha256"), contaminated,
+                       F.col("_spans").alias("hit_spans"), F.col("_longest").alias("longest_match"))
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", **options) -> DataFrame:
