@@ -41,3 +41,33 @@ def test_nulls_and_empty(spark):
     rows = [(None, True, 0, "user", "a"), (None, False, 0, "user", "b"), (1, None, 0, "user", "c"), (2, True, None, "user", "d"), (2, False, None, "user", "d"), (2, False, 1, "assistant", "x" * 100_000)]
     out = P.format_preferences(spark.createDataFrame(rows, schema)).collect()
     assert sorted((str(r.pair_id), r.part) for r in out) == [("1", "unpaired"), ("2", "prompt"), ("2", "rejected"), ("None", "unpaired"), ("None", "unpaired")]
+
+
+def test_swapped_replies_share_their_prompt(spark):
+    r = random.Random(8)
+    convs = {c: [(t, r.choice(["user", "assistant", "system"]), r.choice(["a", "b", None, ""]) if t else "q") for t in range(r.randrange(1, 6))] for c in range(60) if c % 7}
+    convs[100] = [(None, "user", "n"), (0, "user", "q"), (1, "assistant", "x" * 50_000), (2, "user", "bye")]
+    convs[101] = [(0, "assistant", "y")]
+    rows = [(c, *x) for c, turns in convs.items() for x in turns] + [(None, 0, "assistant", "z")]
+    both = P.with_swapped_replies(spark.createDataFrame(rows + rows[:20], "conv_id long, turn long, role string, text string"))
+    out = P.format_preferences(both).collect()
+    last = {c: [x for x in turns if x[1] == "assistant"][-1] for c, turns in convs.items() if any(x[1] == "assistant" for x in turns)}
+    first = lambda x: -1 if x.turn is None else x.turn
+    whole = lambda turns: [f"{P.BEGIN}{b}\n{t or ''}{P.END}\n" for _, b, t in turns]
+    for c, turns in convs.items():
+        own = sorted((x for x in out if x.pair_id == c), key=first)
+        show = lambda *parts: [x.segment for x in own if x.part in parts]  # noqa: E731,B023
+        if c not in last or c ^ 1 not in last:
+            assert show("unpaired") == whole(turns)
+            continue
+        at = turns.index(last[c])
+        assert show("prompt", "chosen") == whole(turns)
+        assert show("prompt", "rejected") == whole([*turns[:at], (at, "assistant", last[c ^ 1][2])])
+        same = (last[c][2] or "") == (last[c ^ 1][2] or "")
+        assert len(show("prompt")) == at + same
+    assert [x.part for x in out if x.pair_id is None] == ["unpaired"]
+
+
+def test_registered_query_renders_prompts(spark):
+    parts = {r.part: r.n for r in P.op8(spark, "/root/testdata/sf0.001").groupBy("part").agg({"*": "count"}).toDF("part", "n").collect()}
+    assert parts["prompt"] > 0 and parts["chosen"] > 0 and parts["rejected"] > 0

@@ -52,15 +52,41 @@ def format_preferences(turns: DataFrame, pair_col: str = "pair_id", chosen_col:
     return out.select("pair_id", "part", "turn", "role", "segment", mask(F.length(head)).alias("mask_start"), mask(F.length("segment") - 1).alias("mask_end"))
 
 
+def with_swapped_replies(turns: DataFrame) -> DataFrame:
+    """``turns`` (``conv_id``, ``turn``, ``role``, ``text``) as pairs: ``pair_id``, ``chosen``, ``turn``, ``role``, ``text``.
+
+    The chosen side is the conversation. The rejected one is the same up to its
+    last assistant turn, which is replaced by the last assistant turn of
+    conversation ``conv_id`` XOR 1 (2n and 2n + 1 lend each other theirs), so
+    both sides share all turns before it. A conversation without an assistant's turn,
+    or whose partner is missing or has none, has a chosen side only, and so has a
+    null ``conv_id``. Of several last turns with one number the greatest text
+    counts; a null text is empty and an assistant turn without a number is never the last.
+    """
+    turns = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text"))
+    said = (turns.where("role = 'assistant' AND turn IS NOT NULL AND conv_id IS NOT NULL").groupBy(F.col("conv_id").alias("conv"))
+            .agg(F.max(F.struct("turn", "text")).alias("last")))
+    lent = said.select(F.col("conv").bitwiseXOR(F.lit(1)).alias("conv"), F.col("last.text").alias("reply"))
+    swaps = said.select("conv", F.col("last.turn").alias("at")).join(lent, "conv")
+    chosen = turns.select(F.col("conv_id").alias("pair_id"), F.lit(True).alias("chosen"), "turn", "role", "text")
+    kept = turns.join(swaps, F.col("conv_id") == F.col("conv")).where("turn IS NULL OR turn < at")
+    kept = kept.select("conv_id", F.lit(False), "turn", "role", "text")
+    return chosen.union(kept).union(swaps.select("conv", F.lit(False), "at", F.lit("assistant"), "reply"))
+
+
 def op8(spark, sf_dir: str) -> DataFrame:
-    """Conversations 2n and 2n + 1 are one pair, the even one chosen."""
-    turns = tables(spark, sf_dir, "conversations")
-    return format_preferences(turns.withColumns({"pair_id": F.floor(F.col("conv_id") / 2), "chosen": F.pmod("conv_id", F.lit(2)) == 0}))
+    """Every conversation, paired with itself ending in another one's last answer."""
+    return format_preferences(with_swapped_replies(tables(spark, sf_dir, "conversations")))
 
 
 ORACLE = f"""
-WITH t AS (SELECT DISTINCT CAST(floor(conv_id / 2.0) AS BIGINT) AS pair_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, conv_id % 2 = 0 AS chosen FROM conversations),
-u AS (SELECT pair_id, turn, role, text, coalesce(bool_or(chosen), false) AS c, coalesce(bool_or(NOT chosen), false) AS r, coalesce(turn, {_FIRST}) AS k FROM t GROUP BY ALL),
+WITH c AS (SELECT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+a AS (SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, text DESC) AS n FROM c WHERE role = 'assistant' AND turn IS NOT NULL AND conv_id IS NOT NULL),
+w AS (SELECT x.conv_id, x.turn AS at, y.text AS reply FROM a x JOIN a y ON y.conv_id = xor(x.conv_id, 1) WHERE x.n = 1 AND y.n = 1),
+t AS (SELECT conv_id AS pair_id, turn, role, text, true AS chosen FROM c
+      UNION ALL SELECT c.conv_id, turn, role, text, false FROM c JOIN w ON c.conv_id = w.conv_id WHERE turn IS NULL OR turn < at
+      UNION ALL SELECT conv_id, at, 'assistant', reply, false FROM w),
+u AS (SELECT pair_id, turn, role, text, bool_or(chosen) AS c, bool_or(NOT chosen) AS r, coalesce(turn, {_FIRST}) AS k FROM t GROUP BY ALL),
 p AS (SELECT pair_id, bool_or(c) AND bool_or(r) AND pair_id IS NOT NULL AS whole, min(k) FILTER (NOT (c AND r)) AS split FROM u GROUP BY pair_id),
 j AS (SELECT u.*, CASE WHEN NOT whole THEN 'unpaired' WHEN split IS NULL OR k < split THEN 'prompt' END AS alone FROM u JOIN p ON u.pair_id IS NOT DISTINCT FROM p.pair_id),
 s AS (SELECT *, alone AS part FROM j WHERE alone IS NOT NULL UNION ALL SELECT *, 'chosen' FROM j WHERE alone IS NULL AND c UNION ALL SELECT *, 'rejected' FROM j WHERE alone IS NULL AND r),
