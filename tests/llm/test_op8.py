@@ -50,7 +50,7 @@ def test_swapped_replies_share_their_prompt(spark):
     convs[101] = [(0, "assistant", "y")]
     rows = [(c, *x) for c, turns in convs.items() for x in turns] + [(None, 0, "assistant", "z")]
     both = P.with_swapped_replies(spark.createDataFrame(rows + rows[:20], "conv_id long, turn long, role string, text string"))
-    out = P.format_preferences(both).collect()
+    out = P.format_preferences(both, rejected_col="rejected").collect()
     last = {c: [x for x in turns if x[1] == "assistant"][-1] for c, turns in convs.items() if any(x[1] == "assistant" for x in turns)}
     first = lambda x: -1 if x.turn is None else x.turn
     whole = lambda turns: [f"{P.BEGIN}{b}\n{t or ''}{P.END}\n" for _, b, t in turns]

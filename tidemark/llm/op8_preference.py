@@ -19,11 +19,12 @@ _FIRST = -(1 << 63)
 
 
 def format_preferences(turns: DataFrame, pair_col: str = "pair_id", chosen_col: str = "chosen", turn_col: str = "turn", role_col: str = "role",
-                       text_col: str = "text", trained_role: str = "assistant") -> DataFrame:
+                       text_col: str = "text", trained_role: str = "assistant", rejected_col: str | None = None) -> DataFrame:
     """``pair_id``, ``part``, ``turn``, ``role``, ``segment``, ``mask_start``, ``mask_end``, one row for each rendered turn.
 
     ``turns`` has a pair's turns with a boolean: of the chosen or the rejected
-    conversation. ``part`` is ``prompt``, ``chosen`` or ``rejected``; segments of
+    conversation. With ``rejected_col`` that column says whether a turn is the
+    rejected one's, so that a turn of both needs one row only. ``part`` is ``prompt``, ``chosen`` or ``rejected``; segments of
     a part in order of turn (then role and segment, should a number repeat) make
     up its text. ``mask_start`` to ``mask_end`` (code points of the segment) is
     what the loss is taken on; both are 0 where there is none.
@@ -36,8 +37,9 @@ def format_preferences(turns: DataFrame, pair_col: str = "pair_id", chosen_col:
     """
     empty = F.lit("")
     side = F.col(f"`{chosen_col}`")
+    other = F.col(f"`{rejected_col}`") if rejected_col else ~side
     rows = turns.select(F.col(f"`{pair_col}`").alias("pair_id"), F.col(f"`{turn_col}`").cast("long").alias("turn"), F.coalesce(F.col(f"`{role_col}`"), empty).alias("role"),
-                        F.coalesce(F.col(f"`{text_col}`"), empty).alias("text"), F.coalesce(side, F.lit(False)).alias("c"), F.coalesce(~side, F.lit(False)).alias("r"))
+                        F.coalesce(F.col(f"`{text_col}`"), empty).alias("text"), F.coalesce(side, F.lit(False)).alias("c"), F.coalesce(other, F.lit(False)).alias("r"))
     rows = rows.groupBy("pair_id", "turn", "role", "text").agg(F.max("c").alias("c"), F.max("r").alias("r"))
     at = F.coalesce("turn", F.lit(_FIRST))
     pairs = rows.groupBy(F.col("pair_id").alias("_pair")).agg((F.max("c") & F.max("r") & F.col("_pair").isNotNull()).alias("whole"),
@@ -53,7 +55,7 @@ def format_preferences(turns: DataFrame, pair_col: str = "pair_id", chosen_col:
 
 
 def with_swapped_replies(turns: DataFrame) -> DataFrame:
-    """``turns`` (``conv_id``, ``turn``, ``role``, ``text``) as pairs: ``pair_id``, ``chosen``, ``turn``, ``role``, ``text``.
+    """``turns`` (``conv_id``, ``turn``, ``role``, ``text``) as pairs: ``pair_id``, ``chosen``, ``rejected``, ``turn``, ``role``, ``text``.
 
     The chosen side is the conversation. The rejected one is the same up to its
     last assistant turn, which is replaced by the last assistant turn of
@@ -67,25 +69,24 @@ def with_swapped_replies(turns: DataFrame) -> DataFrame:
     said = (turns.where("role = 'assistant' AND turn IS NOT NULL AND conv_id IS NOT NULL").groupBy(F.col("conv_id").alias("conv"))
             .agg(F.max(F.struct("turn", "text")).alias("last")))
     lent = said.select(F.col("conv").bitwiseXOR(F.lit(1)).alias("conv"), F.col("last.text").alias("reply"))
-    swaps = said.select("conv", F.col("last.turn").alias("at")).join(lent, "conv")
-    chosen = turns.select(F.col("conv_id").alias("pair_id"), F.lit(True).alias("chosen"), "turn", "role", "text")
-    kept = turns.join(swaps, F.col("conv_id") == F.col("conv")).where("turn IS NULL OR turn < at")
-    kept = kept.select("conv_id", F.lit(False), "turn", "role", "text")
-    return chosen.union(kept).union(swaps.select("conv", F.lit(False), "at", F.lit("assistant"), "reply"))
+    swaps = said.select("conv", F.col("last.turn").alias("last_turn")).join(lent, "conv")
+    both = F.col("conv").isNotNull() & (F.col("turn").isNull() | (F.col("turn") < F.col("last_turn")))
+    own = turns.join(swaps, F.col("conv_id") == F.col("conv"), "left").select(F.col("conv_id").alias("pair_id"), F.lit(True).alias("chosen"), both.alias("rejected"), "turn", "role", "text")
+    return own.union(swaps.select("conv", F.lit(False), F.lit(True), "last_turn", F.lit("assistant"), "reply"))
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
     """Every conversation, paired with itself ending in another one's last answer."""
-    return format_preferences(with_swapped_replies(tables(spark, sf_dir, "conversations")))
+    return format_preferences(with_swapped_replies(tables(spark, sf_dir, "conversations")), rejected_col="rejected")
 
 
 ORACLE = f"""
 WITH c AS (SELECT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
 a AS (SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, text DESC) AS n FROM c WHERE role = 'assistant' AND turn IS NOT NULL AND conv_id IS NOT NULL),
-w AS (SELECT x.conv_id, x.turn AS at, y.text AS reply FROM a x JOIN a y ON y.conv_id = xor(x.conv_id, 1) WHERE x.n = 1 AND y.n = 1),
+w AS (SELECT x.conv_id, x.turn AS last_turn, y.text AS reply FROM a x JOIN a y ON y.conv_id = xor(x.conv_id, 1) WHERE x.n = 1 AND y.n = 1),
 t AS (SELECT conv_id AS pair_id, turn, role, text, true AS chosen FROM c
-      UNION ALL SELECT c.conv_id, turn, role, text, false FROM c JOIN w ON c.conv_id = w.conv_id WHERE turn IS NULL OR turn < at
-      UNION ALL SELECT conv_id, at, 'assistant', reply, false FROM w),
+      UNION ALL SELECT c.conv_id, turn, role, text, false FROM c JOIN w ON c.conv_id = w.conv_id WHERE turn IS NULL OR turn < last_turn
+      UNION ALL SELECT conv_id, last_turn, 'assistant', reply, false FROM w),
 u AS (SELECT pair_id, turn, role, text, bool_or(chosen) AS c, bool_or(NOT chosen) AS r, coalesce(turn, {_FIRST}) AS k FROM t GROUP BY ALL),
 p AS (SELECT pair_id, bool_or(c) AND bool_or(r) AND pair_id IS NOT NULL AS whole, min(k) FILTER (NOT (c AND r)) AS split FROM u GROUP BY pair_id),
 j AS (SELECT u.*, CASE WHEN NOT whole THEN 'unpaired' WHEN split IS NULL OR k < split THEN 'prompt' END AS alone FROM u JOIN p ON u.pair_id IS NOT DISTINCT FROM p.pair_id),
