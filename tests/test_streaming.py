@@ -190,3 +190,82 @@ def test_trailing_sessions_from_minutes(spark):
     # A figure reads only the days in its range.
     plan = TR.sessions_exact(spark, f"{root}/out", "2024-01-02 06:00:00")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(day" in plan
+
+
+def _brute_journey(rows, tolerance):
+    """Purchases by (id, cart payload, view payload), each held against all rows of its user."""
+    def latest(side, user, ts):
+        near = [r for r in rows if r[1] == side and r[0] == user and r[2] <= ts and (tolerance is None or r[2] >= ts - tolerance)]
+        return max(near, key=lambda r: (r[2], r[3])) if near else None
+
+    out = []
+    for user, side, ts, name in rows:
+        if side == J.PURCHASE:
+            cart = latest(J.CART, user, ts)
+            view = latest(J.VIEW, user, cart[2]) if cart else None
+            out.append((name, cart and cart[3], view and view[3]))
+    return sorted(out, key=str)
+
+
+def test_slices_hold_the_state_of_all_their_users(spark, tmp_table):
+    import random
+
+    r = random.Random(5)
+    day = 86_400_000_000
+    start = 1_704_067_200_000_000
+    for mode, tolerance in (("on_watermark", None), ("on_watermark", day), ("on_arrival", None), ("on_arrival", day)):
+        # Times repeat within a user and kind; the rows of a user are in every batch or in one.
+        rows = [(f"u{r.randrange(400)}", r.randrange(3), start + r.randrange(40) * day // 8, f"e{i:05d}") for i in range(3000)]
+        root = tmp_table(f"slices_{mode}_{tolerance}")
+        for i in range(5):
+            part = [(u, s, t, n, n if s == J.VIEW else None, n if s == J.CART else None) for u, s, t, n in rows if (t - start) // day == i]
+            df = spark.createDataFrame(part, "user_id string, side int, ts_us bigint, event_id string, view_product_id string, cart_product_id string")
+            tagged = df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(k).alias(c) for c, k in (x.split() for x in J.INPUT_SCHEMA.split(", "))])
+            tagged.coalesce(1).write.parquet(f"{root}/in/chunk={i}")
+        flush = spark.createDataFrame([(J.FLUSH_USER, J.VIEW, start + 400 * day)], "user_id string, side int, ts_us bigint")
+        J._tag(flush, J.VIEW, F.col("ts_us")).coalesce(1).write.parquet(f"{root}/in/chunk=9")
+        stream = SRC.chunk_stream(spark, f"{root}/in", tagged.schema)
+        out = J.journey_stream(stream.withColumn("event_time", F.timestamp_micros("ts_us")), mode=mode, tolerance_us=tolerance, delay="1 day")
+        q = (out.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/ckpt")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        got = spark.read.schema(out.schema).parquet(f"{root}/out").select("event_id", "cart_product_id", "view_product_id").collect()
+        assert sorted(map(tuple, got), key=str) == _brute_journey(rows, tolerance)
+        held = q.lastProgress.stateOperators[0].numRowsTotal
+        # With a tolerance only the flush row's slice is left, else one value per slice, not per user.
+        assert held <= (1 if tolerance and mode == "on_watermark" else J.SLICES)
+
+
+def test_a_chunk_is_at_most_so_many_files(spark, tmp_table):
+    root = tmp_table("chunk_files")
+    for path in SRC.stage_chunks(spark.range(1000, numPartitions=40), root, F.col("id") % 2, [0, 1], files=4):
+        assert spark.read.parquet(path).count() == 500
+        assert len(spark.read.parquet(path).inputFiles()) <= 4
+
+
+def _many_files(spark, root):
+    """``events`` of four weeks in 24 files, which Spark reads as more splits than a micro-batch takes files."""
+    rows = [(i, T0 + dt.timedelta(hours=i * 5 % 600), i % 30, ("view", "click", "purchase")[i % 7 % 3], float(i), f'{{"k": {i % 9}}}') for i in range(1200)]
+    df = spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string")
+    df.repartition(24).write.parquet(f"{root}/events.parquet")
+
+
+def _batches(spark, root, monkeypatch, query, checkpoints=("ckpt",)):
+    from tidemark.operators.asof import customer_journey
+    from tidemark.plans import entities as E
+    from tidemark.plans import q_stream as Q
+
+    _many_files(spark, root)
+    monkeypatch.setattr(Q, "scratch_dir", lambda spark, name: f"{root}/scratch")
+    got = getattr(Q, query)(spark, root)
+    want = customer_journey(E.product_views(spark, root), E.carts(spark, root), E.purchases(spark, root))
+    both = [sorted(map(tuple, x.select(*want.columns).collect()), key=str) for x in (got, want)]
+    assert both[0] == both[1] and len(both[0]) > 100
+    from tidemark.session import list_files
+    return sum(len([f for f in list_files(spark, f"{root}/scratch/{c}/commits") if f.rsplit("/", 1)[1].isdigit()]) for c in checkpoints)
+
+
+# Four weeks, the flush row and the batches without rows that close the watermark's steps.
+def test_journey_dedup_takes_a_batch_a_week(spark, tmp_table, monkeypatch):
+    # A fifth week brings what is sent again.
+    assert _batches(spark, tmp_table("many_dedup"), monkeypatch, "q_journey_dedup") <= 5 + 1 + 2

@@ -120,6 +120,14 @@ def _tagged(spark, sf):
             .unionByName(J.tag_purchases(E.purchases(spark, sf), ts_us)))
 
 
+def _weeks(sent, week):
+    """The weeks of the rows in order, the last time among them, and slices of some 20,000 rows for their users: one pass."""
+    found = sent.groupBy(week.alias("w")).agg(F.max("ts_us").alias("last"), F.count("*").alias("n")).collect()
+    weeks = sorted((r["w"] for r in found), key=lambda w: (w is not None, w))
+    last = max((r["last"] for r in found if r["last"] is not None), default=0)
+    return weeks, last, max(J.SLICES, sum(r["n"] for r in found) // 20_000)
+
+
 def _flush(spark, root, last):
     """End of the bounded replay: one row far in the future moves the watermark
     past every real row (its own user is filtered from the output)."""
@@ -210,12 +218,13 @@ def q_journey_dedup(spark, sf):
     # One tenth comes again in its own week's chunk, two in the next one's.
     sent = tagged.withColumn("sent", week).union(tagged.where(again == 0).withColumn("sent", week))
     sent = sent.union(tagged.where(again.isin(1, 2)).withColumn("sent", week + F.expr("INTERVAL 7 DAYS")))
-    weeks = sorted((r[0] for r in sent.select("sent").distinct().collect()), key=lambda w: (w is not None, w))
+    weeks, last, slices = _weeks(sent, F.col("sent"))
     root = scratch_dir(spark, "journey_dedup")
-    SRC.stage_chunks(sent, f"{root}/in", F.col("sent"), weeks)
-    _flush(spark, root, tagged.agg(F.max("ts_us")).first()[0] or 0)
-    stream = SRC.chunk_stream(spark, f"{root}/in", tagged.schema, max_files=8)
-    rows = J.journey_stream(stream.withColumn("event_time", F.timestamp_micros("ts_us")), dedup=True)
+    files = spark.sparkContext.defaultParallelism  # of a chunk, and of a micro-batch
+    SRC.stage_chunks(sent, f"{root}/in", F.col("sent"), weeks, files=files)
+    _flush(spark, root, last)
+    stream = SRC.chunk_stream(spark, f"{root}/in", tagged.schema, max_files=files)
+    rows = J.journey_stream(stream.withColumn("event_time", F.timestamp_micros("ts_us")), dedup=True, slices=slices)
     w = (rows.writeStream.format("parquet").outputMode("append").option("path", f"{root}/out")
          .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True))
     _run_to_end(SRC.start_with_partitions(w, spark, spark.sparkContext.defaultParallelism))

@@ -1,12 +1,15 @@
 """Streaming customer journey: purchase as-of (cart as-of view) per user.
 
 Input is one stream carrying all three event kinds (``side``: 0 view, 1 cart,
-2 purchase), grouped by user and fed to ``transformWithStateInPandas``
-(Arrow batches, RocksDB state). Per user the processor keeps:
+2 purchase), dealt by a hash of the user into slices and fed to
+``applyInPandasWithState`` (RocksDB state, one value per slice). A call matches
+all rows of a slice's users by one sort, so its cost follows the rows, not the
+users. A row travels as its user, time, kind, id and one JSON text of its other
+columns, which Python only passes on. Kept per slice, as one Arrow table:
 
-* ``views``: recent views; ``carts``: recent carts with the view each one
-  attached when it was processed;
-* ``pending`` (mode ``on_watermark`` only): rows not yet final.
+* recent views, and recent carts with the view each one attached when it was
+  processed;
+* ``waiting`` rows (mode ``on_watermark`` only): those not yet final.
 
 Modes:
 
@@ -15,17 +18,17 @@ Modes:
   a cart or view that arrives later never revises it. This is the reference's
   behaviour.
 * ``on_watermark``: rows wait until the watermark passes their time, then are
-  processed in time order; a timer at the earliest waiting row flushes users
+  processed in time order; a timeout at the earliest waiting row flushes slices
   that receive no new rows. The output then equals the batch as-of join for
   every row that is not later than the watermark delay. A bounded input needs
   one final row far in the future (``flush_row``) to move the watermark past
   the last rows.
 
 State stays bounded: a view or cart older than the watermark can only matter
-as the newest such row (later rows are never older than the watermark), so all
-older ones are dropped. With a ``tolerance`` a timer also clears a user's state
-once the watermark is past the range of its newest row, so users that never
-come back leave nothing; without one that newest row has to stay.
+as its user's newest such row (later rows are never older than the watermark),
+so all older ones are dropped. With a ``tolerance`` a timeout also drops rows
+once the watermark is past their range, so users that never come back leave
+nothing; without one that newest row has to stay.
 
 Rows with a NULL time or user match nothing: such purchases pass by the state
 and come out without a cart or view, other such rows are dropped.
@@ -33,13 +36,14 @@ and come out without a cart or view, other such rows are dropped.
 
 from __future__ import annotations
 
-import bisect
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.functions.timestamps import micros_to_ntz
 
@@ -60,10 +64,6 @@ INPUT_SCHEMA = (
     "total_amount double, payment_method string"
 )
 _INPUT_COLS = [c.split()[0] for c in INPUT_SCHEMA.split(", ")]
-_VIEW_STATE = "ts_us bigint, event_id string, view_product_id string, view_product_name string, view_category string"
-_CART_STATE = ("ts_us bigint, event_id string, cart_product_id string, cart_product_name string, "
-               "cart_quantity bigint, view_product_id string, view_product_name string, view_category string")
-
 OUTPUT_SCHEMA = (
     "event_id string, user_id string, view_product_id string, view_product_name string, view_category string, "
     "ts_us bigint, cart_product_id string, cart_product_name string, cart_quantity bigint, price double, "
@@ -72,6 +72,16 @@ OUTPUT_SCHEMA = (
 )
 _OUTPUT_COLS = [c.split()[0] for c in OUTPUT_SCHEMA.split(", ")]
 
+#: Slices that users are dealt into; a slice's state and its rows of a micro-batch are in memory at once.
+SLICES = 64
+_KEPT = {"user_id": pa.string(), "ts_us": pa.int64(), "side": pa.int32(), "event_id": pa.string(), "payload": pa.string(),
+         "viewed": pa.string(), "waiting": pa.bool_()}
+# Columns of the JSON text, in it named by their place here.
+_PAYLOAD = [c for c in _INPUT_COLS if c not in ("user_id", "side", "ts_us", "event_id")]
+_PAYLOAD_SCHEMA = ", ".join(f"`{_PAYLOAD.index(c.split()[0])}` {c.split()[1]}" for c in INPUT_SCHEMA.split(", ")
+                            if c.split()[0] in _PAYLOAD)
+_MATCHED = "event_id string, user_id string, ts_us bigint, bought string, cart string, viewed string"
+
 
 def tag_views(views: DataFrame, ts_us: Column) -> DataFrame:
     return _tag(views, VIEW, ts_us)
@@ -101,170 +111,95 @@ def _tag(df: DataFrame, side: int, ts_us: Column) -> DataFrame:
     return df.select(*cols)
 
 
-class _Rights:
-    """Rows of one right side sorted by (ts_us, event_id), with as-of lookup."""
-
-    def __init__(self, rows: list[tuple]):
-        self.rows = sorted(rows, key=lambda r: (r[0], r[1] or ""))
-        self.keys = [(r[0], r[1] or "") for r in self.rows]
-
-    def add(self, row: tuple) -> None:
-        k = (row[0], row[1] or "")
-        i = bisect.bisect_right(self.keys, k)
-        self.keys.insert(i, k)
-        self.rows.insert(i, row)
-
-    def latest_at(self, ts: int, min_ts: int | None) -> tuple | None:
-        i = bisect.bisect_right(self.keys, (ts, "\U0010ffff")) - 1
-        if i < 0:
-            return None
-        row = self.rows[i]
-        if min_ts is not None and row[0] < min_ts:
-            return None
-        return row
-
-    def pruned(self, watermark: int, tolerance_us: int | None) -> list[tuple]:
-        """Keep rows at/after the watermark plus the newest one before it (if in range)."""
-        if watermark is None or watermark < 0:
-            return self.rows
-        i = bisect.bisect_left(self.keys, (watermark, ""))
-        keep = self.rows[i:]
-        if i > 0:
-            newest_old = self.rows[i - 1]
-            if tolerance_us is None or newest_old[0] >= watermark - tolerance_us:
-                keep = [newest_old] + keep
-        return keep
-
-
-class JourneyProcessor(StatefulProcessor):
+def _packed(rows: pd.DataFrame) -> bytes:
+    table = pa.Table.from_pandas(rows, pa.schema(_KEPT), preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(data).read_pandas()
+
+
+def _newest(of: np.ndarray, user: np.ndarray) -> np.ndarray:
+    """For each row the last row up to it where ``of`` holds, if that is of the same user; else -1."""
+    at = np.maximum.accumulate(np.where(of, np.arange(len(of)), -1))
+    return np.where((at >= 0) & (user[at] == user), at, -1)
+
+
+class JourneyMatcher:
+    """``applyInPandasWithState`` function of one slice of users."""
+
     def __init__(self, mode: str = "on_watermark", tolerance_us: int | None = None):
         if mode not in ("on_arrival", "on_watermark"):
             raise ValueError("mode is on_arrival or on_watermark")
         self.mode = mode
         self.tolerance_us = tolerance_us
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.views = handle.getListState("views", _VIEW_STATE)
-        self.carts = handle.getListState("carts", _CART_STATE)
-        self.pending = handle.getListState("pending", INPUT_SCHEMA)
-
-    # -- helpers -----------------------------------------------------------
-    @staticmethod
-    def _load(state) -> list[tuple]:
-        return list(state.get())
-
-    def _process(self, key, rows: list[tuple], watermark_us: int | None) -> pd.DataFrame:
-        views = _Rights(self._load(self.views))
-        carts = _Rights(self._load(self.carts))
-        idx = {c: i for i, c in enumerate(_INPUT_COLS)}
-        out = []
-        tol = self.tolerance_us
-        for r in sorted(rows, key=lambda r: (r[idx["ts_us"]], r[idx["side"]], r[idx["event_id"]] or "")):
-            ts, side = r[idx["ts_us"]], r[idx["side"]]
-            floor = ts - tol if tol is not None else None
-            if side == VIEW:
-                views.add((ts, r[idx["event_id"]], *[r[idx[c]] for c in VIEW_COLS]))
-            elif side == CART:
-                v = views.latest_at(ts, floor)
-                vv = list(v[2:]) if v else [None, None, None]
-                carts.add((ts, r[idx["event_id"]], *[r[idx[c]] for c in CART_COLS], *vv))
-            else:
-                c = carts.latest_at(ts, floor)
-                cv = c if c else (None,) * 8
-                rec = {
-                    "event_id": r[idx["event_id"]], "user_id": r[idx["user_id"]],
-                    "view_product_id": cv[5], "view_product_name": cv[6], "view_category": cv[7],
-                    "ts_us": ts, "cart_product_id": cv[2], "cart_product_name": cv[3],
-                    "cart_quantity": cv[4], "price": r[idx["price"]],
-                }
-                for col in BUY_COLS:
-                    rec[col] = r[idx[col]]
-                out.append(rec)
-        wm = watermark_us if (watermark_us is not None and watermark_us > 0) else None
-        self._store(self.views, views.pruned(wm, tol) if wm else views.rows)
-        self._store(self.carts, carts.pruned(wm, tol) if wm else carts.rows)
-        frame = pd.DataFrame(out, columns=_OUTPUT_COLS)
-        return frame.astype({"cart_quantity": "Int64", "purchase_quantity": "Int64", "ts_us": "int64"})
-
-    @staticmethod
-    def _store(state, rows: list[tuple]) -> None:
-        if rows:
-            state.put(rows)
-        else:
-            state.clear()
-
-    def _watermark_us(self, timer_values) -> int:
-        return timer_values.getCurrentWatermarkInMs() * 1000
-
-    def _release(self, key, timer_values, fired_ms: int | None = None) -> Iterator[pd.DataFrame]:
-        wm = self._watermark_us(timer_values)
-        pend = self._load(self.pending)
-        ts_i = _INPUT_COLS.index("ts_us")
-        ready = [r for r in pend if r[ts_i] <= wm]
-        later = [r for r in pend if r[ts_i] > wm]
-        if ready:
-            yield self._process(key, ready, wm)
-        # A timer that just fired is already gone; do not delete it again.
-        timers = [t for t in self.handle.listTimers() if t != fired_ms]
-        if later:
-            if ready:
-                self.pending.put(later)
-            first = -(-min(r[ts_i] for r in later) // 1000)  # ms, rounded up
-            if timers != [first]:
-                for t in timers:
-                    self.handle.deleteTimer(t)
-                self.handle.registerTimer(first)
-        else:
-            if pend:
-                self.pending.clear()
-            for t in timers:
-                self.handle.deleteTimer(t)
-            self._retire(wm)
-
-    def _retire(self, wm: int) -> None:
-        """Clear what is out of any later row's range; else have a timer look again when it is."""
-        if self.tolerance_us is None:
-            return
-        newest = max((r[0] for state in (self.views, self.carts) for r in self._load(state)), default=None)
-        if newest is None:
+    def __call__(self, key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        parts = [_unpacked(state.get[0])] if state.exists else []
+        if not state.hasTimedOut:
+            parts += [f.assign(viewed=None, waiting=True) for f in frames]
+        rows = pd.concat([p[list(_KEPT)] for p in parts], ignore_index=True)
+        wm = max(0, state.getCurrentWatermarkMs()) * 1000
+        waiting = rows["waiting"].to_numpy(bool)
+        later = waiting & (rows["ts_us"].to_numpy() > wm) & (self.mode == "on_watermark")
+        out, kept = self._match(rows[~later], wm)
+        if len(out):
+            yield out
+        due = [int(rows["ts_us"][later].min())] if later.any() else []
+        if self.tolerance_us is not None and len(kept):
+            due.append(int(kept["ts_us"].min()) + self.tolerance_us + 1)
+        left = pd.concat([kept, rows[later]])
+        if not len(left):
+            state.remove()
             return
-        if newest + self.tolerance_us < wm:
-            self.views.clear()
-            self.carts.clear()
-        else:
-            self.handle.registerTimer((newest + self.tolerance_us) // 1000 + 1)
-
-    # -- callbacks ---------------------------------------------------------
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        frames = [f for f in rows]
-        new = pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(columns=_INPUT_COLS)
-        tuples = [tuple(None if pd.isna(v) else (int(v) if c in ("side", "ts_us", "cart_quantity",
-                                                                 "purchase_quantity") else v)
-                        for c, v in zip(_INPUT_COLS, rec))
-                  for rec in new[_INPUT_COLS].itertuples(index=False, name=None)]
-        if self.mode == "on_arrival":
-            yield self._process(key, tuples, self._watermark_us(timerValues))
-            for t in list(self.handle.listTimers()):
-                self.handle.deleteTimer(t)
-            self._retire(self._watermark_us(timerValues))
-            return
-        if tuples:
-            self.pending.appendList(tuples)
-        yield from self._release(key, timerValues)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._release(key, timerValues, expiredTimerInfo.getExpiryTimeInMs())
-
-    def close(self) -> None:
-        pass
+        state.update((_packed(left),))
+        if due:  # looks again when a waiting row is due or a kept one out of range
+            state.setTimeoutTimestamp(max(-(-min(due) // 1000), wm // 1000 + 1))
+
+    def _match(self, rows: pd.DataFrame, wm: int) -> tuple[pd.DataFrame, pd.DataFrame]:
+        """Purchases with what they match, and the views and carts that later rows may match."""
+        user = pd.factorize(rows["user_id"])[0]
+        named = pd.factorize(rows["event_id"].fillna(""), sort=True)[0]
+        # A purchase sees the carts, and a cart the views, of its own time too; of equal rows the last one counts.
+        order = np.lexsort((named, rows["side"].to_numpy(), rows["ts_us"].to_numpy(), user))
+        rows, user = rows.iloc[order], user[order]
+        ts, side = rows["ts_us"].to_numpy(), rows["side"].to_numpy()
+        payload, viewed = rows["payload"].to_numpy(object), rows["viewed"].to_numpy(object).copy()
+        tol = np.iinfo(np.int64).max if self.tolerance_us is None else self.tolerance_us
+
+        view = _newest(side == VIEW, user)
+        fresh = (side == CART) & rows["waiting"].to_numpy(bool)
+        found = fresh & (view >= 0) & (ts - ts[view] <= tol)
+        viewed[found] = payload[view[found]]
+        cart = _newest(side == CART, user)
+        cart = np.where((cart >= 0) & (ts - ts[cart] <= tol), cart, -1)
+
+        bought = side == PURCHASE
+        of = cart[bought]
+        out = rows.loc[bought, ["event_id", "user_id", "ts_us"]].assign(
+            bought=payload[bought], cart=np.where(of >= 0, payload[of], None), viewed=np.where(of >= 0, viewed[of], None))
+
+        kept = ~bought
+        if wm:
+            for kind in (VIEW, CART):
+                of_kind = np.flatnonzero(side == kind)
+                old = ts[of_kind] < wm
+                # An old row is followed by another old one of its user and kind: it matches nothing more.
+                passed = np.zeros(len(of_kind), bool)
+                passed[:-1] = old[1:] & (user[of_kind][1:] == user[of_kind][:-1])
+                kept[of_kind[old & (passed | (ts[of_kind] < wm - tol))]] = False
+        return out, rows[kept].assign(viewed=viewed[kept], waiting=False)
 
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def _ensure_rocksdb(spark) -> None:
-    """transformWithState needs the RocksDB state store; set it when the session
+    """The state of all users is kept in RocksDB, not on the heap; set it when the session
     uses another provider (it applies to queries started afterwards)."""
     key = "spark.sql.streaming.stateStore.providerClass"
     if spark.conf.get(key, None) != _ROCKSDB:
@@ -272,10 +207,11 @@ def _ensure_rocksdb(spark) -> None:
 
 
 def journey_stream(tagged: DataFrame, mode: str = "on_watermark", tolerance_us: int | None = None,
-                   time_col: str = "event_time", delay: str = "8 days", dedup: bool = False) -> DataFrame:
+                   time_col: str = "event_time", delay: str = "8 days", dedup: bool = False, slices: int = SLICES) -> DataFrame:
     """Tagged union (see ``tag_*``) with an event-time column -> journey rows.
 
     ``time_col`` must be a ``timestamp`` (instant) column for the watermark.
+    ``slices`` should follow the number of users; a checkpoint keeps it.
     With ``dedup`` an event that is delivered again within ``delay`` counts once:
     the ids seen are kept until the watermark is ``delay`` past their time. Rows
     without an id count once if all their columns are the same. (Purchases that
@@ -288,8 +224,14 @@ def journey_stream(tagged: DataFrame, mode: str = "on_watermark", tolerance_us:
         row = F.xxhash64(*[F.col(c) for c in _INPUT_COLS]).cast("string")
         known = F.struct("side", F.col("event_id").isNull(), F.coalesce("event_id", row))
         keyed = keyed.withColumn("_event", known).dropDuplicatesWithinWatermark(["user_id", "_event"]).drop("_event")
-    out = keyed.groupBy("user_id").transformWithStateInPandas(
-        JourneyProcessor(mode, tolerance_us), OUTPUT_SCHEMA, "append", "EventTime")
+    payload = F.to_json(F.struct(*[F.col(c).alias(str(i)) for i, c in enumerate(_PAYLOAD)]))
+    slice_ = F.pmod(F.xxhash64("user_id"), F.lit(slices)).alias("slice")
+    rows = keyed.select(slice_, "user_id", time_col, "ts_us", "side", "event_id", payload.alias("payload"))
+    matched = rows.groupBy("slice").applyInPandasWithState(
+        JourneyMatcher(mode, tolerance_us), _MATCHED, "rows binary", "append", GroupStateTimeout.EventTimeTimeout)
+    parsed = matched.withColumns({c: F.from_json(c, _PAYLOAD_SCHEMA) for c in ("bought", "cart", "viewed")})
+    of = {**dict.fromkeys(_PAYLOAD, "bought"), **dict.fromkeys(CART_COLS, "cart"), **dict.fromkeys(VIEW_COLS, "viewed")}
+    out = parsed.select(*[F.col(of[c])[str(_PAYLOAD.index(c))].alias(c) if c in of else F.col(c) for c in _OUTPUT_COLS])
     attached = {*VIEW_COLS, *CART_COLS}
     alone = tagged.where(~able & (F.col("side") == PURCHASE)).select(
         *[(F.lit(None) if f.name in attached else F.col(f.name)).cast(f.dataType).alias(f.name) for f in out.schema.fields])

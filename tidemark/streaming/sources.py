@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 
 
 def stage_chunks(df: DataFrame, root: str, chunk_of: Column, chunks: list | None = None,
-                 key: str | None = None, files: int = 8, first: int = 0) -> list[str]:
+                 key: str | None = None, files: int | None = None, first: int = 0) -> list[str]:
     """Write ``df`` rows with ``chunk_of == c`` into ``root/chunk=<i>`` in the order
     of ``chunks``, numbered from ``first``; returns the folders.
 
     Without ``chunks`` (consumers that do not depend on arrival order) all
-    chunks are staged by one partitioned write: one scan of ``df``. With ``key``
-    each chunk is ``files`` files and a key's rows are in one of them, so that a
+    chunks are staged by one partitioned write: one scan of ``df``. With ``files``
+    each chunk is that many files at most, however large it is. With ``key`` it
+    is ``files`` (8) files and a key's rows are in one of them, so that a
     micro-batch of any files has all of a key's rows of a chunk.
     """
     if chunks is None:
@@ -30,7 +31,9 @@ def stage_chunks(df: DataFrame, root: str, chunk_of: Column, chunks: list | None
     for i, c in enumerate(chunks, first):
         path = f"{root}/chunk={i:05d}"
         rows = df.where(chunk_of.eqNullSafe(F.lit(c)))
-        (rows.repartition(files, key) if key else rows).write.parquet(path)
+        if key or files:
+            rows = rows.repartition(files or 8, *([key] if key else []))
+        rows.write.parquet(path)
         out.append(path)
     return out
 
