@@ -266,6 +266,10 @@ def _batches(spark, root, monkeypatch, query, checkpoints=("ckpt",)):
 
 
 # Four weeks, the flush row and the batches without rows that close the watermark's steps.
+def test_journey_stream_takes_a_batch_a_week(spark, tmp_table, monkeypatch):
+    assert _batches(spark, tmp_table("many_stream"), monkeypatch, "q_journey_stream") <= 4 + 1 + 2
+
+
 def test_journey_dedup_takes_a_batch_a_week(spark, tmp_table, monkeypatch):
     # A fifth week brings what is sent again.
     assert _batches(spark, tmp_table("many_dedup"), monkeypatch, "q_journey_dedup") <= 5 + 1 + 2

@@ -138,15 +138,15 @@ def _flush(spark, root, last):
 def _journey_stream(spark, sf, mode, to_table: bool = False, tolerance_us: int | None = None):
     tagged = _tagged(spark, sf)
     week = F.date_trunc("week", F.timestamp_micros(F.col("ts_us")))
-    weeks = sorted((r[0] for r in tagged.select(week.alias("w")).distinct().collect()), key=lambda w: (w is not None, w))
-    last = tagged.agg(F.max("ts_us")).first()[0] or 0
+    weeks, last, slices = _weeks(tagged, week)
     root = scratch_dir(spark, f"journey_{mode}")
-    SRC.stage_chunks(tagged, f"{root}/in", week, weeks, key="user_id" if mode == "on_arrival" else None)
+    # A chunk is a micro-batch whatever its size: as many files as a trigger takes. Chunks are
+    # time-ordered, and the 8-day watermark delay covers a week's chunk.
+    files = spark.sparkContext.defaultParallelism
+    SRC.stage_chunks(tagged, f"{root}/in", week, weeks, key="user_id" if mode == "on_arrival" else None, files=files)
     _flush(spark, root, last)
-    # Chunks are time-ordered; a micro-batch may take several files, and the
-    # 8-day watermark delay covers a week's chunk.
-    stream = SRC.chunk_stream(spark, f"{root}/in", tagged.schema, max_files=8)
-    rows = J.journey_stream(stream.withColumn("event_time", F.timestamp_micros("ts_us")), mode=mode, tolerance_us=tolerance_us)
+    stream = SRC.chunk_stream(spark, f"{root}/in", tagged.schema, max_files=files)
+    rows = J.journey_stream(stream.withColumn("event_time", F.timestamp_micros("ts_us")), mode=mode, tolerance_us=tolerance_us, slices=slices)
     if to_table:
         # The hand-off of the journey topic to the report consumer, as one query:
         # each micro-batch of journeys is merged into the gold table by event_id.
