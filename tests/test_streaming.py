@@ -273,3 +273,8 @@ def test_journey_stream_takes_a_batch_a_week(spark, tmp_table, monkeypatch):
 def test_journey_dedup_takes_a_batch_a_week(spark, tmp_table, monkeypatch):
     # A fifth week brings what is sent again.
     assert _batches(spark, tmp_table("many_dedup"), monkeypatch, "q_journey_dedup") <= 5 + 1 + 2
+
+
+def test_journey_handoff_takes_a_batch_a_week(spark, tmp_table, monkeypatch):
+    # Each of its two runs closes its watermark's steps.
+    assert _batches(spark, tmp_table("many_handoff"), monkeypatch, "q_journey_handoff", ("ckpt_publish",)) <= 4 + 1 + 4

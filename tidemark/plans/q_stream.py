@@ -189,18 +189,18 @@ def q_journey_gold(spark, sf):
 def q_journey_handoff(spark, sf):
     tagged = _tagged(spark, sf)
     week = F.date_trunc("week", F.timestamp_micros(F.col("ts_us")))
-    weeks = sorted((r[0] for r in tagged.select(week.alias("w")).distinct().collect()), key=lambda w: (w is not None, w))
-    last = tagged.agg(F.max("ts_us")).first()[0] or 0
+    weeks, last, slices = _weeks(tagged, week)
     root = scratch_dir(spark, "journey_handoff")
     half = len(weeks) // 2
+    files = spark.sparkContext.defaultParallelism  # of a chunk, and of a micro-batch
     gold = None
     # Each half is a run of both queries, which go on from their checkpoints.
     for first, part in ((0, weeks[:half]), (half, weeks[half:])):
-        SRC.stage_chunks(tagged, f"{root}/in", week, part, first=first)
+        SRC.stage_chunks(tagged, f"{root}/in", week, part, files=files, first=first)
         if first == half:
             _flush(spark, root, last)
-        stream = SRC.chunk_stream(spark, f"{root}/in", tagged.schema, max_files=8)
-        rows = J.journey_output(J.journey_stream(stream.withColumn("event_time", F.timestamp_micros("ts_us"))))
+        stream = SRC.chunk_stream(spark, f"{root}/in", tagged.schema, max_files=files)
+        rows = J.journey_output(J.journey_stream(stream.withColumn("event_time", F.timestamp_micros("ts_us")), slices=slices))
         _run_to_end(UP.start_publish(rows, f"{root}/topic", "user_id", f"{root}/ckpt_publish", partitions=spark.sparkContext.defaultParallelism))
         if gold is None:
             gold = VersionedTable(spark, f"{root}/gold")
