@@ -116,3 +116,30 @@ def test_json_documents_are_bounded_and_one_per_file(spark, tmp_table):
     sizes = [len(json.loads(d["value"])) for d in docs]
     assert sum(sizes) == 250 and max(sizes) <= 40
     assert R.read_json(spark, path, schema="id bigint", recursiveFileLookup=True).count() == 250
+
+
+def test_merge_counts_no_source_keys_and_still_refuses_double_matches(spark, tmp_table, monkeypatch):
+    import pytest
+    from tidemark.errors import DataWriterError
+    from tidemark.operators import merge as M
+    from tidemark.table import VersionedTable
+
+    kind = "k string, v int"
+    upsert = M.merge_options(when_matched_update_all=True, when_not_matched_insert_all=True)
+    monkeypatch.setattr(M, "source_duplicate_keys", None)  # not called: no pass of its own over the source's keys
+    table = VersionedTable(spark, tmp_table("twice"))
+    table.write(spark.createDataFrame([], kind), bucket_by="k", num_buckets=2)
+    plans = []
+    made = M.merge_plan
+    monkeypatch.setattr(M, "merge_plan", lambda *a, **kw: plans.append(made(*a, **kw)) or plans[-1])
+    # Copies of a key that the table lacks are rows like others; NULL keys too.
+    got = table.merge(spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), (None, 4), (None, 5)], kind), upsert, on=["k"])
+    assert got["num_target_rows_inserted"] == got["num_source_rows"] == 5
+    assert "Join" not in plans[0].rows()._jdf.queryExecution().optimizedPlan().toString()  # the table was empty
+    before = sorted(map(str, table.read().collect()))
+    with pytest.raises(DataWriterError):
+        table.merge(spark.createDataFrame([("a", 6), ("a", 7)], kind), upsert, on=["k"])
+    assert sorted(map(str, table.read().collect())) == before
+    got = table.merge(spark.createDataFrame([("b", 8), ("c", 9), (None, 10)], kind), upsert, on=["k"])
+    assert (got["num_target_rows_updated"], got["num_target_rows_inserted"]) == (2, 2)
+    assert sorted(map(str, (tuple(r) for r in table.read().collect()))) == sorted(map(str, [("a", 1), ("b", 8), ("b", 8), ("c", 9), (None, 4), (None, 5), (None, 10)]))

@@ -72,6 +72,8 @@ SKIP = -2
 _T_FLAG = "__tm_t"
 _S_FLAG = "__tm_s"
 ACTION = "__tm_action"
+MATCHED_TWICE = ("a target row matched more than one source row; deduplicate the source "
+                 "(on_duplicate='latest') or allow it (on_duplicate='expand')")
 
 
 @dataclass(frozen=True)
@@ -398,9 +400,7 @@ def merge_plan(
             probe = wrap(t_id, T, _T_FLAG).join(wrap(check_source, S, _S_FLAG), F.expr(predicate), "inner")
             dup = probe.groupBy(F.col(f"{T}.{rid}")).count().where(F.col("count") > 1).limit(1).count()
         if dup:
-            raise DataWriterError(
-                "a target row matched more than one source row; deduplicate the source "
-                "(on_duplicate='latest') or allow it (on_duplicate='expand')")
+            raise DataWriterError(MATCHED_TWICE)
 
     matched = F.col(_T_FLAG).isNotNull() & F.col(_S_FLAG).isNotNull()
     not_matched = F.col(_T_FLAG).isNull()

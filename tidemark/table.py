@@ -118,7 +118,7 @@ class VersionedTable:
         keys = parts.keys() if buckets is None else [str(b) for b in buckets if str(b) in parts]
         paths = [f"{self.path}/{d}" for k in keys for d in parts[k]]
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            return self.spark.createDataFrame([], schema).where(F.lit(False))  # known to be empty: a join to it is dropped
         return self.spark.read.schema(schema).parquet(*paths)
 
     def read(self, version: int | None = None, timestamp=None) -> DataFrame:
@@ -211,7 +211,7 @@ class VersionedTable:
         """
         cur = self._entry()
         clauses = M.clauses_from_options(clauses)
-        keys, _, predicate = M.merge_keys(predicate, on, source_alias, target_alias)
+        keys, whole, predicate = M.merge_keys(predicate, on, source_alias, target_alias)
         schema = T.StructType.fromJson(cur["schema"])
         bucket_by, nb = cur.get("bucket_by"), cur.get("num_buckets")
 
@@ -219,25 +219,23 @@ class VersionedTable:
         by_source = any(c.method in M._BY_SOURCE for c in clauses)
         kmap = dict(keys)
         prune = bool(bucket_by) and not by_source and all(b in kmap for b in bucket_by)
-        n_source, has_dups = None, None
+        # A target row matched twice is written twice: where no clause deletes, the rows written
+        # tell it, and the source's keys need not be counted. Nothing is committed then.
+        kinds = {c.method for c in clauses}
+        check_after = on_duplicate == "error" and bool(keys) and whole and bool(kinds & M._MATCHED) and not kinds & M._DELETES
+        n_source = None
         # Read more than once below: written first, so that every pass sees the same rows.
         staged = f"{self.path}/staged/{uuid.uuid4().hex[:12]}"
         source.write.parquet(staged)
         source = self.spark.read.schema(source.schema).parquet(staged)
         if keys:
-            # One profile of the source keys, combined map-side: row count, the
-            # largest number of copies of a key, and the buckets the keys hash
-            # to (at most num_buckets ints).
-            skeys = [F.col(f"`{s}`") for _, s in keys]
-            keyed = ~M._any_null(skeys)
-            per_key = source.groupBy(*skeys).agg(F.count(F.lit(1)).alias("n"))
-            aggs = [F.sum("n").alias("rows"), F.max(F.when(keyed, F.col("n"))).alias("copies")]
+            # The source's row count and the buckets its keys hash to (at most num_buckets ints).
+            aggs = [F.count(F.lit(1)).alias("rows")]
             if prune:
                 bcols = [F.col(f"`{kmap[b]}`").cast(schema[b].dataType) for b in bucket_by]
                 aggs.append(F.collect_set(bucket_of(bcols, nb)).alias("buckets"))
-            prof = per_key.agg(*aggs).first()
-            n_source = int(prof["rows"] or 0)
-            has_dups = (prof["copies"] or 0) > 1
+            prof = source.agg(*aggs).first()
+            n_source = int(prof["rows"])
             if prune:
                 touched = sorted(prof["buckets"])
 
@@ -245,7 +243,7 @@ class VersionedTable:
         plan = M.merge_plan(target, source, clauses, predicate=predicate,
                             source_alias=source_alias, target_alias=target_alias,
                             on_duplicate=on_duplicate, latest_by=latest_by,
-                            source_has_duplicate_keys=has_dups)
+                            source_has_duplicate_keys=False if check_after else None)
         version = cur["version"] + 1
         parts = {k: list(v) for k, v in cur["parts"].items()}
         if plan.only_inserts:
@@ -262,6 +260,10 @@ class VersionedTable:
                     parts[k] = v
                 else:
                     parts.setdefault(k, []).extend(v)
+        if check_after:
+            held = sum(n for code, n in counts.items() if code not in M._codes(plan.clauses, M._INSERTS))
+            if held != (target.count() if cur["parts"] else 0):
+                raise DataWriterError(M.MATCHED_TWICE)
         made = lambda kinds: sum(counts.get(i, 0) for i in M._codes(plan.clauses, kinds))
         m = {"num_target_rows_inserted": made(M._INSERTS), "num_target_rows_updated": made(M._UPDATES),
              "num_target_rows_copied": counts.get(M.COPY, 0), "num_target_rows_deleted": 0}
