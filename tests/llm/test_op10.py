@@ -101,3 +101,38 @@ def test_records_are_those_of_whole_texts(monkeypatch):
             row, piece, ids = O.cut_records(*words.ids(pa.array(texts[a:a + 20], pa.string()), 1), 16)
             got += zip((row + a).tolist(), piece.tolist(), ids.to_pylist())
         assert got == want
+
+
+def test_short_words_need_no_byte_by_byte_hash(monkeypatch):
+    plain, hashed = O.word_hashes, []
+    monkeypatch.setattr(O, "word_hashes", lambda data, starts, ends: hashed.extend((ends - starts).tolist()) or plain(data, starts, ends))
+    texts = ["a ab ba aa 16-bytes-of-word 17-bytes-of-words " * 3, "é " + "x" * 40]
+    counts, encoder = O.WordCounts(default_path()), ChunkEncoder(default_path())
+    assert counts.of(pa.array(texts)).tolist() == [len(encoder.raw(t.encode())) // 4 for t in texts]
+    assert hashed == [17, 17, 17, 40]
+
+
+def test_word_keys_differ_where_words_do():
+    words = sorted({bytes([*a]) for n in range(1, 4) for a in np.ndindex(*[9] * n)} | {b"a" * n for n in range(1, 60)} | {b"x" * 16 + bytes([i]) + b"y" * 16 for i in range(200)}
+                   | {b"antiontiontion", b"entiontion"})
+    ends = np.cumsum([len(w) for w in words])
+    starts, data = ends - [len(w) for w in words], np.frombuffer(b"".join(words), np.uint8)
+    assert len(set(O._keys(data, starts, ends, *O._ends(data, starts, ends)).tolist())) == len(words)
+
+
+def test_words_that_share_a_key_are_told_apart(monkeypatch):
+    encoder, plain = ChunkEncoder(default_path()), O._keys
+    monkeypatch.setattr(O, "_keys", lambda *a: plain(*a) >> np.uint64(56))
+    texts = [None, "", *[f"word{i} other-{i % 7} é {'long' * (i % 9)}" * (i % 5) for i in range(300)]]
+    ids, bounds = O.WordCounts(default_path()).ids(pa.array(texts, pa.string()), 1)
+    for t, a, b in zip(texts, bounds, bounds[1:]):
+        assert ids[a:b].tolist() == [*np.frombuffer(encoder.raw((t or "").encode()), "<u4").tolist(), 1]
+
+
+def test_chunks_encoded_together_are_those_encoded_one_by_one():
+    chunks = ["a", "Word", "word,", "WORD!?", "don't", "x'", "'", "!", "--", "3", "a3", "3a", "İstanbul", "ÉTÉ.", "ſ", "ǅ", "Ⱥ;", "漢字", "ẞ", "K", "á", "a b", "a b", "\u0085", "a\u0085", "\x1c", "b\x1d.", "w" * 300 + ".", "<|endoftext|>", "\0", "_a", "a_", "×", "a÷b"]
+    raw = [c.encode() for c in chunks]
+    whole = ChunkEncoder(default_path())
+    size, ids = ChunkEncoder(default_path()).many(raw)
+    assert [x.astype("<u4").tobytes() for x in np.split(ids, np.cumsum(size)[:-1])] == [whole._whole(c) for c in chunks] == [whole._chunk(c) for c in raw]
+    assert [len(x) for x in whole.many([])] == [0, 0]

@@ -69,6 +69,15 @@ def _ends(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.nd
     return eight[starts + 8] << beyond, eight[ends] >> beyond
 
 
+def _keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, head: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word: of its ``_ends``, which are all of a word of up to 16 bytes, and of all bytes of a longer one."""
+    # Times a large number, so that a longer word with a smaller first byte is another one.
+    keys = mix(mix(head + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) + tail)
+    long = np.flatnonzero(ends - starts > 16)
+    keys[long] = word_hashes(data, starts[long], ends[long])
+    return keys
+
+
 def cut_records(ids: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Text and piece of each record of ``length`` ids, and its ids as little-endian bytes."""
     pieces = -(-np.diff(bounds) // length)
@@ -93,40 +102,41 @@ class WordCounts:
         self.begin, self.size, self.width = (np.zeros(0, np.int64) for _ in range(3))
         self.head, self.tail = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
 
-    def _words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """The table's slot of each word."""
-        hashes = word_hashes(data, starts, ends)
-        code, own = pd.factorize(hashes)  # by a table: most words come again, so a sort of all would be dear
-        at = np.searchsorted(self.hashes, own)
+    def _words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, head: np.ndarray, tail: np.ndarray) -> np.ndarray:
+        """The table's slot of each word; ``head`` and ``tail`` as ``_ends`` gives them."""
+        # By a table: most words come again, so a sort of all would be dear.
+        code, own = pd.factorize(_keys(data, starts, ends, head, tail))
+        order = np.argsort(own)  # neighbours are looked up in the same part of the table
+        at = np.empty(len(own), np.int64)
+        at[order] = np.searchsorted(self.hashes, own[order])
         known = at < len(self.hashes)
         known[known] = self.hashes[at[known]] == own[known]
-        new = np.flatnonzero(~known)
+        new = order[~known[order]]
         if len(self.hashes) and len(self.hashes) + len(new) > MOST_WORDS:
             self._empty()
-            return self._words(data, starts, ends)
+            return self._words(data, starts, ends, head, tail)
+        slots = np.empty(len(own), np.int64)
+        slots[known] = self.slots[at[known]]
         if len(new):
-            new = new[np.argsort(own[new])]
             where = np.empty(len(own), np.int64)
             where[code] = np.arange(len(code))
-            first, last = starts[where[new]], ends[where[new]]
+            where = where[new]
+            first, last, raw = starts[where], ends[where], data.tobytes()
             self.encoder.turn()
-            made = [self.encoder.once(data[a:b].tobytes()) for a, b in zip(first.tolist(), last.tolist())]
-            size = np.array([len(x) // 4 for x in made], np.int64)
-            fresh = len(self.size) + np.arange(len(new))
-            self.hashes, self.slots = np.insert(self.hashes, at[new], own[new]), np.insert(self.slots, at[new], fresh)
+            size, ids = self.encoder.many([raw[a:b] for a, b in zip(first.tolist(), last.tolist())])
+            slots[new] = len(self.size) + np.arange(len(new))
+            self.hashes, self.slots = np.insert(self.hashes, at[new], own[new]), np.insert(self.slots, at[new], slots[new])
             self.begin = np.append(self.begin, len(self.pool) + np.cumsum(size) - size)
-            self.pool = np.append(self.pool, np.frombuffer(b"".join(made), "<u4").astype(np.uint16))
-            head, tail = _ends(data, first, last)
+            self.pool = np.append(self.pool, ids.astype(np.uint16))
             self.size, self.width = np.append(self.size, size), np.append(self.width, last - first)
-            self.head, self.tail = np.append(self.head, head), np.append(self.tail, tail)
-            at = np.searchsorted(self.hashes, own)
-        return self.slots[at][code]
+            self.head, self.tail = np.append(self.head, head[where]), np.append(self.tail, tail[where])
+        return slots[code]
 
     def of(self, column: pa.Array) -> np.ndarray:
         """How many ids each text has."""
         data, bounds = flat(column)
         starts, ends, first = word_bounds(data, bounds)
-        slot = self._words(data, starts, ends)  # before the sizes are read: it adds to them
+        slot = self._words(data, starts, ends, *_ends(data, starts, ends))  # before the sizes are read: it adds to them
         sums = np.concatenate([[0], np.cumsum(self.size[slot])])
         return sums[first[1:]] - sums[first[:-1]]
 
@@ -139,8 +149,8 @@ class WordCounts:
         """
         data, bounds = flat(column)
         starts, ends, first = word_bounds(data, bounds)
-        slot = self._words(data, starts, ends)
         head, tail = _ends(data, starts, ends)
+        slot = self._words(data, starts, ends, head, tail)
         if not ((self.width[slot] == ends - starts) & (self.head[slot] == head) & (self.tail[slot] == tail)).all():
             raw = data.tobytes()
             each = [np.append(np.frombuffer(self.encoder.raw(raw[a:b]), "<u4"), end) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]

@@ -16,12 +16,17 @@ import sys
 from array import array
 from functools import lru_cache
 
+import numpy as np
+
 #: Entries of a cache's generation, and the longest key that is kept: some 300 MB in a Python worker at most.
 _CACHED, _LONG = 400_000, 64
 #: Latin letters, which are split and lower-cased alike here and by the tokenizer, and then ASCII signs. An
 #: apostrophe may belong to what follows it, and one dotted capital becomes two characters: both are left out.
 _WORD = re.compile(r"""([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!"#$%&()*+,\-./:;<=>?@[\\\]^_`{|}~]*)""")
 
+#: The same for each line of many chunks; a line that is no such word has two empty groups.
+_LINE = re.compile(rf"^(?:{_WORD.pattern}$|.*$)", re.MULTILINE)
+
 
 def default_path() -> str:
     import public_tokenizers
@@ -97,9 +102,20 @@ class ChunkEncoder:
         for cache in (self._chunks, self._words, self._signs):
             cache.turn()
 
-    def once(self, chunk: bytes) -> bytes:
-        """The ids of a chunk without white space, for callers that remember it themselves."""
-        return self._chunk(chunk)
+    def many(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each chunk has, and the ids of all, for callers that remember them; each word, and each sequence of signs after one, is encoded once."""
+        found = _LINE.findall(b"\n".join(chunks).decode()) if chunks else []
+        words, others = {}, {"": 0}
+        # A part's number: from 0 for words, down from -1 for what no model takes alone.
+        first = [words.setdefault(word.lower(), len(words)) if word else ~others.setdefault(chunk.decode(), len(others))
+                 for chunk, (word, _) in zip(chunks, found, strict=True)]
+        second = [~others.setdefault(signs, len(others)) for _, signs in found]
+        made = [*map(self._words.__getitem__, words), *map(self._signs.__getitem__, reversed(others))]
+        parts = np.array([first, second], np.int64).T.ravel()  # a negative number counts from the end
+        sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
+        size, begin = sizes[parts], (np.cumsum(sizes) - sizes)[parts]
+        place = np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)
+        return size.reshape(-1, 2).sum(axis=1), np.frombuffer(b"".join(made), "<u4")[place]
 
     def raw(self, text: bytes | None) -> bytes:
         self.turn()
